@@ -44,6 +44,7 @@ from titlematch import columns as C
 
 _TIER = "__tier"
 _BEST = "__best"
+_ROW = "__row"
 
 
 @dataclass(frozen=True)
@@ -132,6 +133,25 @@ def tag_right(right: DataFrame, tiers: Sequence[Tier], keys: Sequence[str], payl
     return tagged.filter(_valid(tier, keys, tiers))
 
 
+def semi_reduce(
+    tagged: DataFrame, left: DataFrame, tiers: Sequence[Tier], keys: Sequence[str], broadcast: bool = False
+) -> DataFrame:
+    """Keep tagged right rows whose shared-key values occur on the left.
+
+    ``broadcast`` ships the distinct left values to every task (a map-side
+    filter); pass it only when the left side's size has been checked.
+    """
+    common = [k for k in keys if all(k in t.keys for t in tiers)]
+    if not common:
+        return tagged
+    idx = {k: j for j, k in enumerate(keys)}
+    wanted = left.select(*[F.col(k).alias(f"__s{idx[k]}") for k in common]).distinct()
+    if broadcast:
+        wanted = F.broadcast(wanted)
+    cond = reduce(lambda a, b: a & b, [F.col(_kname(idx[k])) == F.col(f"__s{idx[k]}") for k in common])
+    return tagged.join(wanted, cond, "left_semi")
+
+
 def best_tier_by_key(left: DataFrame, tagged: DataFrame, tiers: Sequence[Tier], keys: Sequence[str]) -> DataFrame:
     """``(keys..., __best)`` for every distinct left key that matches some tier.
 
@@ -175,14 +195,21 @@ def tiered_match(
     tiers: Sequence[Tier] = FILM_TIERS,
     output_columns: Sequence[str] | None = C.OUTPUT_COLUMNS,
     unmatched: str = "keep",
-    broadcast_left: bool = False,
+    broadcast_keys: bool = False,
+    prefilter_right: bool = False,
 ) -> DataFrame:
     """Link every left row to the right rows of its best tier (see module doc).
 
-    ``broadcast_left`` hints the final join to build on the (deduplicated)
-    left side.  Pass it only after checking the left side's size - the job
-    does this from the row counts it collects anyway.  Otherwise AQE picks
-    the strategy from runtime statistics.
+    ``broadcast_keys`` broadcasts the per-key best-tier table (one row per
+    distinct left key).  Pass it only after checking that table's size - the
+    job bounds it by the measured size of the left side.  Otherwise AQE
+    picks the strategy from runtime statistics.
+
+    ``prefilter_right`` first drops right rows whose value of a key shared
+    by all tiers (the title) no left row has.  Together with
+    ``broadcast_keys`` that is a broadcast semi-join, i.e. a map-side
+    filter, so right rows that can never match are never shuffled.  Worth
+    it when the left side is much smaller than the right.
 
     Both inputs are referenced twice (keys, then rows); stage expensive
     inputs (parsed XML) to Parquet or ``checkpoint()`` first.
@@ -191,39 +218,43 @@ def tiered_match(
     keys = _all_keys(tiers)
     payload = _payload_columns(left, right)
     tagged = tag_right(right, tiers, keys, payload)
+    if prefilter_right:
+        tagged = semi_reduce(tagged, left, tiers, keys, broadcast=broadcast_keys)
 
-    # 1. best tier per distinct left key
+    # 1. best tier per distinct left key (small: one row per distinct key)
     best = best_tier_by_key(left, tagged, tiers, keys)
     best = best.select(*[F.col(k).alias(f"__b_{k}") for k in keys], _BEST)
+    if broadcast_keys:
+        best = F.broadcast(best)
     with_best = left.join(best, _null_safe_on(left, best, [(k, f"__b_{k}") for k in keys]), "left").drop(
         *[f"__b_{k}" for k in keys]
     )
 
-    # 2. first-tier rows keep multiplicity; the rest is seen once per distinct row
-    is_first = F.coalesce(F.col(_BEST) == 1, F.lit(False))
-    rows = with_best.filter(is_first).unionByName(with_best.filter(~is_first).distinct())
-
-    # 3. one equi-join on (tier, keys) emits exactly the output pairs
-    matched_rows = rows.filter(F.col(_BEST).isNotNull())
-    matched_rows = matched_rows.select(
+    # 2. first-tier rows keep their multiplicity (a row id keeps them apart);
+    #    every other row is seen once per distinct value.  One aggregate,
+    #    partial per map task, so a hot duplicated row collapses before the
+    #    shuffle.
+    row_id = F.when(F.col(_BEST) == 1, F.monotonically_increasing_id())
+    rows = with_best.withColumn(_ROW, row_id).distinct()
+
+    # 3. one left join on (tier, keys) emits exactly the output pairs; rows
+    #    without a tier (NULL __best) never satisfy the join and come out once
+    #    with NULL right-side columns.
+    rows = rows.select(
         *left.columns,
         F.col(_BEST).alias(_TIER),
         *[_tier_key(F.col(_BEST), F.col(k), k, tiers).alias(f"__m{j}") for j, k in enumerate(keys)],
     )
-    if broadcast_left:
-        matched_rows = F.broadcast(matched_rows)
-    cond = (matched_rows[_TIER] == tagged[_TIER]) & _null_safe_on(
-        matched_rows, tagged, [(f"__m{j}", _kname(j)) for j in range(len(keys))]
+    right_rows = tagged.select(
+        F.col(_TIER).alias("__r_tier"), *[F.col(_kname(j)).alias(f"__r{j}") for j in range(len(keys))], *payload
+    )
+    cond = reduce(
+        lambda a, b: a & b,
+        [F.col(_TIER) == F.col("__r_tier")]
+        + [F.col(f"__m{j}").eqNullSafe(F.col(f"__r{j}")) for j in range(len(keys))],
     )
-    joined = matched_rows.join(tagged, cond, "inner").select(*[matched_rows[c] for c in left.columns], *payload)
-
-    out = joined
-    if unmatched == "keep":
-        rtypes = dict(right.dtypes)
-        lonely = rows.filter(F.col(_BEST).isNull()).select(
-            *left.columns, *[F.lit(None).cast(rtypes[p]).alias(p) for p in payload]
-        )
-        out = joined.unionByName(lonely)
+    how = "left" if unmatched == "keep" else "inner"
+    out = rows.join(right_rows, cond, how).select(*left.columns, *payload)
     return out.select(*output_columns) if output_columns else out
 
 

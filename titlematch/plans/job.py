@@ -8,9 +8,11 @@ Cluster behaviour:
   the match's two passes over each side read only the columns they need.
 * Row counts (and a byte-size bound of the movie side) are collected by an
   ``Observation`` during that same write, not by extra ``count()`` passes.
-* The final match join broadcasts the movie side only when that measured
-  size is under the broadcast limit; otherwise it stays a shuffled join and
-  AQE coalesces partitions / splits skewed ones at run time.
+* Only when that measured movie size is under the broadcast limit are the
+  per-key tables derived from movies broadcast and the articles pre-filtered
+  to movie titles map-side (a broadcast semi-join) before any article
+  shuffle.  Otherwise the joins stay shuffled and AQE coalesces partitions /
+  splits skewed ones at run time.
 * Errors are logged and re-raised.
 """
 
@@ -120,7 +122,7 @@ def run(
         log.info("%d rows in movie table, %d rows in article table", n_movies, n_articles)
         limit = broadcast_limit(spark)
         use_broadcast = 0 < movie_bytes <= limit
-        matched = tiered_match(movies, articles, broadcast_left=use_broadcast)
+        matched = tiered_match(movies, articles, broadcast_keys=use_broadcast, prefilter_right=use_broadcast)
         write_table(
             matched,
             target,
