@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -74,17 +74,13 @@ def top_exploded(
 def distinct_values(df: DataFrame, column: str, order: Sequence[Column] | None = None) -> DataFrame:
     """Distinct values of ``column``.
 
-    With ``order``, each value carries ``first_seen`` - the 1-based position
-    of its first appearance under that order - and the result is sorted by
-    it.  The position comes from a global ``row_number`` and is meant for
-    already-small inputs such as a top-n result.
+    With ``order`` the values come sorted by their first appearance under
+    that order, and ``first_seen`` is a position key that increases with
+    that order (not dense).  All of it is distributed: a range-partitioned
+    sort, an id that follows the sorted partitions, a grouped ``min`` and a
+    sort of the distinct values - no single-partition window.
     """
     if not order:
         return df.select(column).distinct()
-    pos = F.row_number().over(Window.orderBy(*order))
-    ranked = df.select(column, pos.alias("_pos"))
-    return (
-        ranked.groupBy(column)
-        .agg(F.min("_pos").cast("long").alias("first_seen"))
-        .orderBy("first_seen")
-    )
+    ranked = df.orderBy(*order).select(column, F.monotonically_increasing_id().alias("_pos"))
+    return ranked.groupBy(column).agg(F.min("_pos").alias("first_seen")).orderBy("first_seen")

@@ -209,7 +209,7 @@ def q_top_exploded(spark, sf):
 def q_distinct_companies(spark, sf):
     top = q_top_exploded(spark, sf)
     order = [F.col(C.REVENUE_TO_BUDGET).desc_nulls_last(), *[F.col(c).asc_nulls_first() for c in EXPLODED_TIE_BREAKERS]]
-    return distinct_values(top, EXPLODED, order)
+    return distinct_values(top, EXPLODED, order).select(EXPLODED)
 
 
 def q_row_counts(spark, sf):
@@ -430,10 +430,8 @@ ORACLE_SQL: dict[str, str] = {
     "array_to_string(production_companies, '|') AS production_companies, genres, rating, revenue, budget, "
     "revenue_to_budget, url, abstract FROM matched)",
     "top_exploded": _BASE.rstrip() + "," + _TOP_EXPLODED + "SELECT * FROM top_n",
-    "distinct_companies": _BASE.rstrip() + "," + _TOP_EXPLODED + "SELECT production_companies_exploded, "
-    "min(pos) AS first_seen FROM (SELECT production_companies_exploded, row_number() OVER (ORDER BY "
-    "revenue_to_budget DESC NULLS LAST, production_companies_exploded ASC NULLS FIRST, "
-    f"{_TIES}) AS pos FROM top_n) GROUP BY production_companies_exploded",
+    "distinct_companies": _BASE.rstrip() + "," + _TOP_EXPLODED + "SELECT DISTINCT production_companies_exploded "
+    "FROM top_n",
     "row_counts": _BASE + "SELECT 'movies' AS table_name, count(*) AS n FROM m UNION ALL "
     "SELECT 'articles' AS table_name, count(*) AS n FROM a",
     "sql_select": _BASE + "SELECT title, year, url, revenue_to_budget FROM matched WHERE url IS NOT NULL "

@@ -39,7 +39,17 @@ log = logging.getLogger(__name__)
 # Rows written by the job, and their order.
 RESULT_ROWS = 1000
 RESULT_ORDER = C.REVENUE_TO_BUDGET
-RESULT_TIE_BREAKERS = (C.TITLE, C.YEAR, C.URL, C.RATING, C.REVENUE, C.BUDGET, C.ABSTRACT)
+RESULT_TIE_BREAKERS = (
+    C.TITLE,
+    C.YEAR,
+    C.URL,
+    C.RATING,
+    C.REVENUE,
+    C.BUDGET,
+    C.ABSTRACT,
+    C.GENRES,
+    C.PRODUCTION_COMPANIES,
+)
 DEFAULT_BROADCAST_BYTES = 64 * 1024 * 1024
 
 
