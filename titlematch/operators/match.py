@@ -212,7 +212,9 @@ def tiered_match(
     it when the left side is much smaller than the right.
 
     Both inputs are referenced twice (keys, then rows); stage expensive
-    inputs (parsed XML) to Parquet or ``checkpoint()`` first.
+    inputs (parsed XML) to Parquet or ``checkpoint()`` first.  Staged
+    inputs also make the first-tier row ids (taken at the left scan)
+    identical when a task is recomputed.
     """
     _check(left, right, tiers, unmatched)
     keys = _all_keys(tiers)
@@ -226,16 +228,18 @@ def tiered_match(
     best = best.select(*[F.col(k).alias(f"__b_{k}") for k in keys], _BEST)
     if broadcast_keys:
         best = F.broadcast(best)
-    with_best = left.join(best, _null_safe_on(left, best, [(k, f"__b_{k}") for k in keys]), "left").drop(
+    # The row id is taken at the scan, before any exchange, so a recomputed
+    # task (lost executor) assigns the same ids to the same rows.
+    with_id = left.withColumn(_ROW, F.monotonically_increasing_id())
+    with_best = with_id.join(best, _null_safe_on(with_id, best, [(k, f"__b_{k}") for k in keys]), "left").drop(
         *[f"__b_{k}" for k in keys]
     )
 
-    # 2. first-tier rows keep their multiplicity (a row id keeps them apart);
-    #    every other row is seen once per distinct value.  One aggregate,
-    #    partial per map task, so a hot duplicated row collapses before the
-    #    shuffle.
-    row_id = F.when(F.col(_BEST) == 1, F.monotonically_increasing_id())
-    rows = with_best.withColumn(_ROW, row_id).distinct()
+    # 2. first-tier rows keep their multiplicity (their row id keeps them
+    #    apart); every other row is seen once per distinct value.  One
+    #    aggregate, partial per map task, so a hot duplicated row collapses
+    #    before the shuffle.
+    rows = with_best.withColumn(_ROW, F.when(F.col(_BEST) == 1, F.col(_ROW))).distinct()
 
     # 3. one left join on (tier, keys) emits exactly the output pairs; rows
     #    without a tier (NULL __best) never satisfy the join and come out once
