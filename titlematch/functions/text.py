@@ -33,7 +33,7 @@ def clean_title(title: Column | str) -> Column:
 
 def url_last_segment(url: Column | str) -> Column:
     """Everything after the last ``/`` (the whole string if there is none)."""
-    return F.element_at(F.split(as_col(url), "/"), -1)
+    return F.substring_index(as_col(url), "/", -1)
 
 
 def url_parts(url: Column | str, pattern: str = ARTICLE_URL_PATTERN) -> UrlParts:

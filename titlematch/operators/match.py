@@ -55,18 +55,25 @@ class Tier:
     keys          equality keys, same column name on both sides
     right_filter  SQL predicate over the right table selecting the rows
                   eligible for this tier
+    scan_filter   optional superset of ``right_filter`` written with plain
+                  column comparisons, so a file source can apply it in the
+                  scan (pushed filters); the exact test still follows
     """
 
     name: str
     keys: tuple[str, ...]
     right_filter: str
+    scan_filter: str | None = None
 
 
 # The three tiers of the movie/article match.
+# ``year > ''`` is ``year != ''`` for strings (NULL stays NULL); written this
+# way the tiers' combined predicate stays a plain comparison the Parquet
+# scan accepts as a pushed filter.
 FILM_TIERS: tuple[Tier, ...] = (
-    Tier("title_year_type", (C.CLEANED_TITLE, C.YEAR), "year != '' AND type = 'film'"),
-    Tier("title_type", (C.CLEANED_TITLE,), "year = '' AND type = 'film'"),
-    Tier("title", (C.CLEANED_TITLE,), "year = '' AND type = ''"),
+    Tier("title_year_type", (C.CLEANED_TITLE, C.YEAR), "year > '' AND type = 'film'", "type = 'film'"),
+    Tier("title_type", (C.CLEANED_TITLE,), "year = '' AND type = 'film'", "type = 'film'"),
+    Tier("title", (C.CLEANED_TITLE,), "year = '' AND type = ''", "year = '' AND type = ''"),
 )
 
 
@@ -119,7 +126,13 @@ def _check(left: DataFrame, right: DataFrame, tiers: Sequence[Tier], unmatched:
 def tag_right(right: DataFrame, tiers: Sequence[Tier], keys: Sequence[str], payload: Sequence[str]) -> DataFrame:
     """One row per (right row, tier it is eligible for); keys outside the tier are NULL."""
     ids = F.array(*[F.when(F.expr(t.right_filter), F.lit(i)) for i, t in enumerate(tiers, 1)])
-    tagged = right.select(
+    # Rows eligible for no tier are dropped first.  The scan filters are
+    # plain column comparisons, so their OR reaches a file scan as pushed
+    # filters; the exact per-tier test follows.
+    if all(t.scan_filter for t in tiers):
+        right = right.filter(reduce(lambda a, b: a | b, [F.expr(f"({t.scan_filter})") for t in tiers]))
+    eligible = reduce(lambda a, b: a | b, [F.expr(f"({t.right_filter})") for t in tiers])
+    tagged = right.filter(eligible).select(
         *[F.col(k) for k in keys],
         *[F.col(p) for p in payload],
         F.explode(F.filter(ids, lambda x: x.isNotNull())).alias(_TIER),
