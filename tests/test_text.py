@@ -91,3 +91,29 @@ def test_clean_title_and_last_segment(spark):
 def test_movie_title_keeps_underscores(spark):
     df = spark.createDataFrame([("Some_Title",)], ["title"])
     assert df.select(clean_title("title")).first()[0] == "some_title"
+
+
+from hypothesis import HealthCheck, given, settings  # noqa: E402
+from hypothesis import strategies as st  # noqa: E402
+from pyspark.sql import functions as F  # noqa: E402
+
+from titlematch.functions.text import ARTICLE_URL_PATTERN, url_parts  # noqa: E402
+
+url_text = st.text(alphabet=list("ab1_9/()-é ,"), min_size=0, max_size=24)
+
+
+@settings(max_examples=5, deadline=None, suppress_health_check=list(HealthCheck))
+@given(st.lists(url_text, min_size=1, max_size=60))
+def test_fast_parse_equals_plain_regex(spark, urls):
+    """The guarded, segment-anchored parse equals plain regexp_extract with
+    the fixed pattern on arbitrary path-like strings."""
+    df = spark.createDataFrame([(u,) for u in urls] + [(None,)], "url string")
+    fast = url_parts("url")
+    stem, year, kind = [F.regexp_extract("url", ARTICLE_URL_PATTERN, i) for i in (1, 2, 3)]
+    raw = F.when((year == "") & (kind == ""), url_last_segment("url")).otherwise(stem)
+    plain_title = F.lower(F.trim(F.regexp_replace(raw, "_", " ")))
+    out = df.select(
+        fast.cleaned_title.alias("c"), fast.year.alias("y"), fast.type.alias("t"),
+        plain_title.alias("pc"), year.alias("py"), kind.alias("pt"),
+    )
+    assert out.filter("NOT (c <=> pc AND y <=> py AND t <=> pt)").collect() == []

@@ -20,6 +20,19 @@ from titlematch.functions._col import as_col
 ARTICLE_URL_PATTERN = r"([^\/]*)\((\d+)?_?(\w+)?\)"
 
 
+def segment_anchored(pattern: str) -> str:
+    """Same groups, found faster.
+
+    A pattern that starts with ``[^/]*`` can only have its leftmost match
+    start at the string start or right after a ``/`` (any other start has a
+    non-``/`` character before it, which would give an earlier match), so the
+    non-capturing ``(?:^|/)`` prefix leaves every group unchanged.  It makes
+    each failing start position cost one character instead of a scan and
+    backtrack over the rest of the path segment.
+    """
+    return "(?:^|/)" + pattern
+
+
 class UrlParts(NamedTuple):
     cleaned_title: Column
     year: Column
@@ -45,9 +58,14 @@ def url_parts(url: Column | str, pattern: str = ARTICLE_URL_PATTERN) -> UrlParts
       which case it is the last path segment.
     """
     u = as_col(url)
-    stem = F.regexp_extract(u, pattern, 1)
-    year = F.regexp_extract(u, pattern, 2)
-    kind = F.regexp_extract(u, pattern, 3)
+    fast = segment_anchored(pattern) if pattern.startswith("([^") else pattern
+    # No "(" means no match: skip the regex (most article URLs have none).
+    has_paren = F.instr(u, "(") > 0
+
+    def group(i: int) -> Column:
+        return F.when(has_paren, F.regexp_extract(u, fast, i)).when(u.isNotNull(), F.lit(""))
+
+    stem, year, kind = group(1), group(2), group(3)
     raw_title = F.when((year == "") & (kind == ""), url_last_segment(u)).otherwise(stem)
     cleaned = F.lower(F.trim(F.regexp_replace(raw_title, "_", " ")))
     return UrlParts(cleaned, year, kind)
