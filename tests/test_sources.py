@@ -89,3 +89,36 @@ def test_infer_schema_without_records_fails(spark, workdir):
 def test_native_reader_option(spark, workdir):
     p = write_articles(workdir)
     assert read_articles(spark, p, splittable=False).count() == len(ARTICLE_URLS)
+
+
+def test_csv_edge_rows_through_prepare(spark, workdir):
+    from fixtures import MOVIE_HEADER, movie_line
+
+    from titlematch.plans.prepare import prepare_movies
+
+    lines = [
+        movie_line("1000", "[]", 1, "x", "[]", "2001-01-01", "2000", "", "5"),  # blank title -> NULL
+        movie_line("abc", "[]", 2, "x", "[]", "2001-01-01", "2000", "Bad Budget", "5"),
+        movie_line("1000.7", "[]", 3, "x", "[]", "2001-01-01", "2000", "Fraction", "5"),
+        movie_line("1000", "\"[{'id': None, 'name': 'X'}]\"", 4, "x", "[]", "2001-01-01", "2000", "None Json", "5"),
+        movie_line("1000", "[]", 5, "x", "[]", "2001-01-01", "2000", "Dup", "5"),
+        movie_line("1000", "[]", 5, "x", "[]", "2001-01-01", "2000", "Dup", "5"),
+        movie_line("1000", "[]", 6, "x", "[]", "", "2000", "No Date", "5"),
+        movie_line("1000", "[]", 7, "\"ends with '\"", "[]", "2001-01-01", "2000", "Apostrophe End", "5"),
+        movie_line("1000", "[]", 8, "\"line one\nline two\"", "[]", "2001-01-01", "2000", "Newline", "5"),
+        movie_line("1000", "[]", 9, "x", "[]", "2001-01-01", "2000", "Last Good", "5"),
+    ]
+    p = os.path.join(workdir, "edge.csv")
+    with open(p, "w") as f:
+        f.write(MOVIE_HEADER + "\n" + "\n".join(lines) + "\n")
+    raw = read_movies(spark, p)
+    assert raw.count() == 11  # the embedded newline splits one record in two
+    got = sorted(tuple(r) for r in prepare_movies(raw).select("title", "year", "genres", "budget").collect())
+    assert got == [
+        ("Dup", "2001", [], 1000),
+        ("Dup", "2001", [], 1000),
+        ("Fraction", "2001", [], 1000),  # fractional budget truncates, as the non-ANSI cast did
+        ("Last Good", "2001", [], 1000),
+        ("No Date", None, [], 1000),
+        ("None Json", "2001", None, 1000),  # bare None makes the list NULL; the row stays
+    ]
