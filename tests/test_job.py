@@ -83,3 +83,15 @@ def test_run_sql_and_schema(spark):
     sch = table_schema(df).collect()
     assert [(r.column_name, r.data_type) for r in sch] == [("title", "string"), ("r", "double"), ("c", "array<string>")]
     assert [r.column_name for r in table_schema(df).filter("column_name = 'r'").collect()] == ["r"]
+
+
+def test_cli_and_stage_cleanup(spark, workdir):
+    from titlematch.__main__ import main
+
+    out = os.path.join(workdir, "cli_out")
+    assert main([write_movies(workdir), write_articles(workdir), "--parquet", out, "--rows", "3"]) == 0
+    assert spark.read.parquet(out).count() == 3
+    root = spark.sparkContext.getCheckpointDir().replace("file:", "")
+    assert not [d for d in os.listdir(root) if d.startswith("titlematch-")]
+    res = run(spark, write_movies(workdir), write_articles(workdir), os.path.join(workdir, "o2"), keep_stage=True)
+    assert os.path.isdir(res.stage_dir.replace("file:", "") + "/movies")

@@ -96,6 +96,13 @@ def stage(df: DataFrame, path: str, obs: Observation | None = None, size: bool =
     return df.sparkSession.read.parquet(path)
 
 
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Recursively delete ``path`` on whatever file system it names."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+
+
 def broadcast_limit(spark: SparkSession) -> int:
     raw = spark.conf.get("spark.sql.autoBroadcastJoinThreshold", None)
     try:
@@ -114,8 +121,13 @@ def run(
     rows: int | None = RESULT_ROWS,
     mode: str = "overwrite",
     splittable_xml: bool = True,
+    keep_stage: bool = False,
 ) -> JobResult:
-    """Read, prepare, match and write the top ``rows`` by revenue/budget."""
+    """Read, prepare, match and write the top ``rows`` by revenue/budget.
+
+    The staged tables are removed after a successful write unless
+    ``keep_stage``; after a failure they are kept for inspection.
+    """
     try:
         root = f"{stage_root(spark)}/titlematch-{uuid.uuid4().hex}"
         log.info("preparing movies and articles under %s", root)
@@ -142,6 +154,8 @@ def run(
             rows=rows,
             tie_breakers=RESULT_TIE_BREAKERS,
         )
+        if not keep_stage:
+            remove_path(spark, root)
         return JobResult(n_movies, n_articles, movie_bytes, use_broadcast, root)
     except Exception:
         log.exception("job failed")
