@@ -95,3 +95,20 @@ def test_cli_and_stage_cleanup(spark, workdir):
     assert not [d for d in os.listdir(root) if d.startswith("titlematch-")]
     res = run(spark, write_movies(workdir), write_articles(workdir), os.path.join(workdir, "o2"), keep_stage=True)
     assert os.path.isdir(res.stage_dir.replace("file:", "") + "/movies")
+
+
+def test_job_golden_without_broadcast(spark, workdir):
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        out = os.path.join(workdir, "result_nb")
+        res = run(spark, write_movies(workdir), write_articles(workdir), ParquetTarget(out))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    assert not res.broadcast_movies and (res.movies, res.articles) == (6, 8)
+    got = sorted(
+        ((r.title, r.year, r.revenue_to_budget, r.url.rsplit("/", 1)[-1] if r.url else None)
+         for r in spark.read.parquet(out).collect()),
+        key=lambda t: -t[2],
+    )
+    assert got == GOLDEN

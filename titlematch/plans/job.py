@@ -9,9 +9,10 @@ Cluster behaviour:
 * Row counts (and a byte-size bound of the movie side) are collected by an
   ``Observation`` during that same write, not by extra ``count()`` passes.
 * Only when that measured movie size is under the broadcast limit are the
-  per-key tables derived from movies broadcast and the articles pre-filtered
-  to movie titles map-side (a broadcast semi-join) before any article
-  shuffle.  Otherwise the joins stay shuffled and AQE coalesces partitions /
+  movie titles broadcast to drop, map-side while the XML is parsed, every
+  article no movie can match - so only candidate articles are staged and
+  shuffled - and the per-key tables derived from movies broadcast in the
+  match.  Otherwise the joins stay shuffled and AQE coalesces partitions /
   splits skewed ones at run time.
 * Errors are logged and re-raised.
 """
@@ -133,18 +134,24 @@ def run(
         log.info("preparing movies and articles under %s", root)
         m_obs, a_obs = Observation("movies"), Observation("articles")
         movies = stage(prepare_movies(read_movies(spark, movies_path)), f"{root}/movies", m_obs, size=True)
-        articles = stage(
-            prepare_articles(read_articles(spark, articles_path, splittable=splittable_xml)),
-            f"{root}/articles",
-            a_obs,
-        )
-        m, a = m_obs.get, a_obs.get
-        n_movies, n_articles = int(m["rows"]), int(a["rows"])
-        movie_bytes = int(m.get("bytes") or 0)
+        m = m_obs.get
+        n_movies, movie_bytes = int(m["rows"]), int(m.get("bytes") or 0)
+        use_broadcast = 0 < movie_bytes <= broadcast_limit(spark)
+
+        # Count every prepared article (observed before any reduction) ...
+        prepared = prepare_articles(read_articles(spark, articles_path, splittable=splittable_xml))
+        prepared = prepared.observe(a_obs, F.count(F.lit(1)).alias("rows"))
+        if use_broadcast:
+            # ... but stage only those whose title some movie has: every tier
+            # keys on the title, so no other article can match.  The title
+            # set is bounded by the measured movie size, so it is broadcast
+            # and the reduction is a map-side filter of the XML scan.
+            titles = movies.select(F.col(C.CLEANED_TITLE).alias("__t")).distinct()
+            prepared = prepared.join(F.broadcast(titles), F.col(C.CLEANED_TITLE) == F.col("__t"), "left_semi")
+        articles = stage(prepared, f"{root}/articles")
+        n_articles = int(a_obs.get["rows"])
         log.info("%d rows in movie table, %d rows in article table", n_movies, n_articles)
-        limit = broadcast_limit(spark)
-        use_broadcast = 0 < movie_bytes <= limit
-        matched = tiered_match(movies, articles, broadcast_keys=use_broadcast, prefilter_right=use_broadcast)
+        matched = tiered_match(movies, articles, broadcast_keys=use_broadcast)
         write_table(
             matched,
             target,
