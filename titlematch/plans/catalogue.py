@@ -58,6 +58,16 @@ def movies(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prepare_movies(movie_view(spark, sf_dir))
 
 
+def movie_view_with_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The movie view plus a second copy of every row; in the copy the
+    release date is unreadable when ``vote_average`` is 0-2.  That gives
+    exact duplicates (tier-1 rows keep them, the rest collapse) and NULL-year
+    variants (never tier 1) over the whole table."""
+    mv = movie_view(spark, sf_dir)
+    unknown = F.when(F.col(C.VOTE_AVERAGE).isin("0", "1", "2"), F.lit("unknown")).otherwise(F.col(C.RELEASE_DATE))
+    return mv.unionByName(mv.withColumn(C.RELEASE_DATE, unknown))
+
+
 def articles(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prepare_articles(article_view(spark, sf_dir))
 
@@ -187,6 +197,10 @@ def q_tiered_match(spark, sf):
     return flat(matched(spark, sf))
 
 
+def q_tiered_match_dups(spark, sf):
+    return flat(tiered_match(prepare_movies(movie_view_with_copies(spark, sf)), articles(spark, sf)))
+
+
 def q_match_top_k(spark, sf):
     return top_k(flat(matched(spark, sf)), C.REVENUE_TO_BUDGET, TOP_K_ROWS, tie_breakers=OUTPUT_TIE_BREAKERS)
 
@@ -298,6 +312,7 @@ QUERIES: dict[str, Query] = {
     "except_matched": q_except_matched,
     "union_tiers": q_union_tiers,
     "tiered_match": q_tiered_match,
+    "tiered_match_dups": q_tiered_match_dups,
     "match_top_k": q_match_top_k,
     "explode_genres": q_explode_genres,
     "top_exploded": q_top_exploded,
@@ -321,8 +336,9 @@ _URL_PARTS = (
     f"regexp_extract(url, '{_P}', 2) AS year, regexp_extract(url, '{_P}', 3) AS type"
 )
 
-_BASE = f"""
-WITH mv AS ({for_duckdb(MOVIE_VIEW)}),
+def _base(movie_source: str) -> str:
+    return f"""
+WITH mv AS ({movie_source}),
 av AS ({for_duckdb(ARTICLE_VIEW)}),
 m AS (
   SELECT title,
@@ -378,6 +394,15 @@ matched_flat AS (
 )
 """
 
+
+_BASE = _base(for_duckdb(MOVIE_VIEW))
+_MOVIES_WITH_COPIES = (
+    f"SELECT * FROM ({for_duckdb(MOVIE_VIEW)}) v0 UNION ALL "
+    f"SELECT id, title, CASE WHEN vote_average IN ('0', '1', '2') THEN 'unknown' ELSE release_date END AS release_date, "
+    f"budget, revenue, vote_average, genres, production_companies FROM ({for_duckdb(MOVIE_VIEW)}) v1"
+)
+
+
 _TIES = "title ASC NULLS FIRST, year ASC NULLS FIRST, url ASC NULLS FIRST, rating ASC NULLS FIRST, " \
     "revenue ASC NULLS FIRST, budget ASC NULLS FIRST, abstract ASC NULLS FIRST, genres ASC NULLS FIRST"
 
@@ -423,6 +448,7 @@ ORACLE_SQL: dict[str, str] = {
     "array_to_string(genres, '|') AS genres, rating, revenue, budget, revenue_to_budget, cleaned_title FROM r1",
     "union_tiers": _BASE + "SELECT * FROM matched_flat",
     "tiered_match": _BASE + "SELECT * FROM matched_flat",
+    "tiered_match_dups": _base(_MOVIES_WITH_COPIES) + "SELECT * FROM matched_flat",
     "match_top_k": _BASE + "SELECT * FROM matched_flat ORDER BY revenue_to_budget DESC NULLS LAST, "
     f"{_TIES}, production_companies ASC NULLS FIRST LIMIT {TOP_K_ROWS}",
     "explode_genres": _BASE + "SELECT title, year, production_companies, rating, revenue, budget, revenue_to_budget, "
