@@ -65,7 +65,12 @@ class JobResult:
 
 def stage_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``; required."""
-    d = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    d = spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        try:
+            d = spark.sparkContext.getCheckpointDir()
+        except Exception:  # noqa: BLE001 - sessions without a local SparkContext
+            d = None
     if not d:
         raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
     return d.rstrip("/")
@@ -98,10 +103,16 @@ def stage(df: DataFrame, path: str, obs: Observation | None = None, size: bool =
 
 
 def remove_path(spark: SparkSession, path: str) -> None:
-    """Recursively delete ``path`` on whatever file system it names."""
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+    """Recursively delete ``path`` on whatever file system it names.
+
+    Best effort: a failure (or a session without a local JVM) only logs.
+    """
+    try:
+        sc = spark.sparkContext
+        p = sc._jvm.org.apache.hadoop.fs.Path(path)
+        p.getFileSystem(sc._jsc.hadoopConfiguration()).delete(p, True)
+    except Exception:  # noqa: BLE001
+        log.warning("could not remove staged tables at %s", path)
 
 
 def broadcast_limit(spark: SparkSession) -> int:
