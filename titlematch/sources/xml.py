@@ -72,10 +72,12 @@ def xml_record_text(chunk: Column | str, row_tag: str) -> Column:
     """Turn a chunk ending just before ``</row_tag>`` into one record string.
 
     Text before the opening tag (the root element, whitespace) is cut;
-    chunks without an opening tag (the document tail) give ``""``.
+    chunks without an opening tag (the document tail) give NULL.  One
+    ``regexp_instr`` finds the tag, ``substr`` copies the record once.
     """
-    body = F.regexp_extract(as_col(chunk), rf"(?s)(<{row_tag}(?:[\s/][^>]*)?>.*)$", 1)
-    return F.when(body == "", F.lit("")).otherwise(F.concat(body, F.lit(f"</{row_tag}>")))
+    c = as_col(chunk)
+    pos = F.regexp_instr(c, F.lit(rf"<\Q{row_tag}\E[\s/>]"))
+    return F.when(pos > 0, F.concat(F.substr(c, pos), F.lit(f"</{row_tag}>")))
 
 
 def read_xml_records(
@@ -90,7 +92,7 @@ def read_xml_records(
     Output columns are the top-level fields of ``schema``.
     """
     chunks = spark.read.option("lineSep", f"</{row_tag}>").text(path)
-    records = chunks.select(xml_record_text("value", row_tag).alias("record")).filter(F.col("record") != "")
+    records = chunks.select(xml_record_text("value", row_tag).alias("record")).filter(F.col("record").isNotNull())
     parsed = records.select(F.from_xml("record", schema, options or None).alias("r"))
     return parsed.select("r.*")
 
@@ -114,7 +116,7 @@ def infer_xml_schema(
     chunks = spark.read.option("lineSep", f"</{row_tag}>").text(path)
     sample = (
         chunks.select(xml_record_text("value", row_tag).alias("record"))
-        .filter(F.col("record") != "")
+        .filter(F.col("record").isNotNull())
         .limit(sample_rows)
         .collect()
     )

@@ -24,6 +24,6 @@ def article_stream(
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
     chunks = reader.text(directory)
-    records = chunks.select(xml_record_text("value", row_tag).alias("record")).filter(F.col("record") != "")
+    records = chunks.select(xml_record_text("value", row_tag).alias("record")).filter(F.col("record").isNotNull())
     raw = records.select(F.from_xml("record", schema).alias("r")).select("r.*")
     return prepare_articles(raw)
