@@ -10,6 +10,7 @@ from titlematch.sources.xml import (
     read_xml_records,
     read_xml_rows,
     xml_record_text,
+    xml_records,
 )
 
 __all__ = [
@@ -27,4 +28,5 @@ __all__ = [
     "read_xml_records",
     "read_xml_rows",
     "xml_record_text",
+    "xml_records",
 ]

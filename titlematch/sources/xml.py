@@ -68,18 +68,32 @@ def read_xml_rows(
     return reader.load(path)
 
 
+def _tag_position(chunk: Column, row_tag: str) -> Column:
+    return F.regexp_instr(chunk, F.lit(rf"<\Q{row_tag}\E[\s/>]"))
+
+
 def xml_record_text(chunk: Column | str, row_tag: str) -> Column:
     """Turn a chunk ending just before ``</row_tag>`` into one record string.
 
     Text before the opening tag (the root element, whitespace) is cut;
-    chunks without an opening tag (the document tail) give NULL.  One
-    ``regexp_instr`` finds the tag, ``substr`` copies the record once.
+    chunks without an opening tag (the document tail) give NULL.
     """
     c = as_col(chunk)
-    pos = F.regexp_instr(c, F.lit(rf"<\Q{row_tag}\E[\s/>]"))
+    pos = _tag_position(c, row_tag)
     return F.when(pos > 0, F.concat(F.substr(c, pos), F.lit(f"</{row_tag}>")))
 
 
+def xml_records(chunks: DataFrame, row_tag: str, column: str = "value") -> DataFrame:
+    """One ``record`` string per chunk that holds an opening ``row_tag``.
+
+    The tag position is found once with ``regexp_instr``; the filter tests
+    only that position, so the record text is copied once, after it.
+    """
+    pos = chunks.select(F.col(column), _tag_position(F.col(column), row_tag).alias("__pos"))
+    pos = pos.filter(F.col("__pos") > 0)
+    return pos.select(F.concat(F.substr(F.col(column), F.col("__pos")), F.lit(f"</{row_tag}>")).alias("record"))
+
+
 def read_xml_records(
     spark: SparkSession,
     path: str | list[str],
@@ -92,7 +106,7 @@ def read_xml_records(
     Output columns are the top-level fields of ``schema``.
     """
     chunks = spark.read.option("lineSep", f"</{row_tag}>").text(path)
-    records = chunks.select(xml_record_text("value", row_tag).alias("record")).filter(F.col("record").isNotNull())
+    records = xml_records(chunks, row_tag)
     parsed = records.select(F.from_xml("record", schema, options or None).alias("r"))
     return parsed.select("r.*")
 
@@ -115,8 +129,7 @@ def infer_xml_schema(
         raise ValueError("sample_rows must be positive")
     chunks = spark.read.option("lineSep", f"</{row_tag}>").text(path)
     sample = (
-        chunks.select(xml_record_text("value", row_tag).alias("record"))
-        .filter(F.col("record").isNotNull())
+        xml_records(chunks, row_tag)
         .limit(sample_rows)
         .collect()
     )

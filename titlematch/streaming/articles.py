@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from titlematch.plans.prepare import prepare_articles
-from titlematch.sources.xml import ARTICLE_SCHEMA_PRUNED, xml_record_text
+from titlematch.sources.xml import ARTICLE_SCHEMA_PRUNED, xml_records
 
 
 def article_stream(
@@ -24,6 +24,6 @@ def article_stream(
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
     chunks = reader.text(directory)
-    records = chunks.select(xml_record_text("value", row_tag).alias("record")).filter(F.col("record").isNotNull())
+    records = xml_records(chunks, row_tag)
     raw = records.select(F.from_xml("record", schema).alias("r")).select("r.*")
     return prepare_articles(raw)
