@@ -112,3 +112,21 @@ def test_job_golden_without_broadcast(spark, workdir):
         key=lambda t: -t[2],
     )
     assert got == GOLDEN
+
+
+def test_write_catalog_table(spark):
+    from titlematch.sinks import TableTarget
+
+    df = spark.createDataFrame([(i, float(i)) for i in range(10)], "id int, r double")
+    write_table(df, TableTarget("tm_result"), order_by="r", rows=4, tie_breakers=["id"])
+    assert [r.id for r in spark.table("tm_result").orderBy("id").collect()] == [6, 7, 8, 9]
+    write_table(df, TableTarget("tm_result"), mode="append", order_by="r", rows=1)
+    assert spark.table("tm_result").count() == 5
+    spark.sql("DROP TABLE tm_result")
+
+
+def test_read_table_needs_all_bounds(spark):
+    from titlematch.sources import read_table
+
+    with pytest.raises(ValueError):
+        read_table(spark, JdbcTarget("jdbc:none://x"), "t", partition_column="id", lower_bound=0)
