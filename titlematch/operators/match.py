@@ -248,6 +248,23 @@ def tiered_match(
         *[f"__b_{k}" for k in keys]
     )
 
+    # 1b. keep only right rows some left key needs (its best tier and keys).
+    #     A left semi join: AQE can split a hot right key here (the right
+    #     rows are its streamed side), and a right key no left row needs -
+    #     however hot - never reaches the final join.
+    needed = best.filter(F.col(_BEST).isNotNull()).select(
+        F.col(_BEST).alias("__n_tier"),
+        *[_tier_key(F.col(_BEST), F.col(f"__b_{k}"), k, tiers).alias(f"__n{j}") for j, k in enumerate(keys)],
+    )  # no distinct: a semi join never fans out
+    if broadcast_keys:
+        needed = F.broadcast(needed)
+    need_cond = reduce(
+        lambda a, b: a & b,
+        [F.col(_TIER) == F.col("__n_tier")]
+        + [F.col(_kname(j)).eqNullSafe(F.col(f"__n{j}")) for j in range(len(keys))],
+    )
+    tagged = tagged.join(needed, need_cond, "left_semi")
+
     # 2. first-tier rows keep their multiplicity (their row id keeps them
     #    apart); every other row is seen once per distinct value.  One
     #    aggregate, partial per map task, so a hot duplicated row collapses
