@@ -20,8 +20,9 @@ Two physical forms:
     The scalable form.  The best tier depends only on the left row's key
     values, so it is decided on the *distinct* left keys against the
     *distinct* right keys of each tier (both partial aggregates, so hot keys
-    collapse map-side).  One equi-join on ``(tier, keys)`` then emits exactly
-    the output pairs - no candidate pair from a losing tier is ever built.
+    collapse map-side).  Right rows are semi-joined to the keys some left
+    row needs, then one equi-join on ``(tier, keys)`` emits exactly the
+    output pairs - no candidate pair from a losing tier is ever built.
     First-tier rows are never aggregated, so a hot duplicated movie stays
     spread over the input partitions and AQE can split its join partition.
 
