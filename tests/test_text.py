@@ -110,7 +110,7 @@ def test_fast_parse_equals_plain_regex(spark, urls):
     df = spark.createDataFrame([(u,) for u in urls] + [(None,)], "url string")
     fast = url_parts("url")
     stem, year, kind = [F.regexp_extract("url", ARTICLE_URL_PATTERN, i) for i in (1, 2, 3)]
-    raw = F.when((year == "") & (kind == ""), url_last_segment("url")).otherwise(stem)
+    raw = F.when((year == "") & (kind == ""), F.element_at(F.split("url", "/"), -1)).otherwise(stem)
     plain_title = F.lower(F.trim(F.regexp_replace(raw, "_", " ")))
     out = df.select(
         fast.cleaned_title.alias("c"), fast.year.alias("y"), fast.type.alias("t"),
