@@ -33,6 +33,8 @@ MOVIE_RENAMES = {C.VOTE_AVERAGE: C.RATING}
 JSON_LIST_COLUMNS = [C.GENRES, C.PRODUCTION_COMPANIES]
 
 
+# The movie rows kept (built as Columns at call time, because
+# Columns need an active session).
 def movie_filters() -> dict[str, Column]:
     """Rows kept: a non-empty title and positive revenue and budget.
 
