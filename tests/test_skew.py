@@ -16,6 +16,8 @@ SKEW_CONF = {
     "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256",
     "spark.sql.adaptive.coalescePartitions.enabled": "false",
+    # split even where the split costs an extra exchange (README, "At 1000x")
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
 }
 
 

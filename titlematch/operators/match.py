@@ -38,7 +38,7 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from titlematch import columns as C
@@ -169,38 +169,37 @@ def semi_reduce(
 def best_tier_by_key(left: DataFrame, tagged: DataFrame, tiers: Sequence[Tier], keys: Sequence[str]) -> DataFrame:
     """``(keys..., __best)`` for every distinct left key that matches some tier.
 
-    Works on distinct keys on both sides: ``distinct`` is a partial
-    aggregate, so the exchange carries at most one row per key per map task.
+    No join: the left keys and the tagged right keys are unioned and grouped
+    by all keys with one "has" flag per tier (a partial aggregate, so hot keys
+    collapse map-side).  A tier that uses fewer keys gets its flag spread over
+    those keys with a window - over already-aggregated keys, so even a hot
+    title holds only its distinct key values there.  Size estimates of a
+    union/aggregate add up rather than multiply, so the planner can broadcast
+    the result statically when the inputs are small.
+
+    NULL-safe grouping cannot create false hits: a right row only carries
+    flags for tiers whose keys are all non-NULL on it.
     """
-    types = dict(left.dtypes)
-    mk = left.select(*keys).distinct()
-    probes = mk.select(
-        *keys,
-        F.inline(
-            F.array(
-                *[
-                    F.struct(
-                        F.lit(i).alias(_TIER),
-                        *[
-                            (F.col(k) if k in t.keys else F.lit(None).cast(types[k])).alias(_kname(j))
-                            for j, k in enumerate(keys)
-                        ],
-                    )
-                    for i, t in enumerate(tiers, 1)
-                ]
-            )
-        ),
-    ).filter(_valid(F.col(_TIER), keys, tiers))
-
-    avail = tagged.select(_TIER, *[_kname(j) for j in range(len(keys))]).distinct()
-    avail = avail.select(
-        F.col(_TIER).alias("__a_tier"), *[F.col(_kname(j)).alias(f"__a{j}") for j in range(len(keys))]
+    n = len(tiers)
+    flags = [f"__h{i}" for i in range(1, n + 1)]
+    lk = left.select(
+        *[F.col(k) for k in keys], F.lit(True).alias("__m"), *[F.lit(False).alias(f) for f in flags]
     )
-    cond = (probes[_TIER] == avail["__a_tier"]) & _null_safe_on(
-        probes, avail, [(_kname(j), f"__a{j}") for j in range(len(keys))]
+    rk = tagged.select(
+        *[F.col(_kname(j)).alias(k) for j, k in enumerate(keys)],
+        F.lit(False).alias("__m"),
+        *[(F.col(_TIER) == i).alias(f"__h{i}") for i in range(1, n + 1)],
     )
-    hits = probes.join(avail, cond, "inner")
-    return hits.groupBy(*keys).agg(F.min(_TIER).alias(_BEST))
+    agg = lk.unionByName(rk).groupBy(*keys).agg(F.max("__m").alias("__m"), *[F.max(f).alias(f) for f in flags])
+    hit = {}
+    for i, t in enumerate(tiers, 1):
+        if set(t.keys) == set(keys):
+            hit[i] = F.col(f"__h{i}")
+        else:
+            hit[i] = F.max(f"__h{i}").over(Window.partitionBy(*t.keys))
+    spread = agg.select(*keys, "__m", *[hit[i].alias(f"__s{i}") for i in range(1, n + 1)])
+    best = F.coalesce(*[F.when(F.col(f"__s{i}"), F.lit(i)) for i in range(1, n + 1)])
+    return spread.filter(F.col("__m")).select(*keys, best.alias(_BEST)).filter(F.col(_BEST).isNotNull())
 
 
 def tiered_match(
