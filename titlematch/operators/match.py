@@ -130,21 +130,20 @@ def tag_right(right: DataFrame, tiers: Sequence[Tier], keys: Sequence[str], payl
     # Rows eligible for no tier are dropped first.  The scan filters are
     # plain column comparisons, so their OR reaches a file scan as pushed
     # filters; the exact per-tier test follows.
-    if all(t.scan_filter for t in tiers):
-        right = right.filter(reduce(lambda a, b: a | b, [F.expr(f"({t.scan_filter})") for t in tiers]))
     eligible = reduce(lambda a, b: a | b, [F.expr(f"({t.right_filter})") for t in tiers])
+    if all(t.scan_filter for t in tiers):
+        eligible = reduce(lambda a, b: a | b, [F.expr(f"({t.scan_filter})") for t in tiers]) & eligible
     tagged = right.filter(eligible).select(
         *[F.col(k) for k in keys],
         *[F.col(p) for p in payload],
         F.explode(F.filter(ids, lambda x: x.isNotNull())).alias(_TIER),
     )
     tier = F.col(_TIER)
-    tagged = tagged.select(
+    return tagged.select(
         tier,
         *[_tier_key(tier, F.col(k), k, tiers).alias(_kname(j)) for j, k in enumerate(keys)],
         *payload,
-    )
-    return tagged.filter(_valid(tier, keys, tiers))
+    ).filter(_valid(tier, keys, tiers))
 
 
 def semi_reduce(
@@ -199,7 +198,8 @@ def best_tier_by_key(left: DataFrame, tagged: DataFrame, tiers: Sequence[Tier],
             hit[i] = F.max(f"__h{i}").over(Window.partitionBy(*t.keys))
     spread = agg.select(*keys, "__m", *[hit[i].alias(f"__s{i}") for i in range(1, n + 1)])
     best = F.coalesce(*[F.when(F.col(f"__s{i}"), F.lit(i)) for i in range(1, n + 1)])
-    return spread.filter(F.col("__m")).select(*keys, best.alias(_BEST)).filter(F.col(_BEST).isNotNull())
+    any_hit = reduce(lambda a, b: a | b, [F.col(f"__s{i}") for i in range(1, n + 1)])
+    return spread.filter(F.col("__m") & any_hit).select(*keys, best.alias(_BEST))
 
 
 def tiered_match(
@@ -237,16 +237,13 @@ def tiered_match(
         tagged = semi_reduce(tagged, left, tiers, keys, broadcast=broadcast_keys)
 
     # 1. best tier per distinct left key (small: one row per distinct key)
-    best = best_tier_by_key(left, tagged, tiers, keys)
-    best = best.select(*[F.col(k).alias(f"__b_{k}") for k in keys], _BEST)
+    best = best_tier_by_key(left, tagged, tiers, keys).toDF(*[f"__b_{k}" for k in keys], _BEST)
     if broadcast_keys:
         best = F.broadcast(best)
     # The row id is taken at the scan, before any exchange, so a recomputed
     # task (lost executor) assigns the same ids to the same rows.
     with_id = left.withColumn(_ROW, F.monotonically_increasing_id())
-    with_best = with_id.join(best, _null_safe_on(with_id, best, [(k, f"__b_{k}") for k in keys]), "left").drop(
-        *[f"__b_{k}" for k in keys]
-    )
+    with_best = with_id.join(best, _null_safe_on(with_id, best, [(k, f"__b_{k}") for k in keys]), "left")
 
     # 1b. keep only right rows some left key needs (its best tier and keys).
     #     A left semi join: AQE can split a hot right key here (the right
@@ -269,16 +266,16 @@ def tiered_match(
     #    apart); every other row is seen once per distinct value.  One
     #    aggregate, partial per map task, so a hot duplicated row collapses
     #    before the shuffle.
-    rows = with_best.withColumn(_ROW, F.when(F.col(_BEST) == 1, F.col(_ROW))).distinct()
-
+    #
     # 3. one left join on (tier, keys) emits exactly the output pairs; rows
     #    without a tier (NULL __best) never satisfy the join and come out once
     #    with NULL right-side columns.
-    rows = rows.select(
+    rows = with_best.select(
         *left.columns,
         F.col(_BEST).alias(_TIER),
         *[_tier_key(F.col(_BEST), F.col(k), k, tiers).alias(f"__m{j}") for j, k in enumerate(keys)],
-    )
+        F.when(F.col(_BEST) == 1, F.col(_ROW)).alias(_ROW),
+    ).distinct()
     right_rows = tagged.select(
         F.col(_TIER).alias("__r_tier"), *[F.col(_kname(j)).alias(f"__r{j}") for j in range(len(keys))], *payload
     )

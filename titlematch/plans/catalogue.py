@@ -46,30 +46,38 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def movie_view(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.sql(for_spark(MOVIE_VIEW), part=_table(spark, sf_dir, "part"))
+def movie_view(spark: SparkSession, sf_dir: str, part: DataFrame | None = None) -> DataFrame:
+    part = part if part is not None else _table(spark, sf_dir, "part")
+    return spark.sql(for_spark(MOVIE_VIEW), part=part)
 
 
-def article_view(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.sql(for_spark(ARTICLE_VIEW), part=_table(spark, sf_dir, "part"))
+def article_view(spark: SparkSession, sf_dir: str, part: DataFrame | None = None) -> DataFrame:
+    part = part if part is not None else _table(spark, sf_dir, "part")
+    return spark.sql(for_spark(ARTICLE_VIEW), part=part)
 
 
-def movies(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return prepare_movies(movie_view(spark, sf_dir))
+def movies(spark: SparkSession, sf_dir: str, part: DataFrame | None = None) -> DataFrame:
+    return prepare_movies(movie_view(spark, sf_dir, part))
 
 
-def movie_view_with_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
+def movie_view_with_copies(spark: SparkSession, sf_dir: str, part: DataFrame | None = None) -> DataFrame:
     """The movie view plus a second copy of every row; in the copy the
     release date is unreadable when ``vote_average`` is 0-2.  That gives
     exact duplicates (tier-1 rows keep them, the rest collapse) and NULL-year
     variants (never tier 1) over the whole table."""
-    mv = movie_view(spark, sf_dir)
+    mv = movie_view(spark, sf_dir, part)
     unknown = F.when(F.col(C.VOTE_AVERAGE).isin("0", "1", "2"), F.lit("unknown")).otherwise(F.col(C.RELEASE_DATE))
     return mv.unionByName(mv.withColumn(C.RELEASE_DATE, unknown))
 
 
-def articles(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return prepare_articles(article_view(spark, sf_dir))
+def articles(spark: SparkSession, sf_dir: str, part: DataFrame | None = None) -> DataFrame:
+    return prepare_articles(article_view(spark, sf_dir, part))
+
+
+def both_prepared(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Prepared movies and articles over one read of ``part``."""
+    part = _table(spark, sf_dir, "part")
+    return movies(spark, sf_dir, part), articles(spark, sf_dir, part)
 
 
 def flat(df: DataFrame, sep: str = "|") -> DataFrame:
@@ -80,7 +88,7 @@ def flat(df: DataFrame, sep: str = "|") -> DataFrame:
 
 
 def matched(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return tiered_match(movies(spark, sf_dir), articles(spark, sf_dir))
+    return tiered_match(*both_prepared(spark, sf_dir))
 
 
 OUTPUT_TIE_BREAKERS = [
@@ -162,10 +170,11 @@ def q_articles_prepared(spark, sf):
 
 def _tier_join(spark, sf, tier_no: int, how: str):
     t = FILM_TIERS[tier_no - 1]
-    a = articles(spark, sf).filter(F.expr(t.right_filter))
+    m, a = both_prepared(spark, sf)
+    a = a.filter(F.expr(t.right_filter))
     if C.YEAR not in t.keys:
         a = a.drop(C.YEAR)
-    out = movies(spark, sf).join(a, list(t.keys), how)
+    out = m.join(a, list(t.keys), how)
     return flat(out.select(*C.OUTPUT_COLUMNS))
 
 
@@ -182,15 +191,15 @@ def q_left_join_title(spark, sf):
 
 
 def q_except_matched(spark, sf):
-    m = movies(spark, sf)
+    m, a = both_prepared(spark, sf)
     t = FILM_TIERS[0]
-    a = articles(spark, sf).filter(F.expr(t.right_filter))
+    a = a.filter(F.expr(t.right_filter))
     hit = m.join(a, list(t.keys), "inner").select(*m.columns)
     return flat(m.subtract(hit))
 
 
 def q_union_tiers(spark, sf):
-    return flat(tiered_match_except(movies(spark, sf), articles(spark, sf)))
+    return flat(tiered_match_except(*both_prepared(spark, sf)))
 
 
 def q_tiered_match(spark, sf):
@@ -198,7 +207,8 @@ def q_tiered_match(spark, sf):
 
 
 def q_tiered_match_dups(spark, sf):
-    return flat(tiered_match(prepare_movies(movie_view_with_copies(spark, sf)), articles(spark, sf)))
+    part = _table(spark, sf, "part")
+    return flat(tiered_match(prepare_movies(movie_view_with_copies(spark, sf, part)), articles(spark, sf, part)))
 
 
 def q_match_top_k(spark, sf):
@@ -227,8 +237,9 @@ def q_distinct_companies(spark, sf):
 
 
 def q_row_counts(spark, sf):
-    m = movies(spark, sf).agg(F.count(F.lit(1)).alias("n")).select(F.lit("movies").alias("table_name"), "n")
-    a = articles(spark, sf).agg(F.count(F.lit(1)).alias("n")).select(F.lit("articles").alias("table_name"), "n")
+    mv, av = both_prepared(spark, sf)
+    m = mv.agg(F.count(F.lit(1)).alias("n")).select(F.lit("movies").alias("table_name"), "n")
+    a = av.agg(F.count(F.lit(1)).alias("n")).select(F.lit("articles").alias("table_name"), "n")
     return m.unionByName(a)
 
 
