@@ -31,7 +31,8 @@ from titlematch.plans.prepare import (
 )
 from titlematch.plans.sql import run_sql
 from titlematch.plans.views import ARTICLE_VIEW, MOVIE_VIEW, for_duckdb, for_spark
-from titlematch.sources.xml import ARTICLE_SCHEMA_PRUNED, xml_record_text
+from titlematch.sources.delimited import APOSTROPHE_ESCAPE
+from titlematch.sources.xml import ARTICLE_SCHEMA_PRUNED, xml_records
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -274,7 +275,7 @@ def csv_lines(mv: DataFrame) -> DataFrame:
 
 def q_csv_parse(spark, sf):
     lines = csv_lines(movie_view(spark, sf))
-    opts = {"sep": ",", "quote": '"', "escape": "'"}
+    opts = {k: v for k, v in APOSTROPHE_ESCAPE.options().items() if k in ("sep", "quote", "escape")}
     rows = lines.select(F.from_csv("line", CSV_SCHEMA, opts).alias("r")).select("r.*")
     rows = cast_columns(rows, {"id": "long", C.GENRES: MOVIE_TYPES[C.GENRES]})
     return flat(pluck(rows, [C.GENRES], "name")).select("id", C.TITLE, C.GENRES, C.BUDGET, C.REVENUE)
@@ -299,7 +300,7 @@ def xml_chunks(av: DataFrame) -> DataFrame:
 
 
 def q_xml_parse(spark, sf):
-    rec = xml_chunks(article_view(spark, sf)).select(xml_record_text("value", "doc").alias("record"))
+    rec = xml_records(xml_chunks(article_view(spark, sf)), "doc")
     raw = rec.select(F.from_xml("record", ARTICLE_SCHEMA_PRUNED).alias("r")).select("r.*")
     return prepare_articles(raw)
 
