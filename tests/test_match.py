@@ -6,9 +6,9 @@ import pytest
 from conftest import rows
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
-from pyspark.sql import functions as F
 
-from titlematch.operators.match import FILM_TIERS, Tier, tiered_match, tiered_match_except
+
+from titlematch.operators.match import Tier, tiered_match, tiered_match_except
 
 MOVIE_SCHEMA = (
     "title string, year string, production_companies array<string>, genres array<string>, rating string, "
