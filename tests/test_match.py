@@ -7,7 +7,6 @@ from conftest import rows
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
-
 from titlematch.operators.match import Tier, tiered_match, tiered_match_except
 
 MOVIE_SCHEMA = (
