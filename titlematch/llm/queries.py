@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from titlematch.llm.base import table
 from titlematch.llm.exact_dedup import exact_groups
 from titlematch.llm.mixing import mix
+from titlematch.llm.near_dedup import near_classes
 
 
 def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -17,7 +18,11 @@ def op3_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_exact_dedup, op3_source_mix)}
+def op8_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_classes(table(spark, sf_dir, "documents"), words=2)
+
+
+QUERIES = {f.__name__: f for f in (op1_exact_dedup, op3_source_mix, op8_near_dedup)}
 
 ORACLE_SQL = {
     "op1_exact_dedup": """
@@ -27,6 +32,29 @@ WITH d AS (
 ), g AS (SELECT norm, max(doc_id) AS keep_id, count(*) AS group_size FROM d GROUP BY norm)
 SELECT d.doc_id, g.keep_id, g.group_size, d.doc_id IS NOT DISTINCT FROM g.keep_id AS kept, sha256(d.norm) AS text_sha256
 FROM d JOIN g ON d.norm = g.norm
+""",
+    "op8_near_dedup": r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w
+  FROM documents
+), s AS (
+  SELECT doc_id, CASE WHEN len(w) = 1 THEN w ELSE list_distinct(
+    list_transform(generate_series(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1])) END AS s
+  FROM w
+), n AS (SELECT doc_id, len(s) AS n_shingles FROM s),
+x AS (SELECT doc_id, unnest(s) AS x FROM s),
+c AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS hits FROM x AS a JOIN x AS b ON a.x = b.x AND a.doc_id <> b.doc_id GROUP BY ALL
+), e AS (
+  SELECT a, b FROM c JOIN n AS p ON p.doc_id = a JOIN n AS q ON q.doc_id = b
+  WHERE 100 * hits >= 80 * (p.n_shingles + q.n_shingles - hits)
+), r AS (
+  SELECT doc_id AS a, doc_id AS b FROM documents
+  UNION
+  SELECT r.a, e.b FROM r JOIN e ON r.b = e.a
+), m AS (SELECT a, min(b) AS component_id FROM r GROUP BY a)
+SELECT doc_id, n_shingles, component_id, doc_id = component_id AS kept FROM n JOIN m ON m.a = doc_id
 """,
     "op3_source_mix": r"""
 WITH d AS (
