@@ -8,6 +8,7 @@ from titlematch.llm.base import table
 from titlematch.llm.exact_dedup import exact_groups
 from titlematch.llm.mixing import mix
 from titlematch.llm.near_dedup import near_classes
+from titlematch.llm.packing import packed
 from titlematch.llm.quality import quality_scores
 
 
@@ -19,6 +20,10 @@ def op3_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(table(spark, sf_dir, "documents"))
 
 
+def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packed(table(spark, sf_dir, "documents"))
+
+
 def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -27,7 +32,7 @@ def op8_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_classes(table(spark, sf_dir, "documents"), words=2)
 
 
-QUERIES = {f.__name__: f for f in (op1_exact_dedup, op3_source_mix, op7_quality, op8_near_dedup)}
+QUERIES = {f.__name__: f for f in (op1_exact_dedup, op3_source_mix, op5_best_fit_packing, op7_quality, op8_near_dedup)}
 
 ORACLE_SQL = {
     "op1_exact_dedup": """
