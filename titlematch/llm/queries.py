@@ -10,6 +10,7 @@ from titlematch.llm.mixing import mix
 from titlematch.llm.near_dedup import near_classes
 from titlematch.llm.packing import packed
 from titlematch.llm.quality import quality_scores
+from titlematch.llm.token_counts import token_counts
 
 
 def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -20,6 +21,10 @@ def op3_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(table(spark, sf_dir, "documents"))
 
 
+def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts(table(spark, sf_dir, "documents"))
+
+
 def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed(table(spark, sf_dir, "documents"))
 
@@ -32,7 +37,7 @@ def op8_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_classes(table(spark, sf_dir, "documents"), words=2)
 
 
-QUERIES = {f.__name__: f for f in (op1_exact_dedup, op3_source_mix, op5_best_fit_packing, op7_quality, op8_near_dedup)}
+QUERIES = {f.__name__: f for f in (op1_exact_dedup, op3_source_mix, op4_token_counts, op5_best_fit_packing, op7_quality, op8_near_dedup)}
 
 ORACLE_SQL = {
     "op1_exact_dedup": """
