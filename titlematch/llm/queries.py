@@ -11,6 +11,7 @@ from titlematch.llm.near_dedup import near_classes
 from titlematch.llm.packing import packed
 from titlematch.llm.quality import quality_scores
 from titlematch.llm.token_counts import token_counts
+from titlematch.llm.toxicity import toxicity
 
 
 def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -29,6 +30,10 @@ def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed(table(spark, sf_dir, "documents"))
 
 
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -37,7 +42,7 @@ def op8_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_classes(table(spark, sf_dir, "documents"), words=2)
 
 
-QUERIES = {f.__name__: f for f in (op1_exact_dedup, op3_source_mix, op4_token_counts, op5_best_fit_packing, op7_quality, op8_near_dedup)}
+QUERIES = {f.__name__: f for f in (op1_exact_dedup, op3_source_mix, op4_token_counts, op5_best_fit_packing, op6_toxicity, op7_quality, op8_near_dedup)}
 
 ORACLE_SQL = {
     "op1_exact_dedup": """
