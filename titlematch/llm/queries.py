@@ -10,6 +10,7 @@ from titlematch.llm.mixing import mix
 from titlematch.llm.near_dedup import near_classes
 from titlematch.llm.packing import packed
 from titlematch.llm.quality import quality_scores
+from titlematch.llm.secrets import secrets
 from titlematch.llm.token_counts import token_counts
 from titlematch.llm.toxicity import toxicity
 
@@ -18,6 +19,10 @@ def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_groups(table(spark, sf_dir, "documents"))
 
 
+def op2_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets(table(spark, sf_dir, "documents"))
+
+
 def op3_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(table(spark, sf_dir, "documents"))
 
@@ -42,7 +47,7 @@ def op8_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_classes(table(spark, sf_dir, "documents"), words=2)
 
 
-QUERIES = {f.__name__: f for f in (op1_exact_dedup, op3_source_mix, op4_token_counts, op5_best_fit_packing, op6_toxicity, op7_quality, op8_near_dedup)}
+QUERIES = {f.__name__: f for f in (op1_exact_dedup, op2_secrets, op3_source_mix, op4_token_counts, op5_best_fit_packing, op6_toxicity, op7_quality, op8_near_dedup)}
 
 ORACLE_SQL = {
     "op1_exact_dedup": """
