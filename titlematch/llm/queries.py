@@ -13,6 +13,7 @@ from titlematch.llm.quality import quality_scores
 from titlematch.llm.secrets import secrets
 from titlematch.llm.token_counts import token_counts
 from titlematch.llm.toxicity import toxicity
+from titlematch.llm.training_order import training_order
 
 
 def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -47,7 +48,11 @@ def op8_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_classes(table(spark, sf_dir, "documents"), words=2)
 
 
-QUERIES = {f.__name__: f for f in (op1_exact_dedup, op2_secrets, op3_source_mix, op4_token_counts, op5_best_fit_packing, op6_toxicity, op7_quality, op8_near_dedup)}
+def op9_training_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return training_order(table(spark, sf_dir, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (op1_exact_dedup, op2_secrets, op3_source_mix, op4_token_counts, op5_best_fit_packing, op6_toxicity, op7_quality, op8_near_dedup, op9_training_order)}
 
 ORACLE_SQL = {
     "op1_exact_dedup": """
