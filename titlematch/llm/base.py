@@ -43,6 +43,16 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+#: Rows of keys that are broadcast; more are joined by a shuffle.
+FEW_KEYS = 1_000_000
+
+
+def few(keys: DataFrame) -> DataFrame:
+    """Narrow keys for the small side of a semi or anti join: broadcast if a count
+    shows that they are few, else as they are."""
+    return F.broadcast(keys) if keys.count() <= FEW_KEYS else keys
+
+
 def text_of(col: str | Column = "text") -> Column:
     """The text, null read as empty."""
     return F.coalesce(F.col(col) if isinstance(col, str) else col, F.lit(""))
