@@ -20,7 +20,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from titlematch.llm.base import fold_ascii, staged, text_of
+from titlematch.llm.base import few, fold_ascii, staged, text_of
 from titlematch.llm.quotient import QuotientFilter
 
 #: Documents a filter block is sized for; blocks grow in number, not in size.
@@ -86,6 +86,7 @@ def _routed(docs: DataFrame, extra: list[Column]) -> tuple[DataFrame, DataFrame,
     repeated = staged(repeated_fingerprints(docs.select(fp.alias("fp")), docs.count()), "exact-repeated").select(
         F.col("fp").alias("_repeated")
     )
+    repeated = few(repeated)
     rows = docs.select(*extra, fp.alias("_fp"), F.sha2(normalised(), 256).alias("_sha"), F.col("doc_id").alias("_doc"))
     groups = (
         docs.select(F.col("doc_id").alias("_doc"), normalised().alias("_norm"))
