@@ -87,15 +87,21 @@ def best_fit(counts: dict[int, int], capacity: int) -> list[tuple[int, int, int,
                 continue
             gap = order[at]
             first, n = gaps[gap].pop()
-            k = min(n, left)
-            if k < n:
-                gaps[gap].append((first + k, n - k))
+            # a sequence takes rows while they fit: what remains is again the smallest gap
+            each = gap // length
+            full = min(n, left // each)
+            rest = left % each if full < n else 0
+            used = full + bool(rest)
+            if used < n:
+                gaps[gap].append((first + used, n - used))
             if not gaps[gap]:
                 order.pop(at)
-            segments.append((length, rank, k, first, capacity - gap))
-            if gap > length:
-                add(gap - length, first, k)
-            left, rank = left - k, rank + k
+            for k, to, rows in [(k, first, full) for k in range(each) if full] + [(k, first + full, 1) for k in range(rest)]:
+                segments.append((length, rank, rows, to, capacity - gap + k * length))
+                rank, left = rank + rows, left - rows
+            for rows, to, taken in ((full, first, each), (bool(rest), first + full, rest)):
+                if rows and gap > taken * length:
+                    add(gap - taken * length, to, int(rows))
     return segments
 
 
