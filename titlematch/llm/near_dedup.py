@@ -8,14 +8,15 @@ minimum only ``BITS`` low bits are kept and packed into ``SIG_LONGS`` longs.
 2. Nodes that share a band key are candidates.  A bucket emits a star, every
    member with one pivot, not its pairs.  A pair passes on when the sizes allow
    the similarity at all and the collision-corrected estimate, from bit counts of
-   the packed signatures, is not hopeless (``SLACK`` below the threshold, more
-   than five standard errors).
+   the packed signatures, is not hopeless (``SLACK`` below the threshold, almost
+   five standard errors).
 3. What passes is confirmed on the full sets, and confirmed links are joined
    into components.
-4. Buckets whose members are still in several components take another pivot,
-   and when that no longer joins anything the members outside a bucket's main
-   component are compared with all others of other components, so that no pair
-   of a bucket is left untested unless its ends are already connected.
+4. Where a bucket still holds several components, what stands outside its
+   largest one is compared with all its members, block by block inside tasks:
+   screened, confirmed, and only confirmed links leave a task.  So no pair of a
+   bucket is left untested unless its ends are already connected, and no list of
+   a bucket's pairs is ever made.
 
 A pair at exactly the threshold 0.8 shares none of 36 bands of 5 rows with
 probability (1 - 0.8^5)^36, below 1e-6.
@@ -26,20 +27,21 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from titlematch.llm.base import staged, text_of
+from titlematch.llm.base import few, staged, text_of
 from titlematch.llm.components import smallest_reachable
 from titlematch.llm.shingles import mixed, shingle_sets
 
-BANDS, ROWS, BITS = 36, 5, 2
+BANDS, ROWS, BITS = 36, 5, 4
 HASHES = BANDS * ROWS
 SIG_LONGS = -(-HASHES * BITS // 64)
-SLACK = 0.2
-#: Rounds of stars before the rest of a bucket's pairs are compared.
-STAR_ROUNDS = 4
+SLACK = 0.15
+#: Documents on each side of a block.
+BLOCK = 512
 #: Shingles whose hashes are minimised at a time (fits a core's cache).
 SLICE = 1 << 15
 
@@ -117,12 +119,14 @@ def signatures(docs: DataFrame, words: int) -> DataFrame:
 
 def estimate(left: str, right: str) -> Column:
     """Collision-corrected similarity from the packed signatures of two sides."""
-    lanes = int("01" * (64 // BITS), 2)  # the low bit of every value
+    lanes = int(("0" * (BITS - 1) + "1") * (64 // BITS), 2)  # the low bit of every value
     differ = F.lit(0)
     for s in _SIG:
         x = F.col(f"{left}.{s}").bitwiseXOR(F.col(f"{right}.{s}"))
-        any_bit = x.bitwiseOR(F.shiftrightunsigned(x, 1)).bitwiseAND(F.lit(lanes))
-        differ = differ + F.bit_count(any_bit)
+        spread = x
+        for k in range(1, BITS):
+            spread = spread.bitwiseOR(F.shiftrightunsigned(x, k))
+        differ = differ + F.bit_count(spread.bitwiseAND(F.lit(lanes)))
     chance = 2.0**-BITS
     return (1.0 - differ / F.lit(float(HASHES)) - chance) / (1.0 - chance)
 
@@ -140,8 +144,18 @@ def _screened(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
     )
 
 
+def alike(s: np.ndarray, t: np.ndarray, percent: int) -> bool:
+    """100 * intersection >= percent * union of two sorted sets."""
+    small, large = (s, t) if len(s) <= len(t) else (t, s)
+    if not len(small):
+        return False
+    place = np.searchsorted(large, small)
+    both = int((large[np.minimum(place, len(large) - 1)] == small).sum())
+    return 100 * both >= percent * (len(s) + len(t) - both)
+
+
 def _confirmed(pairs: DataFrame, texts: DataFrame, words: int, percent: int) -> DataFrame:
-    """Pairs with 100 * intersection >= percent * union of the full sets."""
+    """The pairs that are alike on their full sets."""
 
     def confirm(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = (None, None)  # rows come sorted by b: its set is made once
@@ -152,11 +166,7 @@ def _confirmed(pairs: DataFrame, texts: DataFrame, words: int, percent: int) ->
                 for i, s in enumerate(shingle_sets(part.column("_ta"), words)):
                     if b[i] != held[0]:
                         held = (b[i], shingle_sets(right.slice(i, 1), words)[0])
-                    t = held[1]
-                    small, large = (s, t) if len(s) <= len(t) else (t, s)
-                    place = np.searchsorted(large, small)
-                    both = int((large[np.minimum(place, len(large) - 1)] == small).sum()) if len(large) else 0
-                    keep.append(both > 0 and 100 * both >= percent * (len(s) + len(t) - both))
+                    keep.append(alike(s, held[1], percent))
                 yield pa.RecordBatch.from_arrays([part.column("a"), part.column("b")], names=["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
     ta = texts.select(F.col("node").alias("a"), F.col("_text").alias("_ta"))
@@ -165,16 +175,73 @@ def _confirmed(pairs: DataFrame, texts: DataFrame, words: int, percent: int) ->
     return both.mapInArrow(confirm, "a long, b long")
 
 
-def _rest(members: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Members (``key, node, label``) of buckets that hold several components,
-    and per bucket its main component's label and sizes."""
+def _pairings(left: pd.DataFrame, right: pd.DataFrame, words: int, percent: int) -> list[tuple[int, int]]:
+    """Confirmed links between rows of ``left`` and of ``right`` with different
+    labels that share a band key.  A link joins its labels, and pairs of joined
+    labels are not looked at again."""
+    parent: dict[int, int] = {}
+
+    def root(x: int) -> int:
+        while (up := parent.get(x, x)) != x:
+            parent[x] = x = parent.get(up, up)
+        return x
+
+    sets: dict[int, np.ndarray] = {}
+
+    def set_of(node: int, text: str) -> np.ndarray:
+        if node not in sets:
+            sets[node] = shingle_sets(pa.array([text]), words)[0]
+        return sets[node]
+
+    bands, sigs = np.stack(right["bands"]), right[_SIG].to_numpy().view(np.uint64)
+    lanes, per = np.uint64(int(("0" * (BITS - 1) + "1") * (64 // BITS), 2)), right["n_shingles"].to_numpy()
+    nodes, labels, texts = right["node"].to_numpy(), right["label"].to_numpy(), right["text"].tolist()
+    outside = labels != right["_main"].to_numpy()
+    links = []
+    for u in left.itertuples(index=False):
+        x = sigs ^ np.array([getattr(u, s) for s in _SIG], dtype=np.int64).view(np.uint64)
+        spread = x.copy()
+        for k in range(1, BITS):
+            spread |= x >> np.uint64(k)
+        differ = np.bitwise_count(spread & lanes).sum(axis=1)
+        near = (1 - differ / HASHES - 2.0**-BITS) / (1 - 2.0**-BITS) >= percent / 100 - SLACK
+        near &= 100 * np.minimum(per, u.n_shingles) >= percent * np.maximum(per, u.n_shingles)
+        near &= (labels != u.label) & (~outside | (nodes > u.node))
+        for j in np.flatnonzero(near):
+            if root(u.label) != root(int(labels[j])) and (bands[j] == u.bands).any():
+                if alike(set_of(u.node, u.text), set_of(int(nodes[j]), texts[j]), percent):
+                    links.append((u.node, int(nodes[j])))
+                    parent[root(u.label)] = root(int(labels[j]))
+    return links
+
+
+def _between(members: DataFrame, nodes: DataFrame, texts: DataFrame, words: int, percent: int) -> DataFrame:
+    """Links between different components whose members share a bucket.
+
+    ``members``: ``key, node, label``.  The buckets that hold several components
+    are gathered by their main (largest) component.  What stands outside of it is
+    compared with all members, in blocks of ``BLOCK`` by ``BLOCK`` documents, each
+    a group of its own; only confirmed links leave a block."""
     parts = members.groupBy("key", "label").agg(F.count(F.lit(1)).alias("_n"))
-    buckets = parts.groupBy("key").agg(
-        F.max(F.struct("_n", "label")).alias("_main"), F.sum("_n").alias("_all"), F.count(F.lit(1)).alias("_parts")
+    main = parts.groupBy("key").agg(F.max(F.struct("_n", "label")).alias("_m"), F.count(F.lit(1)).alias("_parts"))
+    main = staged(main.filter("_parts > 1").select("key", F.col("_m.label").alias("_main")), "near-mixed")
+    gathered = staged(members.join(main, "key").select("_main", "node", "label").distinct(), "near-gathered")
+    sizes = gathered.groupBy("_main").agg(
+        F.ceil(F.count(F.lit(1)) / BLOCK).alias("_right"), F.ceil(F.count(F.when(F.col("label") != F.col("_main"), 1)) / BLOCK).alias("_left")
     )
-    mixed_buckets = buckets.filter("_parts > 1").select("key", F.col("_main.label").alias("_main"), F.col("_main._n").alias("_n"), "_all")
-    mixed_buckets = staged(mixed_buckets, "near-mixed")
-    return members.join(mixed_buckets.select("key", "_main"), "key"), mixed_buckets
+    rows = gathered.join(staged(sizes, "near-sizes"), "_main").join(nodes.select("node", "n_shingles", "bands", *_SIG), "node").join(texts.withColumnRenamed("_text", "text"), "node")
+    rows = staged(rows, "near-block-rows")
+    place = F.xxhash64("node")
+    left = rows.filter("label <> _main").select(
+        "*", F.pmod(place, "_left").alias("_i"), F.explode(F.sequence(F.lit(0).cast("long"), F.col("_right") - 1)).alias("_j")
+    )
+    right = rows.select("*", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_left") - 1)).alias("_i"), F.pmod(place, "_right").alias("_j"))
+    keys = ["_main", "_i", "_j"]
+
+    def compare(a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
+        return pd.DataFrame(_pairings(a, b, words, percent) if len(a) and len(b) else [], columns=["a", "b"], dtype=np.int64)
+
+    return left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInPandas(compare, "a long, b long")
 
 
 def near_links(docs: DataFrame, nodes: DataFrame, words: int, percent: int) -> DataFrame:
@@ -184,42 +251,19 @@ def near_links(docs: DataFrame, nodes: DataFrame, words: int, percent: int) -> D
     shared = keys.groupBy("key").agg(F.min("node").alias("_pivot"), F.count(F.lit(1)).alias("_n")).filter("_n > 1")
     members = staged(keys.join(staged(shared, "near-keys"), "key"), "near-buckets")
     involved = members.select("node").distinct()
-    nodes = staged(nodes.drop("bands", "k1", "k2").join(involved, "node", "left_semi"), "near-nodes")
+    nodes = staged(nodes.drop("k1", "k2").join(involved, "node", "left_semi"), "near-nodes")
     texts = staged(
-        docs.select(F.col("doc_id").cast("long").alias("node"), text_of().alias("_text")).join(nodes.select("node"), "node", "left_semi"),
+        docs.select(F.col("doc_id").cast("long").alias("node"), text_of().alias("_text")).join(few(nodes.select("node")), "node", "left_semi"),
         "near-texts",
     )
-
-    def confirmed(pairs: DataFrame) -> DataFrame:
-        return _confirmed(staged(_screened(pairs.distinct(), nodes, percent), "near-pairs"), texts, words, percent)
-
-    stars = members.filter("node <> _pivot").select(F.col("_pivot").alias("a"), F.col("node").alias("b"))
-    links = staged(confirmed(stars), "near-links")
+    stars = members.filter("node <> _pivot").select(F.col("_pivot").alias("a"), F.col("node").alias("b")).distinct()
+    stars = staged(_screened(stars, nodes, percent), "near-pairs")
+    links = staged(_confirmed(stars, texts, words, percent), "near-links")
+    labels = smallest_reachable(links)
     members = members.filter("_n > 2").select("key", "node")  # with two members the star was all
-    for turn in range(STAR_ROUNDS):
-        labels = smallest_reachable(links)
-        members = members.join(labels, "node", "left").select("key", "node", F.coalesce("label", "node").alias("label"))
-        rest, sizes = _rest(staged(members, "near-members"))
-        rest = staged(rest, "near-rest")
-        members = rest.select("key", "node")
-        open_pairs, size = sizes.agg(F.sum((F.col("_all") - F.col("_n")) * F.col("_all")), F.sum("_all")).first()
-        if not size:
-            return labels
-        outside = rest.filter("label <> _main")
-        if open_pairs <= 8 * size or turn == STAR_ROUNDS - 1:
-            break
-        order = F.xxhash64("node", F.lit(turn))
-        pivots = outside.groupBy("key").agg(F.min(F.struct(order.alias("_o"), "node", "label")).alias("_p"))
-        stars = rest.join(pivots, "key").filter("label <> _p.label")
-        pairs = stars.select(F.least("node", "_p.node").alias("a"), F.greatest("node", "_p.node").alias("b"))
-        links = staged(links.union(confirmed(pairs)), "near-links")
-    cross = (
-        outside.alias("u")
-        .join(rest.alias("v"), (F.col("u.key") == F.col("v.key")) & (F.col("u.label") != F.col("v.label")))
-        .filter((F.col("v.label") == F.col("v._main")) | (F.col("u.node") < F.col("v.node")))
-        .select(F.least("u.node", "v.node").alias("a"), F.greatest("u.node", "v.node").alias("b"))
-    )
-    return smallest_reachable(links.union(confirmed(cross)))
+    members = members.join(labels, "node", "left").select("key", "node", F.coalesce("label", "node").alias("label"))
+    more = staged(_between(staged(members, "near-members"), nodes, texts, words, percent), "near-links")
+    return labels if more.isEmpty() else smallest_reachable(links.union(more))
 
 
 def near_classes(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
@@ -257,4 +301,4 @@ def without_near_copies(docs: DataFrame, words: int = 5, percent: int = 80) -> D
     columns."""
     dropped = staged(near_classes(docs, words, percent).filter("NOT kept").select(F.col("doc_id").alias("_dropped")).distinct(), "near-dropped")
     rows = docs.select(F.struct("*").alias("_row"), F.col("doc_id").cast("long").alias("_doc"))
-    return rows.join(dropped, F.col("_doc") == F.col("_dropped"), "left_anti").select("_row.*")
+    return rows.join(few(dropped), F.col("_doc") == F.col("_dropped"), "left_anti").select("_row.*")
