@@ -9,7 +9,6 @@ from titlematch.sources.xml import (
     read_articles,
     read_xml_records,
     read_xml_rows,
-    xml_record_text,
     xml_records,
 )
 
@@ -27,6 +26,5 @@ __all__ = [
     "read_table",
     "read_xml_records",
     "read_xml_rows",
-    "xml_record_text",
     "xml_records",
 ]

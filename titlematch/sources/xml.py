@@ -9,10 +9,10 @@ Two readers:
 
 ``read_xml_records``
     A splittable scan for record-per-element dumps: the text source cuts the
-    file at the closing row tag (``lineSep``), so every split of every file
+    file at the opening row tag (``lineSep``), so every split of every file
     is read in parallel, and ``from_xml`` parses each record.  Needs
-    uncompressed input whose records do not contain their own closing tag
-    inside CDATA.
+    uncompressed input.  An input it cannot cut (the opening tag inside a
+    record's comment, CDATA or nested element) fails; use the native reader.
 
 Column pruning: pass a schema without unused children (``links``) and the
 parser skips them instead of building nested rows that are dropped later.
@@ -20,12 +20,12 @@ parser skips them instead of building nested rows that are dropped later.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from titlematch.functions._col import as_col
-
 _LINK = T.StructType(
     [
         T.StructField("_linktype", T.StringType()),
@@ -68,30 +68,48 @@ def read_xml_rows(
     return reader.load(path)
 
 
-def _tag_position(chunk: Column, row_tag: str) -> Column:
-    return F.regexp_instr(chunk, F.lit(rf"<\Q{row_tag}\E[\s/>]"))
-
-
-def xml_record_text(chunk: Column | str, row_tag: str) -> Column:
-    """Turn a chunk ending just before ``</row_tag>`` into one record string.
-
-    Text before the opening tag (the root element, whitespace) is cut;
-    chunks without an opening tag (the document tail) give NULL.
+def xml_records(chunks: DataFrame, row_tag: str, column: str = "value") -> DataFrame:
+    """One ``record`` string per chunk that is a row.
+
+    A chunk is what follows one ``<row_tag`` up to the next.  After optional
+    attributes it is a row: self-closing, or up to its last closing tag (white
+    space before ``>`` allowed).  Each row is cut by one regular expression, so
+    no character positions are involved.  A chunk that does not go on like a tag
+    (the head of the file, a longer tag name) is no row, and neither is one
+    without a closing tag that ends inside a comment or CDATA section begun
+    before it.  Every other chunk without a closing tag, and a row with the end
+    of a comment after it (it may be commented out), fails the query: a record
+    is never dropped or blanked.
     """
-    c = as_col(chunk)
-    pos = _tag_position(c, row_tag)
-    return F.when(pos > 0, F.concat(F.substr(c, pos), F.lit(f"</{row_tag}>")))
+    tag = re.escape(row_tag)
+    attributes = r"""(?:\s+[^\s=<>/"']+\s*=\s*(?:"[^"]*"|'[^']*'))*\s*"""
+    c = F.col(column)
+    opens, alone = c.rlike(f"^{attributes}/?>"), c.rlike(f"^{attributes}/>")
+    cut = F.when(alone, F.regexp_extract(c, f"^({attributes}/>)", 1)).when(
+        opens, F.regexp_extract(c, rf"(?s)^(.*</{tag}\s*>)", 1)
+    )
+    cuts = chunks.select(c, cut.alias("__cut"), alone.alias("__alone"))
 
+    def ends(text: Column, mark: str, begin: str) -> Column:
+        return (F.instr(text, mark) > 0) & ((F.instr(text, begin) == 0) | (F.instr(text, mark) < F.instr(text, begin)))
 
-def xml_records(chunks: DataFrame, row_tag: str, column: str = "value") -> DataFrame:
-    """One ``record`` string per chunk that holds an opening ``row_tag``.
+    def fail(problem: str) -> Column:
+        return F.raise_error(F.concat(F.lit(f"<{row_tag}> {problem}, use the native reader: "), F.substring(c, 1, 200)))
 
-    The tag position is found once with ``regexp_instr``; the filter tests
-    only that position, so the record text is copied once, after it.
-    """
-    pos = chunks.select(F.col(column), _tag_position(F.col(column), row_tag).alias("__pos"))
-    pos = pos.filter(F.col("__pos") > 0)
-    return pos.select(F.concat(F.substr(F.col(column), F.col("__pos")), F.lit(f"</{row_tag}>")).alias("record"))
+    # what stands between the row and the next opening tag
+    after = F.when(F.col("__alone"), F.regexp_extract(c, f"(?s)^{attributes}/>(.*)$", 1)).otherwise(
+        F.element_at(F.split(c, rf"</{tag}\s*>"), -1)
+    )
+    commented = (F.instr(c, "-->") > 0) & ends(after, "-->", "<!--")
+    quoted = ends(c, "-->", "<!--") | ends(c, "]]>", "<![CDATA[")
+    # no filter stands before this: the optimiser may move one behind an error
+    record = (
+        F.when(F.col("__cut").isNull(), F.lit(None).cast("string"))
+        .when((F.col("__cut") != "") & commented, fail("record that may be commented out"))
+        .when(F.col("__cut") != "", F.concat(F.lit(f"<{row_tag}"), F.col("__cut")))
+        .when(~quoted, fail("record without a closing tag"))
+    )
+    return cuts.select(record.alias("record")).filter(F.col("record").isNotNull())
 
 
 def read_xml_records(
@@ -103,11 +121,12 @@ def read_xml_records(
 ) -> DataFrame:
     """Splittable record-per-element XML scan (see module doc).
 
-    Output columns are the top-level fields of ``schema``.
+    Output columns are the top-level fields of ``schema``.  A record that is
+    not well-formed fails the query; ``mode="PERMISSIVE"`` gives it as NULLs.
     """
-    chunks = spark.read.option("lineSep", f"</{row_tag}>").text(path)
+    chunks = spark.read.option("lineSep", f"<{row_tag}").text(path)
     records = xml_records(chunks, row_tag)
-    parsed = records.select(F.from_xml("record", schema, options or None).alias("r"))
+    parsed = records.select(F.from_xml("record", schema, {"mode": "FAILFAST"} | options).alias("r"))
     return parsed.select("r.*")
 
 
@@ -119,6 +138,9 @@ def infer_xml_schema(
 ) -> T.StructType:
     """Infer a record schema from the first ``sample_rows`` records.
 
+    A leading sample is the feature: a field that no sampled record has is not
+    in the schema, and a read with it leaves that field out everywhere.
+
     Only the sample reaches the driver (``limit`` then collect), it is
     wrapped in one root element and typed with ``schema_of_xml``; repeated
     children across records merge into arrays.  Inference from a few records
@@ -127,7 +149,7 @@ def infer_xml_schema(
     """
     if sample_rows <= 0:
         raise ValueError("sample_rows must be positive")
-    chunks = spark.read.option("lineSep", f"</{row_tag}>").text(path)
+    chunks = spark.read.option("lineSep", f"<{row_tag}").text(path)
     sample = (
         xml_records(chunks, row_tag)
         .limit(sample_rows)
@@ -153,7 +175,7 @@ def read_articles(
     """Raw article dump, one row per ``<doc>``.
 
     ``sample_rows`` infers the schema from that many leading records instead
-    of using ``schema``.
+    of using ``schema``; fields that only later records have are then left out.
     """
     if sample_rows is not None:
         schema = infer_xml_schema(spark, path, row_tag, sample_rows)

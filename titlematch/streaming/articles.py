@@ -20,10 +20,10 @@ def article_stream(
     """Prepared article rows (abstract, url, cleaned_title, year, type) from
     every new file in ``directory``, parsed with the same record scan and
     URL rules as the batch job."""
-    reader = spark.readStream.option("lineSep", f"</{row_tag}>")
+    reader = spark.readStream.option("lineSep", f"<{row_tag}")
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
     chunks = reader.text(directory)
     records = xml_records(chunks, row_tag)
-    raw = records.select(F.from_xml("record", schema).alias("r")).select("r.*")
+    raw = records.select(F.from_xml("record", schema, {"mode": "FAILFAST"}).alias("r")).select("r.*")
     return prepare_articles(raw)
