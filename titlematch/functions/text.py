@@ -20,17 +20,12 @@ from titlematch.functions._col import as_col
 ARTICLE_URL_PATTERN = r"([^\/]*)\((\d+)?_?(\w+)?\)"
 
 
-def segment_anchored(pattern: str) -> str:
-    """Same groups, found faster.
-
-    A pattern that starts with ``[^/]*`` can only have its leftmost match
-    start at the string start or right after a ``/`` (any other start has a
-    non-``/`` character before it, which would give an earlier match), so the
-    non-capturing ``(?:^|/)`` prefix leaves every group unchanged.  It makes
-    each failing start position cost one character instead of a scan and
-    backtrack over the rest of the path segment.
-    """
-    return "(?:^|/)" + pattern
+# The same groups for a whole-string replacement: a match of the pattern above
+# that is leftmost starts at the string start or after a "/" (any other start
+# has a character before it that group 1 would take as well).  Without a match
+# the last branch takes the string and leaves the groups empty.
+_SPLIT_PATTERN = r"(?s)^(?:(?:.*?/)??" + ARTICLE_URL_PATTERN + r".*|.*)$"
+_MARK = "\u0001"
 
 
 class UrlParts(NamedTuple):
@@ -49,6 +44,29 @@ def url_last_segment(url: Column | str) -> Column:
     return F.substring_index(as_col(url), "/", -1)
 
 
+def url_split(url: Column | str) -> Column:
+    """``stem, year, type`` of an article URL joined by U+0001, by one regular
+    expression; all empty where the pattern has no match (which a URL without
+    "(" cannot have)."""
+    u = as_col(url)
+    split = F.regexp_replace(u, _SPLIT_PATTERN, f"$1{_MARK}$2{_MARK}$3")
+    return F.when(F.instr(u, "(") > 0, split).when(u.isNotNull(), F.lit(_MARK + _MARK))
+
+
+def split_parts(url: Column | str, split: Column | str) -> UrlParts:
+    """The parts of ``url`` from a column that holds its ``url_split``."""
+    u, s = as_col(url), as_col(split)
+    tail = F.substring_index(s, _MARK, -2)
+    # the stem may hold the mark itself: it is what stands before the last two
+    stem = F.substring(s, F.lit(1), F.length(s) - F.length(tail) - 1)
+    raw_title = F.when(F.endswith(s, F.lit(_MARK + _MARK)), url_last_segment(u)).otherwise(stem)
+    return UrlParts(_title_key(raw_title), F.substring_index(tail, _MARK, 1), F.substring_index(s, _MARK, -1))
+
+
+def _title_key(raw: Column) -> Column:
+    return F.lower(F.trim(F.translate(raw, "_", " ")))
+
+
 def url_parts(url: Column | str, pattern: str = ARTICLE_URL_PATTERN) -> UrlParts:
     """Split an article URL into (cleaned_title, year, type) string columns.
 
@@ -56,16 +74,14 @@ def url_parts(url: Column | str, pattern: str = ARTICLE_URL_PATTERN) -> UrlParts
     * first match in the string wins, it is not anchored to the end;
     * the title is the regex stem unless year and type are both empty, in
       which case it is the last path segment.
+
+    Any other ``pattern`` with three groups is taken as it is.  As single
+    Column expressions the parts repeat the match; ``parse_article_url`` keeps
+    it in a projection of its own.
     """
     u = as_col(url)
-    fast = segment_anchored(pattern) if pattern.startswith("([^") else pattern
-    # No "(" means no match: skip the regex (most article URLs have none).
-    has_paren = F.instr(u, "(") > 0
-
-    def group(i: int) -> Column:
-        return F.when(has_paren, F.regexp_extract(u, fast, i)).when(u.isNotNull(), F.lit(""))
-
-    stem, year, kind = group(1), group(2), group(3)
+    if pattern == ARTICLE_URL_PATTERN:
+        return split_parts(u, url_split(u))
+    stem, year, kind = (F.regexp_extract(u, pattern, i) for i in (1, 2, 3))
     raw_title = F.when((year == "") & (kind == ""), url_last_segment(u)).otherwise(stem)
-    cleaned = F.lower(F.trim(F.regexp_replace(raw_title, "_", " ")))
-    return UrlParts(cleaned, year, kind)
+    return UrlParts(_title_key(raw_title), year, kind)

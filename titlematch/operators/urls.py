@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 
 from titlematch import columns as C
-from titlematch.functions.text import ARTICLE_URL_PATTERN, url_parts
+from titlematch.functions.text import ARTICLE_URL_PATTERN, split_parts, url_parts, url_split
+
+_SPLIT = "__url_split"
 
 
 def parse_article_url(
@@ -18,9 +20,14 @@ def parse_article_url(
 ) -> DataFrame:
     """Add cleaned_title, year and type columns parsed from ``url_column``.
 
-    One projection of three regex extracts; runs inside whole-stage codegen.
-    The given ``url_column`` is used for every part, including the fallback
-    to the last path segment.
+    With the default pattern one regular expression a URL, evaluated in a
+    projection of its own; the parts are cut from its result.  The given
+    ``url_column`` is used for every part, including the fallback to the last
+    path segment.
     """
-    parts = url_parts(url_column, pattern)
-    return df.withColumns({title_out: parts.cleaned_title, year_out: parts.year, type_out: parts.type})
+    if pattern != ARTICLE_URL_PATTERN:
+        parts = url_parts(url_column, pattern)
+        return df.withColumns({title_out: parts.cleaned_title, year_out: parts.year, type_out: parts.type})
+    parts = split_parts(url_column, _SPLIT)
+    split = df.withColumn(_SPLIT, url_split(url_column))
+    return split.withColumns({title_out: parts.cleaned_title, year_out: parts.year, type_out: parts.type}).drop(_SPLIT)
