@@ -117,3 +117,21 @@ def test_prepare_movies_schema_and_rows(spark):
         ("King Kong", "1933", ["RKO"], ["Adventure"], "7.5", 10000000, 672000, 14.88, "king kong"),
     ]
     assert set(MOVIE_TYPES) == {"budget", "release_date", "revenue", "production_companies", "genres"}
+
+
+def test_to_long_equals_the_legacy_cast(spark):
+    from titlematch.functions.numeric import to_long
+
+    values = [
+        "1e3", "1E7", "12.9", "12.99999999999", "0.99999999999", ".5", "5.", "+5", "-5", "-.5", ".", "+", "-", "", " ", " 7 ", "\t8\n",
+        "9223372036854775807", "9223372036854775808", "-9223372036854775808", "-9223372036854775809", "9223372036854775807.9",
+        "1 2", "1.2.3", "0x1", "007", "--1", "1L", "NaN", "1,000", "12.x", "n/a", None,
+    ]
+    df = spark.createDataFrame([(v,) for v in values], "v string")
+    old = spark.conf.get("spark.sql.ansi.enabled")
+    spark.conf.set("spark.sql.ansi.enabled", "false")
+    try:
+        legacy = {r.v: r.x for r in df.selectExpr("v", "CAST(v AS BIGINT) AS x").collect()}
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", old)
+    assert {r.v: r.x for r in df.select("v", to_long("v").alias("x")).collect()} == legacy

@@ -7,7 +7,6 @@ from titlematch.operators.transforms import (
     add_ratio,
     add_year,
     cast_columns,
-    drop_columns,
     filter_all,
     pluck,
     rename,
@@ -24,7 +23,6 @@ __all__ = [
     "add_year",
     "cast_columns",
     "distinct_values",
-    "drop_columns",
     "explode_column",
     "filter_all",
     "parse_article_url",

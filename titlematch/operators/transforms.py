@@ -91,7 +91,3 @@ def repartition_by(df: DataFrame, column: str, enabled: bool = False, num_partit
     if not enabled:
         return df
     return df.repartition(num_partitions, column) if num_partitions else df.repartition(column)
-
-
-def drop_columns(df: DataFrame, *cols: str) -> DataFrame:
-    return df.drop(*cols)

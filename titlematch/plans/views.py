@@ -8,6 +8,8 @@ engines round fractional casts differently.
 
 from __future__ import annotations
 
+from titlematch.plans.sql import escape_braces
+
 # The view definitions both engines run.
 MOVIE_VIEW = """
 SELECT p_partkey AS id,
@@ -39,5 +41,5 @@ def for_duckdb(view_sql: str) -> str:
 
 
 def for_spark(view_sql: str) -> str:
-    """Escape the JSON braces so only ``{part}`` is a DataFrame placeholder."""
-    return view_sql.replace("{", "{{").replace("}", "}}").replace("{{part}}", "{part}")
+    """Only ``{part}`` is a DataFrame placeholder."""
+    return escape_braces(view_sql, ["part"])
