@@ -33,25 +33,25 @@ def both(spark, movies, articles, **kw):
 
 
 def test_tier_priority_and_fanout(spark):
-    movies = [movie("King Kong", "1933"), movie("King Kong", "2005"), movie("Antwone Fisher", "2002"), movie("Lonely", "1999")]
+    movies = [movie("Glass Orchard", "1933"), movie("Glass Orchard", "2005"), movie("Harbour Lights", "2002"), movie("Lonely", "1999")]
     articles = [
-        article("king kong", "1933", "film", "KK_1933"),
-        article("king kong", "1976", "film", "KK_1976"),
-        article("king kong", "", "comics", "KK_comics"),
-        article("king kong", "1959", "musical", "KK_musical"),
-        article("antwone fisher", "", "", "AF_plain"),
-        article("antwone fisher", "", "film", "AF_film"),
-        article("antwone fisher", "", "film", "AF_film_2"),
+        article("glass orchard", "1933", "film", "GO_1933"),
+        article("glass orchard", "1976", "film", "GO_1976"),
+        article("glass orchard", "", "comics", "GO_comics"),
+        article("glass orchard", "1959", "musical", "GO_musical"),
+        article("harbour lights", "", "", "HL_plain"),
+        article("harbour lights", "", "film", "HL_film"),
+        article("harbour lights", "", "film", "HL_film_2"),
     ]
     fast, slow = both(spark, movies, articles)
     assert fast == slow
     urls = Counter((r[0], r[1], r[8]) for r in fast)
     assert urls == Counter(
         {
-            ("King Kong", "1933", "KK_1933"): 1,
-            ("King Kong", "2005", None): 1,  # year mismatch, no tier-2/3 article
-            ("Antwone Fisher", "2002", "AF_film"): 1,  # tier 2 beats tier 3
-            ("Antwone Fisher", "2002", "AF_film_2"): 1,  # all articles of the winning tier
+            ("Glass Orchard", "1933", "GO_1933"): 1,
+            ("Glass Orchard", "2005", None): 1,  # year mismatch, no tier-2/3 article
+            ("Harbour Lights", "2002", "HL_film"): 1,  # tier 2 beats tier 3
+            ("Harbour Lights", "2002", "HL_film_2"): 1,  # all articles of the winning tier
             ("Lonely", "1999", None): 1,
         }
     )
@@ -125,7 +125,7 @@ years = st.sampled_from(["1990", "2000", None])
 kinds = st.sampled_from(["film", "", "comics"])
 
 
-@settings(max_examples=10, deadline=None, suppress_health_check=list(HealthCheck))
+@settings(max_examples=40, deadline=None, suppress_health_check=list(HealthCheck))
 @given(
     ms=st.lists(st.tuples(titles, years, st.sampled_from([1.0, 2.0])), min_size=0, max_size=8),
     arts=st.lists(st.tuples(titles, st.sampled_from(["1990", "2000", ""]), kinds), min_size=0, max_size=8),

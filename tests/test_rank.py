@@ -1,7 +1,6 @@
 """Sort / top-k / explode / distinct operators."""
 
 import pytest
-from pyspark.sql import functions as F
 
 from titlematch.operators.rank import distinct_values, explode_column, sort_by, top_exploded, top_k
 
@@ -42,8 +41,10 @@ def test_top_exploded_counts_exploded_rows(df):
 
 def test_distinct_values_first_seen(df):
     ex = explode_column(df, "c")
-    order = [F.col("r").desc_nulls_last(), F.col("c_exploded")]
-    got = distinct_values(ex, "c_exploded", order).collect()
+    first = distinct_values(ex, "c_exploded", [("r", "desc"), "c_exploded"])
+    assert "rangepartitioning(r" not in first._jdf.queryExecution().executedPlan().toString()
+    got = first.collect()
     assert [r.c_exploded for r in got] == ["x", "y", "z"]
-    assert [r.first_seen for r in got] == sorted(r.first_seen for r in got)
+    with pytest.raises(ValueError):
+        distinct_values(ex, "c_exploded", [("t", "desc")])
     assert sorted(r[0] for r in distinct_values(ex, "c_exploded").collect()) == ["x", "y", "z"]

@@ -1,9 +1,10 @@
-"""A hot title (a third of all movie rows, most articles) under forced AQE
+"""Skew.  A hot title (a third of all movie rows, most articles) under forced AQE
 skew splitting gives the same multiset as the specification form."""
 
 from collections import Counter
 
 import pytest
+from pyspark.sql import functions as F
 from test_match import ARTICLE_SCHEMA, MOVIE_SCHEMA, article, movie
 
 from titlematch.operators.match import tiered_match, tiered_match_except
@@ -51,7 +52,10 @@ def test_hot_title(spark, skew_conf):
         return tuple(tuple(x) if isinstance(x, list) else x for x in r)
 
     got = Counter(key(r) for r in fast.collect())
-    assert "skew=true" in fast._jdf.queryExecution().executedPlan().toString()
+    plan = fast._jdf.queryExecution().executedPlan().toString()
+    final = plan[: plan.index("Final Plan ==") + 4000].splitlines() if "Final Plan ==" in plan else plan.splitlines()
+    joins = [line for line in final if "Join" in line]
+    assert "LeftOuter" in joins[0] and "skew=true" in joins[0], joins  # the final join itself
     want = Counter(key(r) for r in tiered_match_except(m, a).collect())
     assert got == want
     hot = Counter((r[1], r[8] is not None and r[8].startswith("hot-f")) for r in got.elements() if r[0] == "Hot")
@@ -59,3 +63,20 @@ def test_hot_title(spark, skew_conf):
     # 2001 and 2002 collapse to one row each and take the 30 plain articles.
     assert hot[("2000", True)] == 50 * 20
     assert hot[("2001", False)] == 30 and hot[("2002", False)] == 30
+
+
+def test_unmatched_movies_spread(spark):
+    """80 % of the movies match nothing; without AQE no partition of the final
+    join holds much more than its share."""
+    old = {k: spark.conf.get(k) for k in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.enabled", "spark.sql.shuffle.partitions")}
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.shuffle.partitions", "16")
+    try:
+        m = spark.createDataFrame([movie(f"Title {i}", str(1950 + i % 60), float(i % 9)) for i in range(4000)], MOVIE_SCHEMA)
+        a = spark.createDataFrame([article(f"title {i}", "", "film") for i in range(0, 4000, 5)], ARTICLE_SCHEMA)
+        sizes = [r["count"] for r in tiered_match(m, a).groupBy(F.spark_partition_id()).count().collect()]
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+    assert sum(sizes) == 4000 and max(sizes) < 3 * 4000 / 16

@@ -255,11 +255,13 @@ def tiered_match(
     )  # no distinct: a semi join never fans out
     if broadcast_keys:
         needed = F.broadcast(needed)
-    need_cond = reduce(
-        lambda a, b: a & b,
-        [F.col(_TIER) == F.col("__n_tier")]
-        + [F.col(_kname(j)).eqNullSafe(F.col(f"__n{j}")) for j in range(len(keys))],
+    need_cond = F.xxhash64(_TIER, *[_kname(j) for j in range(len(keys))]) == F.xxhash64(
+        "__n_tier", *[f"__n{j}" for j in range(len(keys))]
     )
+    # The join is on one hash of tier and keys: a collision lets a row through
+    # that the final join drops.  Joined on the keys themselves, the rows would
+    # reach the final join already partitioned for it, without an exchange there,
+    # and AQE could not split a hot key in it.
     tagged = tagged.join(needed, need_cond, "left_semi")
 
     # 2. first-tier rows keep their multiplicity (their row id keeps them
@@ -269,11 +271,15 @@ def tiered_match(
     #
     # 3. one left join on (tier, keys) emits exactly the output pairs; rows
     #    without a tier (NULL __best) never satisfy the join and come out once
-    #    with NULL right-side columns.
+    #    with NULL right-side columns.  They carry all their own key values
+    #    there, so they spread over the partitions instead of sharing one NULL key.
     rows = with_best.select(
         *left.columns,
         F.col(_BEST).alias(_TIER),
-        *[_tier_key(F.col(_BEST), F.col(k), k, tiers).alias(f"__m{j}") for j, k in enumerate(keys)],
+        *[
+            F.when(F.col(_BEST).isNull() | F.col(_BEST).isin(_tiers_using(k, tiers)), F.col(k)).alias(f"__m{j}")
+            for j, k in enumerate(keys)
+        ],
         F.when(F.col(_BEST) == 1, F.col(_ROW)).alias(_ROW),
     ).distinct()
     right_rows = tagged.select(

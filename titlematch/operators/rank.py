@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def _order(by: str | Column, ascending: bool) -> Column:
@@ -71,16 +72,23 @@ def top_exploded(
     return top_k(explode_column(df, column), by, n, ascending, tie_breakers)
 
 
-def distinct_values(df: DataFrame, column: str, order: Sequence[Column] | None = None) -> DataFrame:
+def distinct_values(df: DataFrame, column: str, order: Sequence[str | tuple[str, str]] | None = None) -> DataFrame:
     """Distinct values of ``column``.
 
-    With ``order`` the values come sorted by their first appearance under
-    that order, and ``first_seen`` is a position key that increases with
-    that order (not dense).  All of it is distributed: a range-partitioned
-    sort, an id that follows the sorted partitions, a grouped ``min`` and a
-    sort of the distinct values - no single-partition window.
+    With ``order`` (column names; ``(name, "desc")`` for a number from high to
+    low, NULLs last) the values come sorted by their first appearance under that
+    order, which must be total for a definite result.  ``first_seen`` holds the
+    sort key of that appearance.  The input is only aggregated: a partial
+    minimum of the sort key per value, so hot values collapse map-side, and
+    then a sort of the distinct values alone.
     """
     if not order:
         return df.select(column).distinct()
-    ranked = df.orderBy(*order).select(column, F.monotonically_increasing_id().alias("_pos"))
-    return ranked.groupBy(column).agg(F.min("_pos").alias("first_seen")).orderBy("first_seen")
+    parts = []
+    for i, by in enumerate(order):
+        name, descending = (by, False) if isinstance(by, str) else (by[0], by[1] == "desc")
+        if descending and not isinstance(df.schema[name].dataType, T.NumericType):
+            raise ValueError(f"only numbers can be ordered descending: {name}")
+        # a struct compares field by field, NULL first
+        parts += [F.col(name).isNull().alias(f"n{i}"), (-F.col(name)).alias(f"k{i}")] if descending else [F.col(name).alias(f"k{i}")]
+    return df.groupBy(column).agg(F.min(F.struct(*parts)).alias("first_seen")).orderBy("first_seen")
