@@ -3,7 +3,7 @@
 import os
 
 import pytest
-from fixtures import GOLDEN, write_articles, write_movies
+from fixtures import ARTICLE_URLS, GOLDEN, write_articles, write_movies
 
 from titlematch.plans import run, run_sql, table_schema
 from titlematch.plans.prepare import prepare_articles, prepare_movies
@@ -17,7 +17,7 @@ def test_job_golden(spark, workdir):
     out = os.path.join(workdir, "result")
     res = run(spark, write_movies(workdir), write_articles(workdir), ParquetTarget(out))
     assert (res.movies, res.articles) == (6, 8)
-    assert res.broadcast_movies and res.movie_bytes > 0
+    assert not os.path.exists(res.stage_dir.replace("file:", ""))
     got = spark.read.parquet(out).collect()
     assert len(got) == len(GOLDEN)
     simple = sorted(
@@ -39,15 +39,18 @@ def test_job_forms_agree_and_notebook_queries(spark, workdir):
     assert fast == slow
     res = tiered_match(m, a)
     ex = explode_column(res, "production_companies")
-    # Mozart and the Whale has no companies -> no exploded row
-    assert "Mozart and the Whale" not in {r.title for r in ex.collect()}
+    # Salt and Cedar has no companies -> no exploded row
+    assert "Salt and Cedar" not in {r.title for r in ex.collect()}
     top = top_exploded(res, "production_companies", "revenue_to_budget", 3, tie_breakers=["production_companies_exploded"])
-    assert [r.production_companies_exploded for r in top.collect()] == ["RKO Radio Pictures", "Dino De Laurentiis", "Paramount"]
+    assert [r.production_companies_exploded for r in top.collect()] == ["Pilgrim Street", "Fennel Bros", "Lantern Row"]
 
 
 def test_job_reraises(spark, workdir):
+    root = spark.conf.get("spark.checkpoint.dir").replace("file:", "")
     with pytest.raises(Exception):
-        run(spark, os.path.join(workdir, "missing.csv"), os.path.join(workdir, "missing.xml"), os.path.join(workdir, "o"))
+        run(spark, write_movies(workdir), os.path.join(workdir, "missing.xml"), os.path.join(workdir, "o"))
+    # nothing staged is left behind
+    assert not os.path.isdir(root) or not [d for d in os.listdir(root) if d.startswith("titlematch-")]
 
 
 def test_write_table_modes_and_top_rows(spark, workdir):
@@ -80,6 +83,8 @@ def test_run_sql_and_schema(spark):
     df = spark.createDataFrame([("a", 1.0, ["x"])], "title string, r double, c array<string>")
     out = run_sql(spark, "SELECT title, r * 2 AS r2 FROM {movies} WHERE r > 0", movies=df)
     assert out.collect()[0].r2 == 2.0
+    braces = run_sql(spark, """SELECT '{"a": 1}' AS j, '{movie}' AS m, title FROM {movies}""", movies=df).first()
+    assert tuple(braces) == ('{"a": 1}', "{movie}", "a")
     sch = table_schema(df).collect()
     assert [(r.column_name, r.data_type) for r in sch] == [("title", "string"), ("r", "double"), ("c", "array<string>")]
     assert [r.column_name for r in table_schema(df).filter("column_name = 'r'").collect()] == ["r"]
@@ -97,15 +102,18 @@ def test_cli_and_stage_cleanup(spark, workdir):
     assert os.path.isdir(res.stage_dir.replace("file:", "") + "/movies")
 
 
-def test_job_golden_without_broadcast(spark, workdir):
+@pytest.mark.parametrize("threshold", ["10485760", "100", "1MB", "-1"])
+def test_job_stages_the_same_at_any_threshold(spark, workdir, threshold):
     old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
     try:
         out = os.path.join(workdir, "result_nb")
-        res = run(spark, write_movies(workdir), write_articles(workdir), ParquetTarget(out))
+        res = run(spark, write_movies(workdir), write_articles(workdir), ParquetTarget(out), keep_stage=True)
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
-    assert not res.broadcast_movies and (res.movies, res.articles) == (6, 8)
+    assert (res.movies, res.articles) == (6, 8)
+    staged = {r.url.rsplit("/", 1)[-1] for r in spark.read.parquet(res.stage_dir + "/articles").collect()}
+    assert staged == {u for u in ARTICLE_URLS if u not in ("Tillman_Mill", "Glass_Orchard_Press")}
     got = sorted(
         ((r.title, r.year, r.revenue_to_budget, r.url.rsplit("/", 1)[-1] if r.url else None)
          for r in spark.read.parquet(out).collect()),
@@ -114,6 +122,23 @@ def test_job_golden_without_broadcast(spark, workdir):
     assert got == GOLDEN
 
 
+def test_one_machines_folder_is_refused_on_a_cluster():
+    from titlematch.plans import stage_root
+
+    class Session:
+        class conf:  # noqa: N801
+            values = {"spark.checkpoint.dir": "file:/tmp/x", "spark.master": "spark://host:7077"}
+
+            @classmethod
+            def get(cls, name, default=None):
+                return cls.values.get(name, default)
+
+    with pytest.raises(ValueError, match="one machine"):
+        stage_root(Session)
+    Session.conf.values["spark.checkpoint.dir"] = "hdfs://store/x"
+    assert stage_root(Session) == "hdfs://store/x"
+
+
 def test_write_catalog_table(spark):
     from titlematch.sinks import TableTarget
 

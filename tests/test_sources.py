@@ -24,9 +24,9 @@ def test_csv_apostrophe_escape(spark, workdir):
     assert df.count() == 10
     assert all(t == "string" for _, t in df.dtypes)
     r = {x.id: x for x in df.collect()}
-    assert r["5"].genres == "[{'id': 28, 'name': 'Action'}, {'id': 27, 'name': 'Horror'}]"
-    assert r["1"].genres == "[{'id': 18, 'name': 'Drama'}]"
-    assert r["9"].title == "I'm King Kong!" and r["9"].genres == "[]"
+    assert r["509"].genres == "[{'id': 3, 'name': 'Mystery'}, {'id': 6, 'name': 'Noir'}]"
+    assert r["504"].genres == "[{'id': 5, 'name': 'Thriller'}]"
+    assert r["503"].title == "That's My Orchard!" and r["503"].genres == "[]"
 
 
 def test_csv_rfc4180_dialect(spark, workdir):

@@ -8,9 +8,10 @@ library's operators on them.  Array columns are flattened with
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -21,6 +22,7 @@ from titlematch.operators.match import FILM_TIERS, tiered_match, tiered_match_ex
 from titlematch.operators.rank import distinct_values, explode_column, top_exploded, top_k
 from titlematch.operators.transforms import add_year, cast_columns, filter_all, pluck, rename, subset
 from titlematch.operators.urls import parse_article_url
+from titlematch.plans.job import RESULT_TIE_BREAKERS, candidates, ranked, remove_path, stage_root, staged_sources
 from titlematch.plans.prepare import (
     JSON_LIST_COLUMNS,
     MOVIE_RENAMES,
@@ -233,15 +235,35 @@ def q_top_exploded(spark, sf):
 
 def q_distinct_companies(spark, sf):
     top = q_top_exploded(spark, sf)
-    order = [F.col(C.REVENUE_TO_BUDGET).desc_nulls_last(), *[F.col(c).asc_nulls_first() for c in EXPLODED_TIE_BREAKERS]]
-    return distinct_values(top, EXPLODED, order).select(EXPLODED)
+    return distinct_values(top, EXPLODED, [(C.REVENUE_TO_BUDGET, "desc"), *EXPLODED_TIE_BREAKERS]).select(EXPLODED)
+
+
+def q_first_seen_companies(spark, sf):
+    """Every company and its place in the order of first appearance over all
+    exploded rows.  The place is a running count over the distinct values."""
+    rows = explode_column(matched(spark, sf).withColumn(C.GENRES, F.array_join(C.GENRES, "|")), C.PRODUCTION_COMPANIES)
+    seen = distinct_values(rows, EXPLODED, [(C.REVENUE_TO_BUDGET, "desc"), *EXPLODED_TIE_BREAKERS[1:]])
+    place = F.dense_rank().over(Window.orderBy("first_seen", EXPLODED))
+    return seen.select(EXPLODED, place.alias("place"))
 
 
 def q_row_counts(spark, sf):
-    mv, av = both_prepared(spark, sf)
-    m = mv.agg(F.count(F.lit(1)).alias("n")).select(F.lit("movies").alias("table_name"), "n")
-    a = av.agg(F.count(F.lit(1)).alias("n")).select(F.lit("articles").alias("table_name"), "n")
-    return m.unionByName(a)
+    """The counts the job reports, by its own staging and Observations."""
+    root = f"{stage_root(spark)}/titlematch-{uuid.uuid4().hex}"
+    _, _, n_movies, n_articles = staged_sources(*both_prepared(spark, sf), root)
+    remove_path(spark, root)
+    return spark.createDataFrame([("movies", n_movies), ("articles", n_articles)], "table_name string, n long")
+
+
+def q_job_match(spark, sf):
+    """The job from its prepared tables on: candidates, match, top rows."""
+    m, a = both_prepared(spark, sf)
+    return flat(ranked(tiered_match(m, candidates(a, m))))
+
+
+def q_sort_ascending(spark, sf):
+    """The other end of the order: the rows with the lowest ratios, NULLs first."""
+    return flat(top_k(matched(spark, sf), C.REVENUE_TO_BUDGET, TOP_K_ROWS, ascending=True, tie_breakers=RESULT_TIE_BREAKERS))
 
 
 def q_sql_select(spark, sf):
@@ -252,6 +274,24 @@ def q_sql_select(spark, sf):
     )
 
 
+# Fixed value: number strings that casts tend to get wrong, one kind a part.
+EDGE_STRINGS = """
+CASE p_partkey % 16
+  WHEN 0 THEN concat(CAST(p_size AS VARCHAR(10)), 'e3') WHEN 1 THEN '1E7' WHEN 2 THEN concat(CAST(p_size AS VARCHAR(10)), '.9')
+  WHEN 3 THEN concat(CAST(p_size AS VARCHAR(10)), '.99999999999') WHEN 4 THEN '0.99999999999' WHEN 5 THEN '.5'
+  WHEN 6 THEN concat(CAST(p_size AS VARCHAR(10)), '.') WHEN 7 THEN concat('+', CAST(p_size AS VARCHAR(10)))
+  WHEN 8 THEN concat('  ', CAST(p_size AS VARCHAR(10)), ' ') WHEN 9 THEN '  ' WHEN 10 THEN '' WHEN 11 THEN 'n/a'
+  WHEN 12 THEN concat('922337203685477580', CAST(p_partkey % 10 AS VARCHAR(10)))
+  WHEN 13 THEN concat('-922337203685477580', CAST(p_partkey % 10 AS VARCHAR(10)), '.9')
+  WHEN 14 THEN concat('-', CAST(p_size AS VARCHAR(10)), '.5') ELSE '1.2.3' END
+"""
+
+
+def q_cast_edges(spark, sf):
+    rows = _table(spark, sf, "part").select("p_partkey", F.expr(EDGE_STRINGS).alias("raw"))
+    return cast_columns(rows.withColumn("value", F.col("raw")), {"value": "long"})
+
+
 CSV_SCHEMA = "id STRING, title STRING, genres STRING, budget STRING, revenue STRING"
 
 
@@ -282,26 +322,36 @@ def q_csv_parse(spark, sf):
 
 
 def xml_chunks(av: DataFrame) -> DataFrame:
-    """Article rows as the splittable reader's chunks: a record up to, not
-    including, its closing tag, with the surrounding whitespace."""
-    return av.select(
-        F.concat(
-            F.lit("\n  <doc>\n    <title>"),
-            F.col(C.TITLE),
-            F.lit("</title>\n    <url>"),
-            F.col(C.URL),
-            F.lit("</url>\n    <abstract>"),
-            F.col(C.ABSTRACT),
-            F.lit('</abstract>\n    <links><sublink linktype="nav"><anchor>History</anchor><link>'),
-            F.col(C.URL),
-            F.lit("#History</link></sublink></links>\n  "),
-        ).alias("value")
+    """Article rows as the splittable reader's chunks: what follows one opening
+    tag up to the next.  Attributes, white space in closing tags, closing tags
+    inside CDATA, comments, text outside the BMP and comments that name the row
+    tag come in turns."""
+    turn = F.pmod(F.hash(C.URL), F.lit(4))
+
+    def one_of(*texts: str) -> F.Column:
+        return F.element_at(F.array(*map(F.lit, texts)), turn + 1)
+
+    record = F.concat(
+        one_of(">", ' id="7">', " a='x>y' b = \"\U0001d11e\">", "\n>"),
+        F.lit("\n    <title>"),
+        F.col(C.TITLE),
+        F.lit("</title>\n    <url>"),
+        F.col(C.URL),
+        one_of("</url><abstract>", "</url> <!-- </doc> --> <abstract><![CDATA[", "</url><abstract>", "</url><abstract>"),
+        F.col(C.ABSTRACT),
+        one_of("</abstract>", "]]></abstract>", "</abstract>", "</abstract>"),
+        F.lit('<links><sublink linktype="nav"><anchor>History</anchor><link>'),
+        F.col(C.URL),
+        one_of("#H</link></sublink></links>", "</link></sublink><!-- x --></links>", "<![CDATA[</doc>]]></link></sublink></links>", "</link></sublink></links>"),
+        one_of("</doc>\n  ", "</doc >\n", "</doc\n> \U0001f600 ", "</doc> <!-- \U0001f600 --> <!-- a "),
     )
+    after = F.when(turn == 3, F.lit("> tag in a comment -->\n"))
+    return av.select(F.explode(F.filter(F.array(record, after), lambda x: x.isNotNull())).alias("value"))
 
 
 def q_xml_parse(spark, sf):
     rec = xml_records(xml_chunks(article_view(spark, sf)), "doc")
-    raw = rec.select(F.from_xml("record", ARTICLE_SCHEMA_PRUNED).alias("r")).select("r.*")
+    raw = rec.select(F.from_xml("record", ARTICLE_SCHEMA_PRUNED, {"mode": "FAILFAST"}).alias("r")).select("r.*")
     return prepare_articles(raw)
 
 
@@ -329,7 +379,11 @@ QUERIES: dict[str, Query] = {
     "explode_genres": q_explode_genres,
     "top_exploded": q_top_exploded,
     "distinct_companies": q_distinct_companies,
+    "first_seen_companies": q_first_seen_companies,
     "row_counts": q_row_counts,
+    "job_match": q_job_match,
+    "sort_ascending": q_sort_ascending,
+    "cast_edges": q_cast_edges,
     "sql_select": q_sql_select,
     "csv_parse": q_csv_parse,
     "xml_parse": q_xml_parse,
@@ -470,6 +524,26 @@ ORACLE_SQL: dict[str, str] = {
     "top_exploded": _BASE.rstrip() + "," + _TOP_EXPLODED + "SELECT * FROM top_n",
     "distinct_companies": _BASE.rstrip() + "," + _TOP_EXPLODED + "SELECT DISTINCT production_companies_exploded "
     "FROM top_n",
+    "first_seen_companies": _BASE.rstrip() + "," + _TOP_EXPLODED + f"""SELECT production_companies_exploded,
+  CAST(dense_rank() OVER (ORDER BY place) AS INT) AS place
+FROM (
+  SELECT production_companies_exploded, min(place) AS place
+  FROM (SELECT *, row_number() OVER (ORDER BY revenue_to_budget DESC NULLS LAST, {_TIES}, production_companies_exploded) AS place FROM top)
+  GROUP BY 1
+)""",
+    "job_match": _BASE + "SELECT * FROM matched_flat ORDER BY revenue_to_budget DESC NULLS LAST, "
+    f"{_TIES}, production_companies ASC NULLS FIRST LIMIT {TOP_K_ROWS}",
+    "sort_ascending": _BASE + "SELECT * FROM matched_flat ORDER BY revenue_to_budget ASC NULLS FIRST, "
+    f"{_TIES}, production_companies ASC NULLS FIRST LIMIT {TOP_K_ROWS}",
+    "cast_edges": f"""
+WITH v AS (SELECT p_partkey, {EDGE_STRINGS} AS raw FROM part),
+t AS (SELECT *, trim(raw, ' ' || chr(9)) AS s FROM v),
+p AS (SELECT *, regexp_extract(s, '^([+-]?[0-9]*)([.][0-9]*)?$', 1) AS i,
+  regexp_matches(s, '^[+-]?([0-9]+([.][0-9]*)?|[.][0-9]*)$') AS ok FROM t)
+SELECT p_partkey, raw, CASE WHEN ok THEN
+    CASE WHEN i IN ('', '+', '-') THEN 0 ELSE TRY_CAST(TRY_CAST(i AS HUGEINT) AS BIGINT) END END AS value
+FROM p
+""",
     "row_counts": _BASE + "SELECT 'movies' AS table_name, count(*) AS n FROM m UNION ALL "
     "SELECT 'articles' AS table_name, count(*) AS n FROM a",
     "sql_select": _BASE + "SELECT title, year, url, revenue_to_budget FROM matched WHERE url IS NOT NULL "

@@ -6,29 +6,28 @@ Cluster behaviour:
   ``spark.checkpoint.dir`` (a shared folder on a cluster).  That cuts the
   lineage - a lost executor re-reads Parquet instead of re-parsing XML - and
   the match's two passes over each side read only the columns they need.
-* Row counts (and a byte-size bound of the movie side) are collected by an
-  ``Observation`` during that same write, not by extra ``count()`` passes.
-* Only when that measured movie size is under the broadcast limit are the
-  movie titles broadcast to drop, map-side while the XML is parsed, every
-  article no movie can match - so only candidate articles are staged and
-  shuffled - and the per-key tables derived from movies broadcast in the
-  match.  Otherwise the joins stay shuffled and AQE coalesces partitions /
-  splits skewed ones at run time.
-* Errors are logged and re-raised.
+* Row counts are collected by an ``Observation`` during that same write, not by
+  extra ``count()`` passes.
+* Of the articles only those whose title some movie has are staged, whatever
+  the sizes: every tier keys on the title, so no other article can match.  The
+  semi-join and the joins of the match carry no hint; AQE broadcasts a side
+  that turns out small, and coalesces or splits partitions otherwise.
+* Errors are logged and re-raised; staged tables are removed either way.
 """
 
 from __future__ import annotations
 
 import logging
+import tempfile
 import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from titlematch import columns as C
 from titlematch.operators.match import tiered_match
+from titlematch.operators.rank import top_k
 from titlematch.plans.prepare import prepare_articles, prepare_movies
 from titlematch.sinks.write import ParquetTarget, TableTarget, write_table
 from titlematch.sources.delimited import read_movies
@@ -51,53 +50,39 @@ RESULT_TIE_BREAKERS = (
     C.GENRES,
     C.PRODUCTION_COMPANIES,
 )
-DEFAULT_BROADCAST_BYTES = 64 * 1024 * 1024
 
 
 @dataclass
 class JobResult:
     movies: int
     articles: int
-    movie_bytes: int
-    broadcast_movies: bool
     stage_dir: str
 
 
 def stage_root(spark: SparkSession) -> str:
-    """The shared folder named by ``spark.checkpoint.dir``; required."""
+    """The shared folder named by ``spark.checkpoint.dir``; required, except
+    that one machine alone gets a temporary folder of its own."""
+    one_machine = spark.conf.get("spark.master", "local").split("[")[0] == "local"
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
         try:
             d = spark.sparkContext.getCheckpointDir()
         except Exception:  # noqa: BLE001 - sessions without a local SparkContext
             d = None
+    if not d and one_machine:
+        d = tempfile.mkdtemp(prefix="titlematch-stage-")
+        spark.conf.set("spark.checkpoint.dir", d)
     if not d:
         raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
+    if not spark.conf.get("spark.master", "local").startswith("local") and d.startswith("file:"):
+        raise ValueError(f"{d} is a folder of one machine; set spark.checkpoint.dir to one that every executor reaches")
     return d.rstrip("/")
 
 
-def row_bytes(df: DataFrame) -> F.Column:
-    """Upper-bound-ish in-memory bytes of one row: 8 per field + string/array payload."""
-    parts = [F.lit(8 * len(df.columns))]
-    for f in df.schema.fields:
-        if isinstance(f.dataType, T.StringType):
-            parts.append(F.coalesce(F.octet_length(f.name), F.lit(0)))
-        elif isinstance(f.dataType, T.ArrayType):
-            parts.append(F.coalesce(F.octet_length(F.array_join(f.name, "")), F.lit(0)))
-            parts.append(F.coalesce(F.size(f.name), F.lit(0)) * 8)
-    total = parts[0]
-    for p in parts[1:]:
-        total = total + p
-    return total
-
-
-def stage(df: DataFrame, path: str, obs: Observation | None = None, size: bool = False) -> DataFrame:
-    """Write ``df`` as Parquet at ``path`` (observing count/bytes) and read it back."""
+def stage(df: DataFrame, path: str, obs: Observation | None = None) -> DataFrame:
+    """Write ``df`` as Parquet at ``path`` (observing its row count) and read it back."""
     if obs is not None:
-        metrics = [F.count(F.lit(1)).alias("rows")]
-        if size:
-            metrics.append(F.sum(row_bytes(df)).alias("bytes"))
-        df = df.observe(obs, *metrics)
+        df = df.observe(obs, F.count(F.lit(1)).alias("rows"))
     df.write.mode("overwrite").parquet(path)
     return df.sparkSession.read.parquet(path)
 
@@ -115,13 +100,26 @@ def remove_path(spark: SparkSession, path: str) -> None:
         log.warning("could not remove staged tables at %s", path)
 
 
-def broadcast_limit(spark: SparkSession) -> int:
-    raw = spark.conf.get("spark.sql.autoBroadcastJoinThreshold", None)
-    try:
-        v = int(str(raw).lower().rstrip("b"))
-    except (TypeError, ValueError):
-        v = DEFAULT_BROADCAST_BYTES
-    return v if v > 0 else 0
+def candidates(articles: DataFrame, movies: DataFrame) -> DataFrame:
+    """Articles whose title some movie has; no other article can match."""
+    titles = movies.select(F.col(C.CLEANED_TITLE).alias("__t")).distinct()
+    return articles.join(titles, F.col(C.CLEANED_TITLE) == F.col("__t"), "left_semi")
+
+
+def staged_sources(movies: DataFrame, articles: DataFrame, root: str) -> tuple[DataFrame, DataFrame, int, int]:
+    """Both prepared tables staged under ``root``, and how many rows each had.
+
+    Every prepared article is counted, before it is reduced to a candidate."""
+    m_obs, a_obs = Observation(), Observation()
+    movies = stage(movies, f"{root}/movies", m_obs)
+    counted = articles.observe(a_obs, F.count(F.lit(1)).alias("rows"))
+    articles = stage(candidates(counted, movies), f"{root}/articles")
+    return movies, articles, int(m_obs.get["rows"]), int(a_obs.get["rows"])
+
+
+def ranked(df: DataFrame, rows: int | None = RESULT_ROWS) -> DataFrame:
+    """The job's result rows of a match: the top ``rows`` by revenue/budget."""
+    return top_k(df, RESULT_ORDER, rows, tie_breakers=RESULT_TIE_BREAKERS)
 
 
 def run(
@@ -137,44 +135,22 @@ def run(
 ) -> JobResult:
     """Read, prepare, match and write the top ``rows`` by revenue/budget.
 
-    The staged tables are removed after a successful write unless
-    ``keep_stage``; after a failure they are kept for inspection.
+    The staged tables are removed in the end, also after a failure, unless
+    ``keep_stage``.
     """
+    root = None
     try:
         root = f"{stage_root(spark)}/titlematch-{uuid.uuid4().hex}"
         log.info("preparing movies and articles under %s", root)
-        m_obs, a_obs = Observation("movies"), Observation("articles")
-        movies = stage(prepare_movies(read_movies(spark, movies_path)), f"{root}/movies", m_obs, size=True)
-        m = m_obs.get
-        n_movies, movie_bytes = int(m["rows"]), int(m.get("bytes") or 0)
-        use_broadcast = 0 < movie_bytes <= broadcast_limit(spark)
-
-        # Count every prepared article (observed before any reduction) ...
-        prepared = prepare_articles(read_articles(spark, articles_path, splittable=splittable_xml))
-        prepared = prepared.observe(a_obs, F.count(F.lit(1)).alias("rows"))
-        if use_broadcast:
-            # ... but stage only those whose title some movie has: every tier
-            # keys on the title, so no other article can match.  The title
-            # set is bounded by the measured movie size, so it is broadcast
-            # and the reduction is a map-side filter of the XML scan.
-            titles = movies.select(F.col(C.CLEANED_TITLE).alias("__t")).distinct()
-            prepared = prepared.join(F.broadcast(titles), F.col(C.CLEANED_TITLE) == F.col("__t"), "left_semi")
-        articles = stage(prepared, f"{root}/articles")
-        n_articles = int(a_obs.get["rows"])
+        prepared = prepare_movies(read_movies(spark, movies_path))
+        raw = read_articles(spark, articles_path, splittable=splittable_xml)
+        movies, articles, n_movies, n_articles = staged_sources(prepared, prepare_articles(raw), root)
         log.info("%d rows in movie table, %d rows in article table", n_movies, n_articles)
-        matched = tiered_match(movies, articles, broadcast_keys=use_broadcast)
-        write_table(
-            matched,
-            target,
-            table=table,
-            mode=mode,
-            order_by=RESULT_ORDER,
-            rows=rows,
-            tie_breakers=RESULT_TIE_BREAKERS,
-        )
-        if not keep_stage:
-            remove_path(spark, root)
-        return JobResult(n_movies, n_articles, movie_bytes, use_broadcast, root)
+        write_table(ranked(tiered_match(movies, articles), rows), target, table=table, mode=mode)
+        return JobResult(n_movies, n_articles, root)
     except Exception:
         log.exception("job failed")
         raise
+    finally:
+        if root and not keep_stage:
+            remove_path(spark, root)
