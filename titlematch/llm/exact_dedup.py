@@ -126,11 +126,8 @@ def without_copies(docs: DataFrame) -> DataFrame:
     id, one."""
     rows, repeated, groups = _routed(docs, [F.struct("*").alias("_row")])
     single = rows.join(repeated, F.col("_fp") == F.col("_repeated"), "left_anti")
-    found = groups.select(F.col("_fp").alias("_gfp"), F.col("_sha").alias("_gsha"), "keep_id")
-    winners = (
-        rows.join(repeated, F.col("_fp") == F.col("_repeated"), "left_semi")
-        .join(found, (F.col("_fp") == F.col("_gfp")) & (F.col("_sha") == F.col("_gsha")) & F.col("_doc").eqNullSafe(F.col("keep_id")))
-        .groupBy("_fp", "_sha")
-        .agg(F.first("_row").alias("_row"))
-    )
+    found = staged(groups.select(F.col("_fp").alias("_gfp"), F.col("_sha").alias("_gsha"), "keep_id"), "exact-kept")
+    # with the id among the keys, the rows of a large group do not meet in a task
+    kept = (F.col("_fp") == F.col("_gfp")) & (F.col("_sha") == F.col("_gsha")) & F.col("_doc").eqNullSafe(F.col("keep_id"))
+    winners = rows.join(few(found), kept).groupBy("_fp", "_sha").agg(F.first("_row").alias("_row"))
     return single.select("_row.*").unionByName(winners.select("_row.*"))

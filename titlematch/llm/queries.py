@@ -59,7 +59,45 @@ def op10_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (op1_exact_dedup, op2_secrets, op3_source_mix, op4_token_counts, op5_best_fit_packing, op6_toxicity, op7_quality, op8_near_dedup, op9_training_order, op10_top_k)}
 
+_WORDS = "|".join("".join(f"[{c}{c.upper()}]" for c in w) for w in ("password", "passwd", "secret", "token"))
+_ASSIGN = rf"""(?:{_WORDS}|[aA][pP][iI]_?[kK][eE][yY])["'']?\x20*[:=]\x20*["'']?([A-Za-z0-9+/_.=-]+)"""
+_NEAR = "x.n = y.n AND x.a <= y.e + 256 AND x.e >= y.a - 256"
+
 ORACLE_SQL = {
+    "op2_secrets": rf"""
+WITH d AS (SELECT row_number() OVER () AS n, doc_id, coalesce(text, '') AS text FROM documents),
+k(rank, kind, pattern) AS (VALUES (1, 'assign', '{_ASSIGN}'), (2, 'access', 'AKIA[A-Z0-9]{{12,}}'), (3, 'hex', '[0-9a-f]{{32,}}'),
+  (4, 'secret', '[A-Za-z0-9+/=]{{40,}}'), (5, 'endpoint', 'https?://[^\x20\x09-\x0D"''<>]+')),
+m AS (SELECT n, rank, kind, regexp_extract_all(text, pattern) AS own, string_split_regex(text, pattern) AS gap FROM d, k),
+p AS (SELECT *, unnest(generate_series(1, len(own))) AS i FROM m),
+s AS (
+  SELECT n, rank, kind, own[i] AS t, CAST(list_sum(list_transform(gap[1:i], lambda g: length(g)))
+    + coalesce(list_sum(list_transform(own[1:i - 1], lambda g: length(g))), 0) AS BIGINT) AS a FROM p
+), c AS (
+  SELECT n, rank, kind, a, a + length(t) AS e FROM s
+  WHERE CASE kind WHEN 'assign' THEN length(regexp_extract(t, '{_ASSIGN}', 1)) >= 8
+    WHEN 'secret' THEN regexp_full_match(t, '[A-Za-z0-9+/]{{40}}') AND regexp_matches(t, '[A-Z]')
+      AND regexp_matches(t, '[a-z]') AND regexp_matches(t, '[0-9]')
+    ELSE true END
+), f AS (
+  SELECT * FROM c AS y WHERE kind = 'access' AND EXISTS (SELECT 1 FROM c AS x WHERE x.kind IN ('secret', 'assign') AND {_NEAR})
+), l AS (
+  SELECT * FROM c WHERE rank <= 3
+  UNION ALL
+  SELECT * FROM c AS y WHERE kind = 'secret' AND EXISTS (SELECT 1 FROM c AS x WHERE x.kind = 'access' AND {_NEAR})
+  UNION ALL
+  SELECT * FROM c AS y WHERE kind = 'endpoint' AND EXISTS (SELECT 1 FROM f AS x WHERE {_NEAR})
+), g AS (
+  SELECT n, count(*) FILTER (kind = 'assign') AS n_assign, count(*) FILTER (kind = 'access') AS n_access,
+    count(*) FILTER (kind = 'hex') AS n_hex,
+    string_agg(kind || ':' || a || ':' || e, ',' ORDER BY a, rank) FILTER (rank <= 3) AS base,
+    string_agg(kind || ':' || a || ':' || e, ',' ORDER BY a, rank) AS spans
+  FROM l GROUP BY n
+)
+SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex,
+  sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
+FROM d LEFT JOIN g ON g.n = d.n
+""",
     "op10_top_k": """
 WITH v AS (
   SELECT vec_id, list_transform(embedding, lambda x: floor(1024 * CAST(x AS DOUBLE))) AS v

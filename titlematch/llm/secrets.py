@@ -31,7 +31,8 @@ ASSIGN_LEAST = 8
 ACCESS = r"AKIA[A-Z0-9]{12,}"
 HEX = r"[0-9a-f]{32,}"
 #: Weak candidates.
-SECRET = r"(?<![A-Za-z0-9+/=])[A-Za-z0-9+/]{40}(?![A-Za-z0-9+/=])"
+SECRET = r"[A-Za-z0-9+/=]{40,}"
+SECRET_WHOLE = r"^[A-Za-z0-9+/]{40}$"
 ENDPOINT = r"""https?://[^\x20\x09-\x0D"'<>]+"""
 #: Kinds in the order in which spans that start together are listed.
 KINDS = ["assign", "access", "hex", "secret", "endpoint"]
@@ -80,7 +81,7 @@ def scanned(docs: DataFrame) -> DataFrame:
         return F.length(F.regexp_extract(match, ASSIGN_VALUE, 1)) >= ASSIGN_LEAST
 
     def mixed(match: Column) -> Column:
-        return match.rlike("[A-Z]") & match.rlike("[a-z]") & match.rlike("[0-9]")
+        return match.rlike(SECRET_WHOLE) & match.rlike("[A-Z]") & match.rlike("[a-z]") & match.rlike("[0-9]")
 
     access = text.contains("AKIA")
     return docs.select(
