@@ -2,7 +2,8 @@
 
 A token enters as one of a few evidence classes.  ``emission`` holds a weight per
 class and label, ``transition`` one per pair of labels, ``initial`` one per
-label.  Sequences come as windows of equal length, one row each.
+label.  Sequences come as windows of equal length, one row each.  Messages are
+kept as probabilities, scaled to one at every token.
 """
 
 from __future__ import annotations
@@ -12,11 +13,6 @@ from dataclasses import dataclass
 import numpy as np
 
 
-def _logsumexp(x: np.ndarray, axis: int) -> np.ndarray:
-    top = x.max(axis=axis, keepdims=True)
-    return (top + np.log(np.exp(x - top).sum(axis=axis, keepdims=True))).squeeze(axis)
-
-
 @dataclass
 class Crf:
     emission: np.ndarray
@@ -24,23 +20,30 @@ class Crf:
     initial: np.ndarray
 
     def _messages(self, windows: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Log forward and backward messages and the log partition function."""
-        e = self.emission[windows]
-        n, length, _ = e.shape
-        forward, backward = np.empty_like(e), np.zeros_like(e)
-        forward[:, 0] = self.initial + e[:, 0]
-        for t in range(1, length):
-            forward[:, t] = e[:, t] + _logsumexp(forward[:, t - 1, :, None] + self.transition, 1)
-        for t in range(length - 2, -1, -1):
-            backward[:, t] = _logsumexp(self.transition + (e[:, t + 1] + backward[:, t + 1])[:, None, :], 2)
-        return forward, backward, _logsumexp(forward[:, -1], 1)
+        """Forward and backward messages, and per token what its label receives
+        from the right; token first, then window, then label."""
+        e = np.exp(self.emission - self.emission.max(axis=1, keepdims=True))[windows.T]
+        step = np.exp(self.transition - self.transition.max())
+        forward, backward, right = np.empty_like(e), np.ones_like(e), np.empty_like(e)
+        scale = np.empty((*e.shape[:2], 1))
+        now = np.exp(self.initial - self.initial.max()) * e[0]
+        for t in range(len(e)):
+            if t:
+                now = (forward[t - 1] @ step) * e[t]
+            scale[t] = now.sum(axis=1, keepdims=True)
+            forward[t] = now / scale[t]
+        for t in range(len(e) - 1, -1, -1):
+            right[t] = e[t] * backward[t] / scale[t]
+            if t:
+                backward[t - 1] = right[t] @ step.T
+        return forward, backward, right
 
     def marginals(self, windows: np.ndarray) -> np.ndarray:
         """Probability of label 1 at every token."""
         if not len(windows):
             return np.zeros(windows.shape)
-        forward, backward, z = self._messages(windows)
-        return np.exp((forward + backward)[:, :, 1] - z[:, None])
+        forward, backward, _ = self._messages(windows)
+        return np.clip((forward * backward)[:, :, 1].T, 0.0, 1.0)
 
     @classmethod
     def fit(cls, windows: np.ndarray, labels: np.ndarray, classes: int, steps: int = 100, rate: float = 0.2, ridge: float = 1e-3) -> Crf:
@@ -53,16 +56,14 @@ class Crf:
         np.add.at(seen[1], (labels[:, :-1], labels[:, 1:]), 1)
         np.add.at(seen[2], labels[:, 0], 1)
         first, second = [np.zeros_like(w) for w in weights], [np.zeros_like(w) for w in weights]
+        flat = windows.T.ravel()
         for step in range(1, steps + 1):
-            model = cls(*weights)
-            forward, backward, z = model._messages(windows)
-            node = np.exp(forward + backward - z[:, None, None])
-            follow = (model.emission[windows[:, 1:]] + backward[:, 1:])[:, :, None, :]
-            edge = np.exp(forward[:, :-1, :, None] + model.transition + follow - z[:, None, None, None])
-            expected = [np.zeros_like(w) for w in weights]
+            forward, backward, right = cls(*weights)._messages(windows)
+            node = forward * backward
+            pairs = np.exp(weights[1] - weights[1].max()) * np.einsum("tni,tnj->ij", forward[:-1], right[1:])
+            expected = [np.zeros_like(weights[0]), pairs, node[0].sum(axis=0)]
             for label in (0, 1):
-                expected[0][:, label] = np.bincount(windows.ravel(), node[:, :, label].ravel(), minlength=classes)
-            expected[1], expected[2] = edge.sum((0, 1)), node[:, 0].sum(0)
+                expected[0][:, label] = np.bincount(flat, node[:, :, label].ravel(), minlength=classes)
             for i, w in enumerate(weights):
                 slope = (seen[i] - expected[i]) / len(windows) - ridge * w
                 first[i] = 0.9 * first[i] + 0.1 * slope
