@@ -23,7 +23,7 @@ def shared_dir(spark: SparkSession) -> str:
     executors run elsewhere must name a shared one."""
     path = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
     if not path:
-        if not spark.sparkContext.master.startswith("local["):
+        if spark.sparkContext.master.split("[")[0] != "local":
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
         path = tempfile.mkdtemp(prefix="titlematch-shared-")
         spark.conf.set("spark.checkpoint.dir", path)
@@ -39,7 +39,7 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     cut there, and a lost executor re-reads files instead of recomputing."""
     spark = df.sparkSession
     path = new_folder(spark, name)
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import math
 import re
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
@@ -47,32 +48,49 @@ def fold_of(doc_id: Column, folds: int) -> Column:
     return F.pmod(F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")), F.lit(folds))
 
 
-def statistics(text: Column) -> dict[str, Column]:
-    """The ``STATISTICS`` of a text; 0 where it has no words."""
-    chars, words = F.length(text).cast("double"), word_count(text).cast("double")
-    lines = F.split(text, "\n")
-    tokens = F.split(text, r"[\x20\x09-\x0D]+")
+def counts(text: Column) -> list[Column]:
+    """What the statistics are made of."""
+    lines, tokens = F.split(text, "\n"), F.split(text, r"[\x20\x09-\x0D]+")
+    found = {
+        "symbols": r"[#$%&*@^~|<>{}\[\]_=+\\]",
+        "marks": r"[.,;:!?]",
+        "shouts": r"!",
+        "bars": r"\|",
+        "capitals": r"\p{Lu}",
+        "digits": r"[0-9]",
+        "letters": r"\p{L}+",
+    }
+    sizes = {
+        "chars": F.length(text),
+        "bytes": F.octet_length(text),
+        "words": word_count(text),
+        "tokens": F.size(F.array_distinct(tokens)),
+        "lines": F.size(lines),
+        "own_lines": F.size(F.array_distinct(lines)),
+    } | {name: F.regexp_count(text, F.lit(pattern)) for name, pattern in found.items()}
+    return [c.cast("double").alias(f"n_{name}") for name, c in sizes.items()]
+
 
-    def per(count: Column, of: Column) -> Column:
-        return F.when(of > 0, count / of).otherwise(F.lit(0.0))
+def statistics(count: Callable[[str], Column] = F.col) -> dict[str, Column]:
+    """The ``STATISTICS`` of a text from its counts; 0 where it has no words."""
 
-    def found(pattern: str) -> Column:
-        return F.regexp_count(text, F.lit(pattern)).cast("double")
+    def per(part: Column, of: str) -> Column:
+        return F.when(count(f"n_{of}") > 0, part / count(f"n_{of}")).otherwise(F.lit(0.0))
 
     return {
-        "words": words,
-        "word_length": per(chars, words),
-        "symbols": per(found(r"[#$%&*@^~|<>{}\[\]_=+\\]"), chars),
-        "marks": per(found(r"[.,;:!?]"), words),
-        "shouts": per(found(r"!"), words),
-        "bars": per(found(r"\|"), words),
-        "capitals": per(found(r"\p{Lu}"), chars),
-        "digits": per(found(r"[0-9]"), chars),
-        "letters": per(found(r"\p{L}+"), words),
-        "wide": per(F.octet_length(text) - chars, chars),
-        "distinct_words": per(F.size(F.array_distinct(tokens)).cast("double"), words),
-        "distinct_lines": per(F.size(F.array_distinct(lines)).cast("double"), F.size(lines).cast("double")),
-        "words_a_line": per(words, F.size(lines).cast("double")),
+        "words": count("n_words"),
+        "word_length": per(count("n_chars"), "words"),
+        "symbols": per(count("n_symbols"), "chars"),
+        "marks": per(count("n_marks"), "words"),
+        "shouts": per(count("n_shouts"), "words"),
+        "bars": per(count("n_bars"), "words"),
+        "capitals": per(count("n_capitals"), "chars"),
+        "digits": per(count("n_digits"), "chars"),
+        "letters": per(count("n_letters"), "words"),
+        "wide": per(count("n_bytes") - count("n_chars"), "chars"),
+        "distinct_words": per(count("n_tokens"), "words"),
+        "distinct_lines": per(count("n_own_lines"), "lines"),
+        "words_a_line": per(count("n_words"), "lines"),
     }
 
 
@@ -82,10 +100,10 @@ class Rule:
 
     terms: tuple[tuple[str, str, float], ...]
 
-    def column(self) -> Column:
+    def column(self, statistic: Callable[[str], Column] = F.col) -> Column:
         out = F.lit(True)
         for name, sign, bound in self.terms:
-            out &= (F.col(name) <= bound) if sign == "<=" else (F.col(name) > bound)
+            out &= (statistic(name) <= bound) if sign == "<=" else (statistic(name) > bound)
         return out.cast("double")
 
 
@@ -108,11 +126,11 @@ class RuleModel:
     intercept: float
     rules: tuple[tuple[float, Rule], ...]
 
-    def score(self) -> Column:
+    def score(self, statistic: Callable[[str], Column] = F.col) -> Column:
         """Probability of label 1, over columns named as the statistics."""
         total = F.lit(self.intercept)
         for weight, rule in self.rules:
-            total += F.lit(weight) * rule.column()
+            total += F.lit(weight) * rule.column(statistic)
         return 1.0 / (1.0 + F.exp(-total))
 
 
@@ -137,13 +155,10 @@ def fit(rows: DataFrame) -> RuleModel:
     return RuleModel(float(lasso.intercept), kept)
 
 
-def _described() -> list[Column]:
-    columns = statistics(text_of())
-    return [columns[name].alias(name) for name in STATISTICS]
-
-
 def described(docs: DataFrame) -> DataFrame:
-    return docs.select("doc_id", *_described())
+    counted = docs.select("doc_id", *counts(text_of()))
+    made = statistics()
+    return counted.select("doc_id", *[made[name].alias(name) for name in STATISTICS])
 
 
 def train(stats: DataFrame, labels: DataFrame, folds: int = FOLDS, held_out: int = HELD_OUT) -> RuleModel:
@@ -173,5 +188,11 @@ def quality_scores(docs: DataFrame, labels: DataFrame) -> DataFrame:
 def accepted(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The documents with a score of 0.5 or more, all their columns."""
     model = train(staged(described(docs), "quality-statistics"), labels)
-    rows = docs.select(F.struct("*").alias("_row"), *_described())
-    return rows.filter(model.score() >= 0.5).select("_row.*")
+    # as a lambda's argument the counts are taken once a row; as columns under a
+    # filter they would be pulled into every rule
+
+    def scored(counted: Column) -> Column:
+        made = statistics(lambda name: counted[name])
+        return model.score(lambda name: made[name])
+
+    return docs.filter(F.transform(F.array(F.struct(*counts(text_of()))), scored)[0] >= 0.5)
