@@ -231,11 +231,28 @@ def test_best_fit_is_best_fit_decreasing():
         assert sorted(gaps) == sorted(capacity - u for u in used.values())
 
 
-def test_training_order(spark, docs, rows):
-    got = training_order.training_order(docs).collect()
-    assert sorted(r.slot for r in got) == list(range(len(got)))
-    want = [(i, k, n, crc) for i, k, _, n, crc in _pieces(rows, 512, "<u2")]
-    assert sorted(key((r.doc_id, r.piece, r.length, r.ids_crc32)) for r in got) == sorted(map(key, want))
+def test_training_order(spark, docs, tmp_path):
+    library = Tokenizer.from_file(default_path("word_bpe_49k.json"))
+    path, sequence, shard = str(tmp_path / "order"), 64, 50
+    docs.write.parquet(str(tmp_path / "docs"))
+    docs = spark.read.parquet(str(tmp_path / "docs"))
+    n = training_order.materialise(docs, path, sequence=sequence, shard=shard)
+    got = {r.slot: r for r in training_order.read_order(spark, path, 0, sequence, shard).collect()}
+    assert sorted(got) == list(range(n))
+    # undo the permutation: the sequences in order are the documents' ids in order
+    stream, at = [], []
+    for r in docs.collect():
+        ids = library.encode(r.text or "", add_special_tokens=False).ids + [0]
+        at += [(r.doc_id, k) for k in range(len(ids))]
+        stream += ids
+    read = []
+    for slot in training_order.permuted(np.arange(n), n):
+        r = got[int(slot)]
+        assert (r.doc_id, r.start) == at[len(read)] and 0 < r.length <= sequence
+        assert (r.shard, r.byte_offset) == (r.slot // shard, r.slot % shard * training_order.stride(sequence))
+        read += np.frombuffer(r.ids, "<u2").tolist()
+    assert read == stream
+    assert sum(r.length < sequence for r in got.values()) <= docs.rdd.getNumPartitions()
 
 
 def test_training_order_resumes(spark, docs, tmp_path):

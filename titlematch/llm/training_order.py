@@ -1,19 +1,21 @@
 """Training-order materialisation: fixed-stride shards in a keyed random order.
 
-Documents become token sequences of at most ``SEQUENCE`` ids.  With N sequences,
-numbered 0 to N - 1 as the staged token table lists them, a keyed Feistel network
-permutes the smallest even power of two that holds N; values of N or more walk
-the cycle until they fall below it, so the numbers are permuted among themselves
-and each sequence has one global slot.  No slot is looked up or sorted for: it is
-computed from the number and the key.
+The documents' token streams, each with an end id, run on one after the other and
+are cut into sequences of ``SEQUENCE`` ids, so only the last sequence of an input
+partition is shorter.  With N sequences, numbered 0 to N - 1 as the staged token
+table lists them, a keyed Feistel network permutes the smallest even power of two
+that holds N; values of N or more walk the cycle until they fall below it, so the
+numbers are permuted among themselves and each sequence has one global slot.  No
+slot is looked up or sorted for: it is computed from the number and the key.
 
 Slots are dealt to shards of ``SHARD`` records by range, sorted, and written by
 Spark as files of fixed-stride records: slot s is record ``s % SHARD`` of shard
 ``s // SHARD``, at byte ``(s % SHARD) * STRIDE``.  A reader resumes at any slot by
 that arithmetic, and reads on sequentially.
 
-A record is a header (tokens used, document id, piece), the ids as unsigned
-16-bit little-endian numbers, zeros up to the stride, and a line end.
+A record is a header (ids used; the document of the first id and where in it
+that id stands), the ids as unsigned 16-bit little-endian numbers, zeros up to
+the stride, and a line end.
 """
 
 from __future__ import annotations
@@ -33,7 +35,7 @@ from titlematch.llm.tokens import bare, default_path, encoder, id_bytes
 SEQUENCE, SHARD = 512, 1 << 14
 VOCABULARY = "word_bpe_49k.json"
 END, KEY, ROUNDS = 0, 20240817, 6
-HEADER = "<HqI"
+HEADER = "<Hqq"
 HEADER_SIZE = struct.calcsize(HEADER)
 NO_ID = -(1 << 63)
 
@@ -68,11 +70,20 @@ def permuted(numbers: np.ndarray, n: int, key: int = KEY) -> np.ndarray:
 
 
 def sequences(docs: DataFrame, sequence: int = SEQUENCE, vocabulary: str | None = None) -> DataFrame:
-    """``doc_id, piece, length, ids``: every document's ids and the end id."""
+    """``doc_id, start, length, ids``: the documents' ids and end ids, cut into
+    sequences; ``doc_id`` and ``start`` tell where a sequence's first id is from."""
     path, end = vocabulary or default_path(VOCABULARY), id_bytes([END])
+    size = 2 * sequence
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = encoder(path, bare, id_bytes, lower=True)
+        held, first = b"", (None, 0)  # the open sequence, and where it begins
+
+        def out(rows: list) -> pa.RecordBatch:
+            columns = zip(*rows, strict=True) if rows else [()] * 4
+            types = (pa.int64(), pa.int64(), pa.int32(), pa.binary())
+            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], names=["doc_id", "start", "length", "ids"])
+
         for batch in batches:
             for at in range(0, batch.num_rows, 1000):
                 part, rows = batch.slice(at, 1000), []
@@ -80,17 +91,21 @@ def sequences(docs: DataFrame, sequence: int = SEQUENCE, vocabulary: str | None
                     ids = np.frombuffer(data + end, "<u4")
                     if ids.max() >= 1 << 16:
                         raise ValueError("the vocabulary has ids over 65535")
-                    short = ids.astype("<u2").tobytes()
-                    for k, a in enumerate(range(0, len(short), 2 * sequence)):
-                        rows.append((doc_id, k, len(short[a : a + 2 * sequence]) // 2, short[a : a + 2 * sequence]))
-                columns = zip(*rows, strict=True) if rows else [()] * 4
-                types = (pa.int64(), pa.int32(), pa.int32(), pa.binary())
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(c, t) for c, t in zip(columns, types, strict=True)], names=["doc_id", "piece", "length", "ids"]
-                )
+                    short, a = ids.astype("<u2").tobytes(), 0
+                    while a < len(short):
+                        if not held:
+                            first = (doc_id, a // 2)
+                        taken = short[a : a + size - len(held)]
+                        held, a = held + taken, a + len(taken)
+                        if len(held) == size:
+                            rows.append((*first, sequence, held))
+                            held = b""
+                yield out(rows)
+        if held:
+            yield out([(*first, len(held) // 2, held)])
 
     rows = docs.select(F.col("doc_id").cast("long"), text_of().alias("text"))
-    return rows.mapInArrow(cut, "doc_id long, piece int, length int, ids binary")
+    return rows.mapInArrow(cut, "doc_id long, start long, length int, ids binary")
 
 
 def _little_endian(value: Column, size: int) -> Column:
@@ -104,9 +119,9 @@ def materialise(
 ) -> int:
     """Writes the shards under ``path`` and returns the number of sequences.
 
-    A null or empty text is the end id alone.  Repeated rows are sequences of
-    their own; a null id is written as the smallest long.  An empty table writes
-    no shard.  Only ``doc_id`` and ``text`` are read.
+    A null or empty text is the end id alone.  Repeated rows are written as often
+    as they occur; a null id is written as the smallest long.  An empty table
+    writes no shard.  Only ``doc_id`` and ``text`` are read.
     """
     # written once, so that the numbers hold however often a task is run again
     rows = staged(sequences(docs, sequence, vocabulary).withColumn("_at", F.monotonically_increasing_id()), "order-tokens")
@@ -122,10 +137,10 @@ def materialise(
         return pd.Series(permuted(before.loc[parts].to_numpy() + places.to_numpy(), n, key))
 
     header = F.concat(
-        _little_endian(F.col("length"), 2), _little_endian(F.coalesce("doc_id", F.lit(NO_ID)), 8), _little_endian(F.col("piece"), 4)
+        _little_endian(F.col("length"), 2), _little_endian(F.coalesce("doc_id", F.lit(NO_ID)), 8), _little_endian(F.col("start"), 8)
     )
     record = F.rpad(F.concat(header, F.col("ids")), stride(sequence) - 1, F.lit(b"\0"))
-    dealt = rows.select(slot(part, place).alias("_slot"), "doc_id", "piece", "length", "ids").withColumn(
+    dealt = rows.select(slot(part, place).alias("_slot"), "doc_id", "start", "length", "ids").withColumn(
         "shard", F.floor(F.col("_slot") / shard)
     )
     (
@@ -141,7 +156,7 @@ def materialise(
 
 def read_order(spark: SparkSession, path: str, first: int = 0, sequence: int = SEQUENCE, shard: int = SHARD) -> DataFrame:
     """Sequences from slot ``first`` on: ``slot, shard, byte_offset, doc_id,
-    piece, length, ids``.  Shards before it are not opened."""
+    start, length, ids``.  Shards before it are not opened."""
     size = stride(sequence)
 
     def parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -151,24 +166,24 @@ def read_order(spark: SparkSession, path: str, first: int = 0, sequence: int = S
                 for a in range(max(0, first - own * shard), len(data) // size, 4096):
                     out = []
                     for k in range(a, min(a + 4096, len(data) // size)):
-                        length, doc_id, piece = struct.unpack_from(HEADER, data, k * size)
+                        length, doc_id, start = struct.unpack_from(HEADER, data, k * size)
                         ids = bytes(data[k * size + HEADER_SIZE : k * size + HEADER_SIZE + 2 * length])
-                        out.append((own * shard + k, own, k * size, None if doc_id == NO_ID else doc_id, piece, length, ids))
-                    types = (*[pa.int64()] * 4, pa.int32(), pa.int32(), pa.binary())
-                    names = ["slot", "shard", "byte_offset", "doc_id", "piece", "length", "ids"]
+                        out.append((own * shard + k, own, k * size, None if doc_id == NO_ID else doc_id, start, length, ids))
+                    types = (*[pa.int64()] * 5, pa.int32(), pa.binary())
+                    names = ["slot", "shard", "byte_offset", "doc_id", "start", "length", "ids"]
                     yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), types, strict=True)], names=names)
 
     files = spark.read.format("binaryFile").load(path).filter(F.col("shard") >= first // shard)
-    schema = "slot long, shard long, byte_offset long, doc_id long, piece int, length int, ids binary"
+    schema = "slot long, shard long, byte_offset long, doc_id long, start long, length int, ids binary"
     return files.select(F.col("shard").cast("long"), "content").mapInArrow(parse, schema)
 
 
 def training_order(docs: DataFrame) -> DataFrame:
     """Materialises the order in the shared folder and reads it back: ``slot,
-    shard, byte_offset, doc_id, piece, length, ids_crc32`` (of the 16-bit ids)."""
+    shard, byte_offset, doc_id, start, length, ids_crc32`` (of the 16-bit ids)."""
     spark = docs.sparkSession
     path = new_folder(spark, "training-order")
-    columns = ["slot", "shard", "byte_offset", "doc_id", "piece", "length"]
+    columns = ["slot", "shard", "byte_offset", "doc_id", "start", "length"]
     if not materialise(docs, path):
-        return spark.createDataFrame([], "slot long, shard long, byte_offset long, doc_id long, piece int, length int, ids_crc32 long")
+        return spark.createDataFrame([], "slot long, shard long, byte_offset long, doc_id long, start long, length int, ids_crc32 long")
     return read_order(spark, path).select(*columns, F.crc32("ids").alias("ids_crc32"))
