@@ -78,7 +78,7 @@ def _marks(path: str, overlap: int):
                 left, right, n, place = [], [], 0, 0
                 for part in slices(text):
                     units = spaced(part)
-                    for unit, tokens in zip(units, next(encode.values([part]), []), strict=True):
+                    for unit, tokens in zip(units, encode.values(part), strict=True):
                         # a unit that starts with white space starts at a boundary in any context
                         if place and _WHITE.match(unit):
                             if place <= overlap and at:

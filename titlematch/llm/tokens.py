@@ -17,7 +17,6 @@ from __future__ import annotations
 import os
 import re
 from collections.abc import Callable, Iterator
-from itertools import chain
 
 import numpy as np
 
@@ -26,8 +25,15 @@ SPACE = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 _SPACED = re.compile(f"[{SPACE}]*[^{SPACE}]+|[{SPACE}]+")
 # letters with marks after them: the two always encode apart
 _LETTERS_MARKS = re.compile(r"( ?[A-Za-z]+)([.,;:!?#$%&*|]+)\Z")
-#: Remembered units a worker holds, and the longest remembered unit.
-KNOWN, LONGEST = 1_000_000, 64
+# Letters below this are composed already; of them only the dotted capital I
+# becomes two characters in lower case.
+_LATIN_END, _DOTTED = "\u0250", "\u0130"
+# Byte-level vocabularies write a byte as the character of its number where that
+# is visible, and the others, in order, from 256 on.
+_VISIBLE = {*range(33, 127), *range(161, 173), *range(174, 256)}
+_BYTE_SIGNS = dict(zip([b for b in range(256) if b not in _VISIBLE], range(256, 512), strict=False))
+#: Units a generation remembers, and the longest remembered unit.
+KNOWN, LONGEST = 500_000, 64
 #: Texts are cut into units this many characters at a time.
 SLICE = 1 << 20
 
@@ -64,6 +70,33 @@ def slices(text: str, size: int = SLICE) -> Iterator[str]:
     yield text[a:] if a else text
 
 
+class _Known(dict):
+    """Values of units, asked for when first met.  Two generations bound it: a
+    full dictionary becomes the old one, and what is met again moves over."""
+
+    def __init__(self, ask: Callable[[str], object], lower: bool):
+        super().__init__()
+        self.ask, self.lower, self.old = ask, lower, {}
+
+    def __missing__(self, unit: str):
+        value = self.old.get(unit)
+        if value is None:
+            if m := _LETTERS_MARKS.match(unit):
+                value = self[m[1]] + self[m[2]]
+            elif self.lower and unit.isascii() and (small := unit.lower()) != unit:
+                value = self[small]
+            else:
+                value = self.ask(unit)
+        if len(unit) <= LONGEST:
+            self[unit] = value
+        return value
+
+    def turn(self) -> None:
+        if len(self) > KNOWN:
+            self.old = dict(self)
+            self.clear()
+
+
 class Encoder:
     """Ids of texts by a tokenizer file, unit by unit."""
 
@@ -72,68 +105,33 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_file(path)
+        self.model = self.library.model
         self.units, self.value, self.lower = units, value, lower
-        self.known: dict[str, object] = {}
-
-    def _ask(self, units: list[str]) -> list:
-        return [self.value(e.ids) for e in self.library.encode_batch_fast(units, add_special_tokens=False)]
-
-    def learn(self, units: set[str]) -> dict:
-        """Values of all ``units``: the remembered ones, or a larger dict."""
-        if len(self.known) > KNOWN:
-            self.known = {}
-        new = units.difference(self.known)
-        parts: dict[str, tuple[str, ...]] = {}
-        for u in new:
-            if m := _LETTERS_MARKS.match(u):
-                parts[u] = (m[1].lower(), m[2]) if self.lower else (m[1], m[2])
-            elif self.lower and u.isascii():
-                parts[u] = (u.lower(),)
-            else:
-                parts[u] = (u,)
-        ask = list(set(chain.from_iterable(parts.values())).difference(self.known))
-        found = dict(zip(ask, self._ask(ask), strict=True))
-        for u, p in parts.items():
-            if len(p) == 2:
-                a, b = (found[x] if x in found else self.known[x] for x in p)
-                found[u] = a + b
-            elif u not in found:
-                found[u] = found[p[0]] if p[0] in found else self.known[p[0]]
-        long = {u: v for u, v in found.items() if len(u) > LONGEST}
-        for u in long:
-            del found[u]
-        self.known.update(found)
-        return self.known | long if long else self.known
-
-    def values(self, texts: list[str]) -> Iterator[list]:
-        """The values of each text's units."""
-        for batch in _batches(texts):
-            lists = [self.units(t) for t in batch]
-            get = self.learn(set(chain.from_iterable(lists))).__getitem__
-            for units in lists:
-                yield list(map(get, units))
+        self.known = _Known(self._ask, lower)
+
+    def _ask(self, unit: str):
+        """The value of a unit by the library.  A word of Latin letters (maybe
+        after a space, where that counts) is one piece to the tokenizer's
+        splitting, and its normaliser does no more than lower-case it; such a word
+        is asked of the library's model directly, written in byte-level signs."""
+        word = unit[1:] if not self.lower and unit[:1] == " " else unit
+        if word.isalpha() and max(word) < _LATIN_END and _DOTTED not in word:
+            piece = (unit.lower() if self.lower else unit).encode().decode("latin-1").translate(_BYTE_SIGNS)
+            return self.value([t.id for t in self.model.tokenize(piece)])
+        return self.value(self.library.encode(unit, add_special_tokens=False).ids)
+
+    def values(self, text: str) -> list:
+        """The values of the text's units."""
+        self.known.turn()
+        return list(map(self.known.__getitem__, self.units(text)))
 
     def each(self, texts: list[str], join: Callable) -> Iterator:
         """``join`` of the values of each text; a very long text goes in parts."""
-        short = [t for t in texts if len(t) <= SLICE]
-        values = self.values(short)
-        for t in texts:
-            if len(t) <= SLICE:
-                yield join(next(values))
+        for text in texts:
+            if len(text) <= SLICE:
+                yield join(self.values(text))
             else:
-                yield join([join(v) for part in slices(t) for v in self.values([part])])
-
-
-def _batches(texts: list[str]) -> Iterator[list[str]]:
-    held, n = [], 0
-    for t in texts:
-        held.append(t)
-        n += len(t)
-        if n > SLICE:
-            yield held
-            held, n = [], 0
-    if held:
-        yield held
+                yield join([join(self.values(part)) for part in slices(text)])
 
 
 def id_bytes(ids: list[int]) -> bytes:
