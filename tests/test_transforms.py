@@ -93,7 +93,7 @@ def test_repartition_knob_is_off_by_default(spark):
 def test_prepare_movies_schema_and_rows(spark):
     cols = ["title", "genres", "production_companies", "release_date", "vote_average", "budget", "revenue", "extra"]
     data = [
-        ("King Kong", "[{'id': 12, 'name': 'Adventure'}]", "[{'name': 'RKO', 'id': 6}]", "1933-03-07", "7.5", "672000", "10000000", "x"),
+        ("Paper Moth", "[{'id': 3, 'name': 'Mystery'}]", "[{'name': 'Umi', 'id': 74}]", "1954-02-14", "7.5", "800000", "9000000", "x"),
         ("Zero Budget", "[]", "[]", "2000-01-01", "5", "0", "100", "x"),
         ("", "[]", "[]", "2000-01-01", "5", "10", "100", "x"),
         (" Spaced ", "[]", None, None, "5", "10", "15", "x"),
@@ -114,7 +114,7 @@ def test_prepare_movies_schema_and_rows(spark):
     got = rows(out)
     assert got == [
         (" Spaced ", None, None, [], "5", 15, 10, 1.5, "spaced"),
-        ("King Kong", "1933", ["RKO"], ["Adventure"], "7.5", 10000000, 672000, 14.88, "king kong"),
+        ("Paper Moth", "1954", ["Umi"], ["Mystery"], "7.5", 9000000, 800000, 11.25, "paper moth"),
     ]
     assert set(MOVIE_TYPES) == {"budget", "release_date", "revenue", "production_companies", "genres"}
 
