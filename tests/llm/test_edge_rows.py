@@ -301,6 +301,21 @@ def test_secrets(spark):
     assert (got[5].n_assign, got[5].n_access, got[5].n_hex) == (1, 0, 1)
 
 
+def test_secrets_in_assignments_without_a_space(spark):
+    access, weak = "AKIA" + "C3" * 8, "aB3/" * 10
+    texts = [
+        f"aws_access_key_id={access}\naws_secret_access_key={weak}\nurl=https://h.example/x",
+        f"AccessKeyId={access};SecretAccessKey={weak};https://h.example/y",
+        f"{access} key={weak}= https://h.example/z",
+        f"{access} key={weak}c https://h.example/z",
+    ]
+    got = {r.doc_id: r.spans for r in secrets.secrets(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()}
+    listed = [[(s.split(":")[0], t[int(s.split(":")[1]) : int(s.split(":")[2])]) for s in got[i].split(",")] for i, t in enumerate(texts)]
+    for own, path in zip(listed[:3], "xyz", strict=True):
+        assert own == [("access", access), ("secret", weak), ("endpoint", f"https://h.example/{path}")]
+    assert listed[3] == [("access", access)]
+
+
 def test_scores(docs, labels, rows):
     for scored in (quality.quality_scores(docs, labels), toxicity.toxicity(docs, labels)):
         got = scored.collect()

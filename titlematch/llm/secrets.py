@@ -31,7 +31,8 @@ ASSIGN_LEAST = 8
 ACCESS = r"AKIA[A-Z0-9]{12,}"
 HEX = r"[0-9a-f]{32,}"
 #: Weak candidates.
-SECRET = r"[A-Za-z0-9+/=]{40,}"
+#: ('=' is left out of the run, so that the name in ``name=value`` is not part of it)
+SECRET = r"[A-Za-z0-9+/]{40,}"
 SECRET_WHOLE = r"^[A-Za-z0-9+/]{40}$"
 ENDPOINT = r"""https?://[^\x20\x09-\x0D"'<>]+"""
 #: Kinds in the order in which spans that start together are listed.
