@@ -15,7 +15,10 @@ that arithmetic, and reads on sequentially.
 
 A record is a header (ids used; the document of the first id and where in it
 that id stands), the ids as unsigned 16-bit little-endian numbers, zeros up to
-the stride, and a line end.
+the stride, and a line end.  A record has no room for all its documents, so they
+are listed in Parquet files beside the shards, by shard and slot: which document,
+the place in it of its first id in the sequence, and where in the sequence that
+id stands.
 """
 
 from __future__ import annotations
@@ -38,6 +41,7 @@ END, KEY, ROUNDS = 0, 20240817, 6
 HEADER = "<Hqq"
 HEADER_SIZE = struct.calcsize(HEADER)
 NO_ID = -(1 << 63)
+DOCUMENTS = "array<struct<doc_id:long,start:long,offset:int>>"
 
 
 def stride(sequence: int = SEQUENCE) -> int:
@@ -70,19 +74,23 @@ def permuted(numbers: np.ndarray, n: int, key: int = KEY) -> np.ndarray:
 
 
 def sequences(docs: DataFrame, sequence: int = SEQUENCE, vocabulary: str | None = None) -> DataFrame:
-    """``doc_id, start, length, ids``: the documents' ids and end ids, cut into
-    sequences; ``doc_id`` and ``start`` tell where a sequence's first id is from."""
+    """``documents, length, ids``: the documents' ids and end ids, cut into
+    sequences; ``documents`` lists every document in a sequence, in order."""
     path, end = vocabulary or default_path(VOCABULARY), id_bytes([END])
     size = 2 * sequence
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = encoder(path, bare, id_bytes, lower=True)
-        held, first = b"", (None, 0)  # the open sequence, and where it begins
+        held, inside = b"", []  # the open sequence, and the documents in it
 
         def out(rows: list) -> pa.RecordBatch:
-            columns = zip(*rows, strict=True) if rows else [()] * 4
-            types = (pa.int64(), pa.int64(), pa.int32(), pa.binary())
-            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], names=["doc_id", "start", "length", "ids"])
+            listed, lengths, ids = zip(*rows, strict=True) if rows else [()] * 3
+            flat = [d for own in listed for d in own]
+            types = (pa.int64(), pa.int64(), pa.int32())
+            fields = [pa.array(c, t) for c, t in zip(zip(*flat, strict=True) if flat else [()] * 3, types, strict=True)]
+            ends = np.cumsum([0, *map(len, listed)]).astype(np.int32)
+            documents = pa.ListArray.from_arrays(pa.array(ends), pa.StructArray.from_arrays(fields, names=["doc_id", "start", "offset"]))
+            return pa.RecordBatch.from_arrays([documents, pa.array(lengths, pa.int32()), pa.array(ids, pa.binary())], names=["documents", "length", "ids"])
 
         for batch in batches:
             for at in range(0, batch.num_rows, 1000):
@@ -93,19 +101,23 @@ def sequences(docs: DataFrame, sequence: int = SEQUENCE, vocabulary: str | None
                         raise ValueError("the vocabulary has ids over 65535")
                     short, a = ids.astype("<u2").tobytes(), 0
                     while a < len(short):
-                        if not held:
-                            first = (doc_id, a // 2)
+                        inside.append((doc_id, a // 2, len(held) // 2))
                         taken = short[a : a + size - len(held)]
                         held, a = held + taken, a + len(taken)
                         if len(held) == size:
-                            rows.append((*first, sequence, held))
-                            held = b""
+                            rows.append((inside, sequence, held))
+                            held, inside = b"", []
                 yield out(rows)
         if held:
-            yield out([(*first, len(held) // 2, held)])
+            yield out([(inside, len(held) // 2, held)])
 
     rows = docs.select(F.col("doc_id").cast("long"), text_of().alias("text"))
-    return rows.mapInArrow(cut, "doc_id long, start long, length int, ids binary")
+    return rows.mapInArrow(cut, f"documents {DOCUMENTS}, length int, ids binary")
+
+
+def documents_path(path: str) -> str:
+    """The folder beside the shards that lists the documents of the sequences."""
+    return f"{path}-documents"
 
 
 def _little_endian(value: Column, size: int) -> Column:
@@ -117,11 +129,12 @@ def _little_endian(value: Column, size: int) -> Column:
 def materialise(
     docs: DataFrame, path: str, key: int = KEY, sequence: int = SEQUENCE, shard: int = SHARD, vocabulary: str | None = None
 ) -> int:
-    """Writes the shards under ``path`` and returns the number of sequences.
+    """Writes the shards under ``path``, the documents of their sequences beside
+    it, and returns the number of sequences.
 
     A null or empty text is the end id alone.  Repeated rows are written as often
-    as they occur; a null id is written as the smallest long.  An empty table
-    writes no shard.  Only ``doc_id`` and ``text`` are read.
+    as they occur; a null id is written as the smallest long (beside the shards,
+    as null).  An empty table writes no shard.  Only ``doc_id`` and ``text`` are read.
     """
     # written once, so that the numbers hold however often a task is run again
     rows = staged(sequences(docs, sequence, vocabulary).withColumn("_at", F.monotonically_increasing_id()), "order-tokens")
@@ -140,7 +153,8 @@ def materialise(
         _little_endian(F.col("length"), 2), _little_endian(F.coalesce("doc_id", F.lit(NO_ID)), 8), _little_endian(F.col("start"), 8)
     )
     record = F.rpad(F.concat(header, F.col("ids")), stride(sequence) - 1, F.lit(b"\0"))
-    dealt = rows.select(slot(part, place).alias("_slot"), "doc_id", "start", "length", "ids").withColumn(
+    first = F.col("documents")[0]
+    dealt = rows.select(slot(part, place).alias("_slot"), first["doc_id"].alias("doc_id"), first["start"].alias("start"), "length", "ids").withColumn(
         "shard", F.floor(F.col("_slot") / shard)
     )
     (
@@ -151,6 +165,14 @@ def materialise(
         .option("lineSep", "\n")
         .text(path)
     )
+    listed = rows.select(slot(part, place).alias("slot"), "documents").withColumn("shard", F.floor(F.col("slot") / shard))
+    (
+        listed.repartitionByRange(-(-n // shard), "shard")
+        .sortWithinPartitions("shard", "slot")
+        .write.partitionBy("shard")
+        .option("compression", "zstd")
+        .parquet(documents_path(path))
+    )
     return n
 
 
@@ -178,12 +200,22 @@ def read_order(spark: SparkSession, path: str, first: int = 0, sequence: int = S
     return files.select(F.col("shard").cast("long"), "content").mapInArrow(parse, schema)
 
 
+def read_documents(spark: SparkSession, path: str, first: int = 0, shard: int = SHARD) -> DataFrame:
+    """``slot, documents`` from slot ``first`` on: every document of a sequence, as
+    ``doc_id``, ``start`` (place in the document) and ``offset`` (place in the
+    sequence) of its first id there.  Shards before it are not opened."""
+    rows = spark.read.schema(f"slot long, documents {DOCUMENTS}, shard long").parquet(documents_path(path))
+    return rows.filter((F.col("shard") >= first // shard) & (F.col("slot") >= first)).select("slot", "documents")
+
+
 def training_order(docs: DataFrame) -> DataFrame:
     """Materialises the order in the shared folder and reads it back: ``slot,
-    shard, byte_offset, doc_id, start, length, ids_crc32`` (of the 16-bit ids)."""
+    shard, byte_offset, doc_id, start, length, ids_crc32`` (of the 16-bit ids) and
+    ``documents``, the list of all documents in the sequence."""
     spark = docs.sparkSession
     path = new_folder(spark, "training-order")
     columns = ["slot", "shard", "byte_offset", "doc_id", "start", "length"]
     if not materialise(docs, path):
-        return spark.createDataFrame([], "slot long, shard long, byte_offset long, doc_id long, start long, length int, ids_crc32 long")
-    return read_order(spark, path).select(*columns, F.crc32("ids").alias("ids_crc32"))
+        return spark.createDataFrame([], f"slot long, shard long, byte_offset long, doc_id long, start long, length int, ids_crc32 long, documents {DOCUMENTS}")
+    # ids are summed up before the join, so that none are shuffled
+    return read_order(spark, path).select(*columns, F.crc32("ids").alias("ids_crc32")).join(read_documents(spark, path), "slot")
