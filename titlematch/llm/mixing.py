@@ -8,6 +8,10 @@ result is one threshold a source: a document is taken when its hash lies below
 it, so documents are filtered and never sorted, and a smaller budget takes a
 subset of what a larger one takes.
 
+Rows with one id, or with none, share a hash.  Where several stand at a source's
+threshold, they are split in the same way by a hash of the text, and rows that
+share that too by their staged row number.
+
 All of it is DataFrame operations.  The running sums go over histogram rows (at
 most 4,096 a source) and over one row per source, never over documents.
 """
@@ -28,6 +32,9 @@ WEIGHTS = (5, 2, 1)
 MAX_EPOCHS = 3
 HASH_BITS = 60
 LEVEL_BITS = 12
+#: What documents are told apart by: hash of the id, hash of the text, row number
+#: (which has 33 bits and the partition's, below ``HASH_BITS`` in all).
+KEYS = ("hash", "digest", "row")
 
 
 def id_hash(doc_id: Column) -> Column:
@@ -60,22 +67,40 @@ def source_targets(totals: DataFrame, weights: Sequence[int] = WEIGHTS, max_epoc
 
 
 def thresholds(sizes: DataFrame, targets: DataFrame) -> DataFrame:
-    """One row a source: ``source, source_size, target, full, threshold``.
-    Each document is taken ``full`` times, and once more if its hash is below
-    ``threshold``."""
+    """One row a source: ``source, source_size, target, full, t_hash, t_digest,
+    t_row``.  Each document is taken ``full`` times, and once more if its hash,
+    digest and row number are below these three, compared in that order."""
     full = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(F.lit(0)).cast("long")
-    state = targets.withColumn("full", full).withColumn("_left", F.col("target") - F.col("full") * F.col("source_size"))
-    # _lower: first hash of the boundary bucket; _left: budget that remains there
-    state = staged(state.withColumn("_lower", F.lit(0).cast("long")), "mix-targets")
+    zeros = [F.lit(0).cast("long").alias(f"t_{k}") for k in KEYS]
+    # _left: budget that remains in the boundary bucket; _open: still to be refined
+    state = targets.withColumn("full", full).select(
+        "source", "source_size", "target", "full", *zeros, (F.col("target") - F.col("full") * F.col("source_size")).alias("_left"), F.lit(True).alias("_open")
+    )
+    state = staged(state, "mix-targets")
+    for place, key in enumerate(KEYS):
+        state = _refined(sizes, state, KEYS[:place], key)
+        if key == KEYS[-1] or state.filter("_open").isEmpty():
+            break  # no boundary holds several rows
+    return state.drop("_left", "_open")
+
+
+def _refined(sizes: DataFrame, state: DataFrame, above: Sequence[str], key: str) -> DataFrame:
+    """``state`` with ``t_<key>`` of the open sources, whose boundary rows have
+    the thresholds of the keys ``above``.  Sources stay open where several rows
+    share a value at the boundary."""
+    # _lower: first value of the boundary bucket
+    state = state.withColumn("_lower", F.lit(0).cast("long"))
     shift = HASH_BITS
     while shift > 0:
         width, shift = 1 << shift, shift - LEVEL_BITS
-        bounds = state.select(F.col("source").alias("_s"), F.col("_lower").alias("_from"))
-        inside = (F.col("hash") >= F.col("_from")) & (F.col("hash") < F.col("_from") + F.lit(width))
+        bounds = state.filter("_open").select(F.col("source").alias("_s"), F.col("_lower").alias("_from"), *[F.col(f"t_{k}").alias(f"_{k}") for k in above])
+        inside = (F.col(key) >= F.col("_from")) & (F.col(key) < F.col("_from") + F.lit(width))
+        for k in above:
+            inside &= F.col(k) == F.col(f"_{k}")
         histogram = (
             sizes.filter("size > 0")
             .join(bounds, F.col("source").eqNullSafe(F.col("_s")) & inside)
-            .groupBy("_s", F.shiftright(F.col("hash") - F.col("_from"), shift).alias("_bucket"))
+            .groupBy("_s", F.shiftright(F.col(key) - F.col("_from"), shift).alias("_bucket"))
             .agg(F.sum("size").alias("_words"), F.count(F.lit(1)).alias("_rows"))
         )
         order = W.partitionBy("_s").orderBy("_bucket")
@@ -89,34 +114,40 @@ def thresholds(sizes: DataFrame, targets: DataFrame) -> DataFrame:
             .join(hit, F.col("source").eqNullSafe(F.col("_s")), "left")
             .withColumn("_lower", F.col("_lower") + F.shiftleft(F.coalesce(F.col("_bucket"), F.lit(0)).cast("long"), shift))
             .withColumn("_left", F.col("_left") - F.coalesce(F.col("_before"), F.lit(0)))
-            .select("source", "source_size", "target", "full", "_left", "_lower", "_words", "_rows"),
+            .drop("_s", "_bucket", "_before"),
             "mix-level",
         )
         if state.filter("_rows > 1").isEmpty():
             break  # every boundary bucket holds one document
-    # the boundary holds one hash: it is taken if that comes nearer to the budget
-    nearer = 2 * F.col("_left") > F.coalesce(F.col("_words"), F.lit(0))
-    return state.select(
+    # where the boundary holds one row, it is taken if that comes nearer to the budget
+    tied = F.col("_open") & (F.coalesce("_rows", F.lit(0)) > 1) & F.lit(key != KEYS[-1])
+    nearer = ~tied & (2 * F.col("_left") > F.coalesce(F.col("_words"), F.lit(0)))
+    found = F.col("_lower") + F.when(nearer, F.lit(1 << shift)).otherwise(F.lit(0))
+    state = state.withColumn(f"t_{key}", F.when(F.col("_open"), found).otherwise(F.col(f"t_{key}")))
+    return state.withColumn("_open", tied).drop("_lower", "_words", "_rows")
+
+
+def _sizes(docs: DataFrame, *also: str) -> DataFrame:
+    """What the thresholds need; to be staged, so that the row numbers hold."""
+    return docs.select(
+        *also,
+        "doc_id",
         "source",
-        "source_size",
-        "target",
-        "full",
-        (F.col("_lower") + F.when(nearer, F.lit(1 << shift)).otherwise(F.lit(0))).alias("threshold"),
+        word_count(text_of()).alias("size"),
+        id_hash(F.col("doc_id")).alias("hash"),
+        id_hash(text_of()).alias("digest"),
+        F.monotonically_increasing_id().alias("row"),
     )
 
 
-def _sizes(docs: DataFrame) -> DataFrame:
-    return docs.select("doc_id", "source", word_count(text_of()).alias("size"), id_hash(F.col("doc_id")).alias("hash"))
-
-
 def _marks(sizes: DataFrame, weights: Sequence[int], max_epochs: int) -> DataFrame:
     totals = sizes.groupBy("source").agg(F.sum("size").alias("source_size"))
     return thresholds(sizes, source_targets(totals, weights, max_epochs)).withColumnRenamed("source", "_s")
 
 
-def _copies(size: Column, hashed: Column) -> Column:
-    taken = F.col("full") + F.when(hashed < F.col("threshold"), 1).otherwise(0)
-    return F.when(size > 0, taken).otherwise(F.lit(0)).cast("long")
+def _copies() -> Column:
+    below = F.struct(*KEYS) < F.struct(*[F.col(f"t_{k}").alias(k) for k in KEYS])
+    return F.when(F.col("size") > 0, F.col("full") + F.when(below, 1).otherwise(0)).otherwise(F.lit(0)).cast("long")
 
 
 def mix(docs: DataFrame, weights: Sequence[int] = WEIGHTS, max_epochs: int = MAX_EPOCHS) -> DataFrame:
@@ -126,33 +157,30 @@ def mix(docs: DataFrame, weights: Sequence[int] = WEIGHTS, max_epochs: int = MAX
     ``size`` is the number of words, ``copies`` how often the mix takes the
     document and ``taken`` = ``copies`` x ``size``.  A null text has size 0, a
     null source is a source of its own, last in order.  A source without words
-    has target 0.  Rows with the same id (repeated rows, null ids) share a hash
-    and are taken together.  An empty table gives an empty result.  Only
+    has target 0.  Rows with the same id (repeated rows, null ids) share a hash;
+    at a threshold they are taken one by one.  An empty table gives an empty result.  Only
     ``doc_id``, ``source`` and ``text`` are read.
     """
     sizes = staged(_sizes(docs), "mix-sizes")
     return (
         sizes.join(_marks(sizes, weights, max_epochs), F.col("source").eqNullSafe(F.col("_s")))
-        .withColumn("copies", _copies(F.col("size"), F.col("hash")))
+        .withColumn("copies", _copies())
         .select("doc_id", "size", "source", "source_size", "target", "copies", (F.col("copies") * F.col("size")).alias("taken"))
     )
 
 
 def mixed_documents(docs: DataFrame, weights: Sequence[int] = WEIGHTS, max_epochs: int = MAX_EPOCHS) -> DataFrame:
     """The documents the mix takes, each as often as it takes it; all columns
-    stay.  The thresholds (a row a source) come to the documents, so texts are
-    not shuffled unless the sources are too many to broadcast.  Documents
-    without words add nothing to a mix and are left out."""
-    marks = _marks(staged(_sizes(docs), "mix-sizes"), weights, max_epochs)
-    rows = docs.select(
-        F.struct("*").alias("_row"),
-        F.col("source").alias("_source"),
-        id_hash(F.col("doc_id")).alias("_hash"),
-        text_of().rlike(WORD).cast("int").alias("_size"),
-    )
+    stay.  The documents are staged with their row numbers.  The thresholds (a row
+    a source) come to them, so texts are not shuffled unless the sources are too
+    many to broadcast.  Documents without words add nothing to a mix and are left
+    out."""
+    rows = _sizes(docs.select(F.struct("*").alias("_row"), "doc_id", "source", "text"), "_row")
+    rows = staged(rows, "mix-rows")
+    marks = _marks(rows.drop("_row"), weights, max_epochs)
     return (
-        rows.join(marks, F.col("_source").eqNullSafe(F.col("_s")))
-        .withColumn("_n", _copies(F.col("_size"), F.col("_hash")))
+        rows.join(marks, F.col("source").eqNullSafe(F.col("_s")))
+        .withColumn("_n", _copies())
         .filter("_n > 0")
         .select("_row", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_n"))).alias("_copy"))
         .select("_row.*")
