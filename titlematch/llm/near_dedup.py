@@ -9,7 +9,7 @@ minimum only ``BITS`` low bits are kept and packed into ``SIG_LONGS`` longs.
    member with one pivot, not its pairs.  A pair passes on when the sizes allow
    the similarity at all and the collision-corrected estimate, from bit counts of
    the packed signatures, is not hopeless (``SLACK`` below the threshold, almost
-   five standard errors).
+   six standard errors).
 3. What passes is confirmed on the full sets, and confirmed links are joined
    into components.
 4. Where a bucket still holds several components, what stands outside its
@@ -39,7 +39,7 @@ from titlematch.llm.shingles import mixed, shingle_sets
 BANDS, ROWS, BITS = 36, 5, 4
 HASHES = BANDS * ROWS
 SIG_LONGS = -(-HASHES * BITS // 64)
-SLACK = 0.15
+SLACK = 0.18
 #: Documents on each side of a block.
 BLOCK = 512
 #: Shingles whose hashes are minimised at a time (fits a core's cache).
