@@ -149,7 +149,7 @@ def spans_of(text: str, places: np.ndarray, p: np.ndarray) -> list[tuple[int, in
 
 
 def _sample(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """``text, toxic, part`` of the sampled labelled documents."""
+    """``doc_id, text, toxic, part`` of the sampled labelled documents."""
     known = labels.filter(F.col("toxic").isin(0, 1) & (fold_of(F.col("doc_id"), FOLDS) != HELD_OUT))
     total = max(known.count(), 1)
     place = F.xxhash64("doc_id").bitwiseAND(F.lit((1 << 30) - 1))
@@ -157,7 +157,7 @@ def _sample(docs: DataFrame, labels: DataFrame) -> DataFrame:
         F.col("doc_id").alias("_id"), F.col("toxic").cast("int").alias("toxic"), F.pmod(F.xxhash64("doc_id", F.lit(1)), F.lit(SPLIT)).alias("part")
     )
     # bounded by SAMPLE rows of three numbers
-    return docs.select("doc_id", text_of().alias("text")).join(F.broadcast(picked), F.col("doc_id") == F.col("_id")).select("text", "toxic", "part")
+    return docs.select("doc_id", text_of().alias("text")).join(F.broadcast(picked), F.col("doc_id") == F.col("_id")).select("doc_id", "text", "toxic", "part")
 
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -201,17 +201,19 @@ def train(docs: DataFrame, labels: DataFrame) -> ToxicModel:
     def windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out = []
-            for text, toxic in zip(batch.column("text").to_pylist(), batch.column("toxic").to_pylist(), strict=True):
+            for doc_id, text, toxic in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "text", "toxic")), strict=True):
                 classes, _ = model.classes(text)
                 hit = np.unique(np.flatnonzero(classes) // WINDOW).tolist()
                 plain = [0] if len(classes) and 0 not in hit else []  # and one without evidence
-                out += [(toxic, classes[w * WINDOW : (w + 1) * WINDOW].tobytes()) for w in hit + plain]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([o[0] for o in out], pa.int32()), pa.array([o[1] for o in out], pa.binary())], names=["toxic", "window"]
-            )
-
-    learning = sample.filter("part = 0").select("text", "toxic")
-    rows = learning.mapInArrow(windows, "toxic int, window binary").orderBy(F.xxhash64("window", "toxic")).limit(WINDOWS).collect()
+                out += [(doc_id, w, toxic, classes[w * WINDOW : (w + 1) * WINDOW].tobytes()) for w in hit + plain]
+            columns = zip(*out, strict=True) if out else [()] * 4
+            types = (pa.int64(), pa.int64(), pa.int32(), pa.binary())
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], names=["doc_id", "number", "toxic", "window"])
+
+    learning = sample.filter("part = 0").select(F.col("doc_id").cast("long"), "text", "toxic")
+    # picked by where a window stands, not by its content: equal windows are many
+    place = [F.xxhash64("doc_id", "number"), "doc_id", "number", "toxic", "window"]
+    rows = learning.mapInArrow(windows, "doc_id long, number long, toxic int, window binary").orderBy(*place).limit(WINDOWS).collect()
     x = np.zeros((len(rows), WINDOW), np.uint8)
     for i, r in enumerate(rows):
         x[i, : len(r.window)] = np.frombuffer(r.window, np.uint8)
@@ -223,7 +225,7 @@ def train(docs: DataFrame, labels: DataFrame) -> ToxicModel:
             f, _ = model.tag(batch.column("text").to_pylist())
             yield pa.RecordBatch.from_arrays([batch.column("toxic"), *[pa.array(f[:, i]) for i in range(4)]], names=["toxic", "a", "b", "c", "d"])
 
-    seen = np.array(learning.mapInArrow(describe, "toxic int, a double, b double, c double, d double").collect(), dtype=float).reshape(-1, 5)
+    seen = np.array(learning.select("text", "toxic").mapInArrow(describe, "toxic int, a double, b double, c double, d double").collect(), dtype=float).reshape(-1, 5)
     model.weights = fit_logistic(seen[:, 1:], seen[:, 0])
     model._known.clear()
     return model
