@@ -12,7 +12,7 @@ def spark():
     from pyspark.sql import SparkSession
 
     s = (
-        SparkSession.builder.master("local[*]")
+        SparkSession.builder.master("local[*,3]")  # a failed task is tried again, as on a cluster
         .appName("titlematch-tests")
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.ui.enabled", "false")

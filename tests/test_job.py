@@ -3,7 +3,7 @@
 import os
 
 import pytest
-from fixtures import ARTICLE_URLS, GOLDEN, write_articles, write_movies
+from fixtures import ARTICLE_URLS, GOLDEN, MOVIE_HEADER, MOVIE_LINES, write_articles, write_movies
 
 from titlematch.plans import run, run_sql, table_schema
 from titlematch.plans.prepare import prepare_articles, prepare_movies
@@ -50,7 +50,7 @@ def test_job_reraises(spark, workdir):
     with pytest.raises(Exception):
         run(spark, write_movies(workdir), os.path.join(workdir, "missing.xml"), os.path.join(workdir, "o"))
     # nothing staged is left behind
-    assert not os.path.isdir(root) or not [d for d in os.listdir(root) if d.startswith("titlematch-")]
+    assert not os.path.isdir(root) or not [d for d in os.listdir(root) if d.startswith("titlematch-job-")]
 
 
 def test_write_table_modes_and_top_rows(spark, workdir):
@@ -97,7 +97,7 @@ def test_cli_and_stage_cleanup(spark, workdir):
     assert main([write_movies(workdir), write_articles(workdir), "--parquet", out, "--rows", "3"]) == 0
     assert spark.read.parquet(out).count() == 3
     root = spark.sparkContext.getCheckpointDir().replace("file:", "")
-    assert not [d for d in os.listdir(root) if d.startswith("titlematch-")]
+    assert not [d for d in os.listdir(root) if d.startswith("titlematch-job-")]
     res = run(spark, write_movies(workdir), write_articles(workdir), os.path.join(workdir, "o2"), keep_stage=True)
     assert os.path.isdir(res.stage_dir.replace("file:", "") + "/movies")
 
@@ -112,7 +112,7 @@ def test_job_stages_the_same_at_any_threshold(spark, workdir, threshold):
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
     assert (res.movies, res.articles) == (6, 8)
-    staged = {r.url.rsplit("/", 1)[-1] for r in spark.read.parquet(res.stage_dir + "/articles").collect()}
+    staged = {r.url.rsplit("/", 1)[-1] for r in spark.read.parquet(res.stage_dir + "/articles").filter("url IS NOT NULL").collect()}
     assert staged == {u for u in ARTICLE_URLS if u not in ("Tillman_Mill", "Glass_Orchard_Press")}
     got = sorted(
         ((r.title, r.year, r.revenue_to_budget, r.url.rsplit("/", 1)[-1] if r.url else None)
@@ -123,7 +123,7 @@ def test_job_stages_the_same_at_any_threshold(spark, workdir, threshold):
 
 
 def test_one_machines_folder_is_refused_on_a_cluster():
-    from titlematch.plans import stage_root
+    from titlematch.staging import shared_dir
 
     class Session:
         class conf:  # noqa: N801
@@ -134,9 +134,9 @@ def test_one_machines_folder_is_refused_on_a_cluster():
                 return cls.values.get(name, default)
 
     with pytest.raises(ValueError, match="one machine"):
-        stage_root(Session)
+        shared_dir(Session)
     Session.conf.values["spark.checkpoint.dir"] = "hdfs://store/x"
-    assert stage_root(Session) == "hdfs://store/x"
+    assert shared_dir(Session) == "hdfs://store/x"
 
 
 def test_write_catalog_table(spark):
@@ -155,3 +155,49 @@ def test_read_table_needs_all_bounds(spark):
 
     with pytest.raises(ValueError):
         read_table(spark, JdbcTarget("jdbc:none://x"), "t", partition_column="id", lower_bound=0)
+
+
+@pytest.mark.parametrize("lines", [[], [line for line in MOVIE_LINES if '"[]"' in line and ",0," in line]])
+def test_job_without_movies(spark, workdir, lines):
+    """A header alone, or no movie that passes the filters: an empty result, and
+    the true number of articles."""
+    movies = os.path.join(workdir, "none.csv")
+    with open(movies, "w") as f:
+        f.write("\n".join([MOVIE_HEADER, *lines]) + "\n")
+    out = os.path.join(workdir, "result_none")
+    res = run(spark, movies, write_articles(workdir), ParquetTarget(out))
+    assert (res.movies, res.articles) == (0, len(ARTICLE_URLS))
+    assert spark.read.parquet(out).count() == 0
+
+
+def test_job_without_articles(spark, workdir):
+    out = os.path.join(workdir, "result_no_articles")
+    res = run(spark, write_movies(workdir), write_articles(workdir, []), ParquetTarget(out))
+    assert res.articles == 0
+    assert spark.read.parquet(out).filter("url IS NOT NULL").count() == 0 and spark.read.parquet(out).count() == res.movies
+
+
+def test_counts_hold_when_tasks_run_again(spark, workdir):
+    """Every input task fails once after passing its rows on; the counts are
+    those of the committed files."""
+    from titlematch.plans.job import staged_sources
+
+    m = prepare_movies(read_movies(spark, write_movies(workdir)))
+    a = prepare_articles(read_articles(spark, write_articles(workdir)))
+    marks = os.path.join(workdir, "failed")
+    os.mkdir(marks)
+
+    def once(batches):
+        from pyspark import TaskContext
+
+        yield from batches
+        mark = os.path.join(marks, str(TaskContext.get().partitionId()))
+        if TaskContext.get().attemptNumber() == 0 and not os.path.exists(mark):
+            open(mark, "w").close()
+            raise RuntimeError("lost")
+
+    spark_conf = spark.sparkContext.getConf().get("spark.master")
+    if "," not in spark_conf:
+        pytest.skip("tasks are not run again on this master")
+    _, _, movies, articles = staged_sources(m, a.mapInArrow(once, a.schema), os.path.join(workdir, "stage"))
+    assert (movies, articles) == (6, 8) and os.listdir(marks)

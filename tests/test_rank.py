@@ -1,8 +1,9 @@
 """Sort / top-k / explode / distinct operators."""
 
 import pytest
+from pyspark.sql import functions as F
 
-from titlematch.operators.rank import distinct_values, explode_column, sort_by, top_exploded, top_k
+from titlematch.operators.rank import distinct_values, explode_column, numbered, sort_by, top_exploded, top_k, top_k_wide
 
 
 @pytest.fixture()
@@ -48,3 +49,35 @@ def test_distinct_values_first_seen(df):
     with pytest.raises(ValueError):
         distinct_values(ex, "c_exploded", [("t", "desc")])
     assert sorted(r[0] for r in distinct_values(ex, "c_exploded").collect()) == ["x", "y", "z"]
+
+
+def final_plan(df):
+    df.collect()
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.mark.parametrize("ascending", [False, True])
+@pytest.mark.parametrize("n", [0, 1, 700, 2500, 9999])
+def test_wide_top_k_is_top_k(spark, ascending, n):
+    """Heavy ties, skewed values, NULL, NaN and infinite keys."""
+    values = [None] * 300 + [float("nan")] * 100 + [float("inf"), float("-inf")] * 20 + [5.0] * 1500 + [1e300, -1e300, 0.0, -0.0]
+    rows = [(i, v) for i, v in enumerate(values)] + [(10_000 + i, (i * 37 % 1000) ** 3 / 7.0) for i in range(1500)]
+    df = spark.createDataFrame(rows, "id int, v double").repartition(5)
+    got = top_k_wide(df, "v", n, ascending, ["id"]).collect()
+    assert str(got) == str(top_k(df, "v", n, ascending, ["id"]).collect())
+
+
+def test_wide_top_k_has_no_single_partition(spark):
+    df = spark.range(200_000).select("id", (F.col("id") * 7919 % 200_000).alias("v")).repartition(8)
+    plan = final_plan(top_k_wide(df, "v", 100_000, tie_breakers=["id"]))
+    assert "SinglePartition" not in plan and "TakeOrdered" not in plan
+    assert top_k_wide(df, "v", 100_000, tie_breakers=["id"]).agg(F.min("v")).first()[0] == 100_000
+
+
+def test_numbered(spark):
+    df = spark.range(5000).select("id", (F.col("id") % 13).alias("k")).repartition(6)
+    out = numbered(df, [F.col("k").desc(), F.col("id").asc()])
+    want = sorted(((i, i % 13) for i in range(5000)), key=lambda t: (-t[1], t[0]))
+    assert [(r.id, r.k, r.number) for r in out.orderBy("number").collect()] == [(i, k, n) for n, (i, k) in enumerate(want, 1)]
+    assert "SinglePartition" not in final_plan(out)
+    assert numbered(df.limit(0), [F.col("id").asc()]).collect() == []

@@ -1,7 +1,7 @@
 """DataFrame operators."""
 
 from titlematch.operators.match import FILM_TIERS, Tier, tiered_match, tiered_match_except
-from titlematch.operators.rank import distinct_values, explode_column, sort_by, top_exploded, top_k
+from titlematch.operators.rank import distinct_values, explode_column, numbered, sort_by, top_exploded, top_k, top_k_wide
 from titlematch.operators.transforms import (
     add_cleaned_title,
     add_ratio,
@@ -25,6 +25,7 @@ __all__ = [
     "distinct_values",
     "explode_column",
     "filter_all",
+    "numbered",
     "parse_article_url",
     "pluck",
     "rename",
@@ -35,4 +36,5 @@ __all__ = [
     "tiered_match_except",
     "top_exploded",
     "top_k",
+    "top_k_wide",
 ]

@@ -1,6 +1,6 @@
 """Prepared tables, the batch job, SQL helpers and the query catalogue."""
 
-from titlematch.plans.job import JobResult, run, stage, stage_root
+from titlematch.plans.job import JobResult, run, stage
 from titlematch.plans.prepare import MOVIE_TYPES, movie_filters, prepare_articles, prepare_movies
 from titlematch.plans.sql import run_sql, table_schema
 
@@ -13,6 +13,5 @@ __all__ = [
     "run",
     "run_sql",
     "stage",
-    "stage_root",
     "table_schema",
 ]

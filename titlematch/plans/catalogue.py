@@ -8,10 +8,9 @@ library's operators on them.  Array columns are flattened with
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -19,10 +18,10 @@ from titlematch import columns as C
 from titlematch.functions.json import parse_json
 from titlematch.functions.text import ARTICLE_URL_PATTERN, clean_title
 from titlematch.operators.match import FILM_TIERS, tiered_match, tiered_match_except
-from titlematch.operators.rank import distinct_values, explode_column, top_exploded, top_k
+from titlematch.operators.rank import distinct_values, explode_column, numbered, top_exploded, top_k, top_k_wide
 from titlematch.operators.transforms import add_year, cast_columns, filter_all, pluck, rename, subset
 from titlematch.operators.urls import parse_article_url
-from titlematch.plans.job import RESULT_TIE_BREAKERS, candidates, ranked, remove_path, stage_root, staged_sources
+from titlematch.plans.job import RESULT_TIE_BREAKERS, candidates, ranked, staged_sources
 from titlematch.plans.prepare import (
     JSON_LIST_COLUMNS,
     MOVIE_RENAMES,
@@ -35,6 +34,7 @@ from titlematch.plans.sql import run_sql
 from titlematch.plans.views import ARTICLE_VIEW, MOVIE_VIEW, for_duckdb, for_spark
 from titlematch.sources.delimited import APOSTROPHE_ESCAPE
 from titlematch.sources.xml import ARTICLE_SCHEMA_PRUNED, xml_records
+from titlematch.staging import new_folder, scope, staged
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -240,18 +240,27 @@ def q_distinct_companies(spark, sf):
 
 def q_first_seen_companies(spark, sf):
     """Every company and its place in the order of first appearance over all
-    exploded rows.  The place is a running count over the distinct values."""
+    exploded rows."""
     rows = explode_column(matched(spark, sf).withColumn(C.GENRES, F.array_join(C.GENRES, "|")), C.PRODUCTION_COMPANIES)
     seen = distinct_values(rows, EXPLODED, [(C.REVENUE_TO_BUDGET, "desc"), *EXPLODED_TIE_BREAKERS[1:]])
-    place = F.dense_rank().over(Window.orderBy("first_seen", EXPLODED))
-    return seen.select(EXPLODED, place.alias("place"))
+    places = numbered(seen, [F.col("first_seen").asc(), F.col(EXPLODED).asc()], "place")
+    return places.select(EXPLODED, F.col("place").cast("int").alias("place"))
+
+
+WIDE_PART = 3
+
+
+def q_top_k_wide(spark, sf):
+    """A third of all order lines by price: a top-k too wide for one task."""
+    lines = staged(_table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_extendedprice"), "lines")
+    n = lines.count() // WIDE_PART
+    return top_k_wide(lines, "l_extendedprice", n, tie_breakers=["l_orderkey", "l_linenumber"])
 
 
 def q_row_counts(spark, sf):
-    """The counts the job reports, by its own staging and Observations."""
-    root = f"{stage_root(spark)}/titlematch-{uuid.uuid4().hex}"
-    _, _, n_movies, n_articles = staged_sources(*both_prepared(spark, sf), root)
-    remove_path(spark, root)
+    """The counts the job reports, by its own staging."""
+    with scope(spark):
+        _, _, n_movies, n_articles = staged_sources(*both_prepared(spark, sf), new_folder(spark, "counts"))
     return spark.createDataFrame([("movies", n_movies), ("articles", n_articles)], "table_name string, n long")
 
 
@@ -380,6 +389,7 @@ QUERIES: dict[str, Query] = {
     "top_exploded": q_top_exploded,
     "distinct_companies": q_distinct_companies,
     "first_seen_companies": q_first_seen_companies,
+    "top_k_wide": q_top_k_wide,
     "row_counts": q_row_counts,
     "job_match": q_job_match,
     "sort_ascending": q_sort_ascending,
@@ -531,6 +541,9 @@ FROM (
   FROM (SELECT *, row_number() OVER (ORDER BY revenue_to_budget DESC NULLS LAST, {_TIES}, production_companies_exploded) AS place FROM top)
   GROUP BY 1
 )""",
+    "top_k_wide": """SELECT l_orderkey, l_linenumber, l_extendedprice
+FROM (SELECT *, row_number() OVER (ORDER BY l_extendedprice DESC NULLS LAST, l_orderkey NULLS FIRST, l_linenumber NULLS FIRST) AS n FROM lineitem)
+WHERE n <= (SELECT count(*) // 3 FROM lineitem)""",
     "job_match": _BASE + "SELECT * FROM matched_flat ORDER BY revenue_to_budget DESC NULLS LAST, "
     f"{_TIES}, production_companies ASC NULLS FIRST LIMIT {TOP_K_ROWS}",
     "sort_ascending": _BASE + "SELECT * FROM matched_flat ORDER BY revenue_to_budget ASC NULLS FIRST, "

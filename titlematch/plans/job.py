@@ -6,23 +6,23 @@ Cluster behaviour:
   ``spark.checkpoint.dir`` (a shared folder on a cluster).  That cuts the
   lineage - a lost executor re-reads Parquet instead of re-parsing XML - and
   the match's two passes over each side read only the columns they need.
-* Row counts are collected by an ``Observation`` during that same write, not by
-  extra ``count()`` passes.
-* Of the articles only those whose title some movie has are staged, whatever
-  the sizes: every tier keys on the title, so no other article can match.  The
-  semi-join and the joins of the match carry no hint; AQE broadcasts a side
-  that turns out small, and coalesces or splits partitions otherwise.
+* Row counts are those of the committed files, read from their footers.  A count
+  taken while the rows pass (an ``Observation``) would count a task's rows again
+  when it is run again, and none at all where the plan is emptied.
+* Of the articles only those whose title some movie has are staged with their
+  content, whatever the sizes: every tier keys on the title, so no other article
+  can match.  The others are staged as their title alone, for the count.  The
+  joins carry no hint; AQE broadcasts a side that turns out small, and coalesces
+  or splits partitions otherwise.
 * Errors are logged and re-raised; staged tables are removed either way.
 """
 
 from __future__ import annotations
 
 import logging
-import tempfile
-import uuid
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from titlematch import columns as C
@@ -33,6 +33,7 @@ from titlematch.sinks.write import ParquetTarget, TableTarget, write_table
 from titlematch.sources.delimited import read_movies
 from titlematch.sources.jdbc import JdbcTarget
 from titlematch.sources.xml import read_articles
+from titlematch.staging import new_folder, scope
 
 log = logging.getLogger(__name__)
 
@@ -59,45 +60,10 @@ class JobResult:
     stage_dir: str
 
 
-def stage_root(spark: SparkSession) -> str:
-    """The shared folder named by ``spark.checkpoint.dir``; required, except
-    that one machine alone gets a temporary folder of its own."""
-    one_machine = spark.conf.get("spark.master", "local").split("[")[0] == "local"
-    d = spark.conf.get("spark.checkpoint.dir", None)
-    if not d:
-        try:
-            d = spark.sparkContext.getCheckpointDir()
-        except Exception:  # noqa: BLE001 - sessions without a local SparkContext
-            d = None
-    if not d and one_machine:
-        d = tempfile.mkdtemp(prefix="titlematch-stage-")
-        spark.conf.set("spark.checkpoint.dir", d)
-    if not d:
-        raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
-    if not spark.conf.get("spark.master", "local").startswith("local") and d.startswith("file:"):
-        raise ValueError(f"{d} is a folder of one machine; set spark.checkpoint.dir to one that every executor reaches")
-    return d.rstrip("/")
-
-
-def stage(df: DataFrame, path: str, obs: Observation | None = None) -> DataFrame:
-    """Write ``df`` as Parquet at ``path`` (observing its row count) and read it back."""
-    if obs is not None:
-        df = df.observe(obs, F.count(F.lit(1)).alias("rows"))
+def stage(df: DataFrame, path: str) -> DataFrame:
+    """Write ``df`` as Parquet at ``path`` and read it back."""
     df.write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.parquet(path)
-
-
-def remove_path(spark: SparkSession, path: str) -> None:
-    """Recursively delete ``path`` on whatever file system it names.
-
-    Best effort: a failure (or a session without a local JVM) only logs.
-    """
-    try:
-        sc = spark.sparkContext
-        p = sc._jvm.org.apache.hadoop.fs.Path(path)
-        p.getFileSystem(sc._jsc.hadoopConfiguration()).delete(p, True)
-    except Exception:  # noqa: BLE001
-        log.warning("could not remove staged tables at %s", path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def candidates(articles: DataFrame, movies: DataFrame) -> DataFrame:
@@ -109,12 +75,16 @@ def candidates(articles: DataFrame, movies: DataFrame) -> DataFrame:
 def staged_sources(movies: DataFrame, articles: DataFrame, root: str) -> tuple[DataFrame, DataFrame, int, int]:
     """Both prepared tables staged under ``root``, and how many rows each had.
 
-    Every prepared article is counted, before it is reduced to a candidate."""
-    m_obs, a_obs = Observation(), Observation()
-    movies = stage(movies, f"{root}/movies", m_obs)
-    counted = articles.observe(a_obs, F.count(F.lit(1)).alias("rows"))
-    articles = stage(candidates(counted, movies), f"{root}/articles")
-    return movies, articles, int(m_obs.get["rows"]), int(a_obs.get["rows"])
+    Every prepared article is a staged row, so the committed files hold the
+    count; only candidates keep more than their title, and only they are
+    returned."""
+    movies = stage(movies, f"{root}/movies")
+    titles = movies.select(F.col(C.CLEANED_TITLE).alias("__t")).distinct()
+    marked = articles.join(titles, F.col(C.CLEANED_TITLE) == F.col("__t"), "left")
+    wanted = F.col("__t").isNotNull()
+    others = [F.when(wanted, F.col(c)).alias(c) for c in articles.columns if c != C.CLEANED_TITLE]
+    rows = stage(marked.select(C.CLEANED_TITLE, *others, wanted.alias("__wanted")), f"{root}/articles")
+    return movies, rows.filter("__wanted").select(*articles.columns), movies.count(), rows.count()
 
 
 def ranked(df: DataFrame, rows: int | None = RESULT_ROWS) -> DataFrame:
@@ -140,17 +110,17 @@ def run(
     """
     root = None
     try:
-        root = f"{stage_root(spark)}/titlematch-{uuid.uuid4().hex}"
-        log.info("preparing movies and articles under %s", root)
-        prepared = prepare_movies(read_movies(spark, movies_path))
-        raw = read_articles(spark, articles_path, splittable=splittable_xml)
-        movies, articles, n_movies, n_articles = staged_sources(prepared, prepare_articles(raw), root)
-        log.info("%d rows in movie table, %d rows in article table", n_movies, n_articles)
-        write_table(ranked(tiered_match(movies, articles), rows), target, table=table, mode=mode)
-        return JobResult(n_movies, n_articles, root)
+        with scope(spark) as owned:
+            root = new_folder(spark, "job")
+            if keep_stage:
+                owned.clear()
+            log.info("preparing movies and articles under %s", root)
+            prepared = prepare_movies(read_movies(spark, movies_path))
+            raw = read_articles(spark, articles_path, splittable=splittable_xml)
+            movies, articles, n_movies, n_articles = staged_sources(prepared, prepare_articles(raw), root)
+            log.info("%d rows in movie table, %d rows in article table", n_movies, n_articles)
+            write_table(ranked(tiered_match(movies, articles), rows), target, table=table, mode=mode)
+            return JobResult(n_movies, n_articles, root)
     except Exception:
         log.exception("job failed")
         raise
-    finally:
-        if root and not keep_stage:
-            remove_path(spark, root)
