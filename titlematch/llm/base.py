@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from titlematch.staging import new_folder, shared_dir, staged
+
+__all__ = ["few", "fold_ascii", "new_folder", "shared_dir", "staged", "table", "text_of", "word_count"]
+
 #: Words are maximal runs of anything but ASCII white space.
 WORD = r"[^\x20\x09-\x0D]+"
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
@@ -17,32 +18,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder the session names in ``spark.checkpoint.dir``.  Where it is
-    unset (tests, one machine) a fresh temporary folder is set; a session whose
-    executors run elsewhere must name a shared one."""
-    path = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
-    if not path:
-        if spark.sparkContext.master.split("[")[0] != "local":
-            raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        path = tempfile.mkdtemp(prefix="titlematch-shared-")
-        spark.conf.set("spark.checkpoint.dir", path)
-    return path.rstrip("/")
-
-
-def new_folder(spark: SparkSession, name: str) -> str:
-    return f"{shared_dir(spark)}/titlematch/{name}-{uuid.uuid4().hex}"
-
-
-def staged(df: DataFrame, name: str) -> DataFrame:
-    """``df`` written as Parquet in the shared folder and read back: lineage is
-    cut there, and a lost executor re-reads files instead of recomputing."""
-    spark = df.sparkSession
-    path = new_folder(spark, name)
-    df.write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
 #: Rows of keys that are broadcast; more are joined by a shuffle.
 FEW_KEYS = 1_000_000
 

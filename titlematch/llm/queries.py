@@ -10,6 +10,7 @@ from titlematch.llm.mixing import mix
 from titlematch.llm.near_dedup import near_classes
 from titlematch.llm.packing import packed
 from titlematch.llm.quality import quality_scores
+from titlematch.llm.resampling import resampled
 from titlematch.llm.secrets import secrets
 from titlematch.llm.token_counts import token_counts
 from titlematch.llm.topk_search import top_scores
@@ -57,13 +58,61 @@ def op10_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return top_scores(table(spark, sf_dir, "embeddings"))
 
 
-QUERIES = {f.__name__: f for f in (op1_exact_dedup, op2_secrets, op3_source_mix, op4_token_counts, op5_best_fit_packing, op6_toxicity, op7_quality, op8_near_dedup, op9_training_order, op10_top_k)}
+def op12_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resampled(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+QUERIES = {f.__name__: f for f in (op1_exact_dedup, op2_secrets, op3_source_mix, op4_token_counts, op5_best_fit_packing, op6_toxicity, op7_quality, op8_near_dedup, op9_training_order, op10_top_k, op12_resampling)}
 
 _WORDS = "|".join("".join(f"[{c}{c.upper()}]" for c in w) for w in ("password", "passwd", "secret", "token"))
 _ASSIGN = rf"""(?:{_WORDS}|[aA][pP][iI]_?[kK][eE][yY])["'']?\x20*[:=]\x20*["'']?([A-Za-z0-9+/_.=-]+)"""
 _NEAR = "x.n = y.n AND x.a <= y.e + 256 AND x.e >= y.a - 256"
 
+# CRC-32 of a byte list, with the table of the polynomial worked out in place.
+_CRC_TABLE = """g(n, k, c) AS (
+  SELECT range, 0, range FROM range(256) UNION ALL SELECT n, k + 1, CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END FROM g WHERE k < 8
+), crc_table AS (SELECT list(c ORDER BY n) AS tab FROM g WHERE k = 8)"""
+
+
+def _crc(text: str) -> str:
+    data = f"list_transform(range(0, octet_length(encode({text}))), lambda i: CAST('0x' || substr(hex({text}), CAST(2 * i + 1 AS BIGINT), 2) AS BIGINT))"
+    fold = f"list_reduce(list_prepend(CAST(4294967295 AS BIGINT), {data}), lambda a, b: xor(a >> 8, tab[(xor(a, b) & 255) + 1]))"
+    return f"xor({fold}, CAST(4294967295 AS BIGINT))"
+
+
 ORACLE_SQL = {
+    "op12_resampling": rf"""
+WITH RECURSIVE {_CRC_TABLE},
+w AS (
+  SELECT true AS own, row_number() OVER () AS n, doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents
+  UNION ALL
+  SELECT false, row_number() OVER (), NULL, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') FROM benchmark
+), f AS (
+  SELECT own, n, unnest(list_concat(w, list_transform(range(1, greatest(len(w), 1)), lambda i: w[i] || ' ' || w[i + 1]))) AS f FROM w
+), c AS (SELECT own, n, f, count(*) AS k FROM f GROUP BY ALL),
+d AS (SELECT f, {_crc("f")} % 10000 AS bucket FROM (SELECT DISTINCT f FROM c), crc_table),
+b AS (SELECT own, n, bucket, sum(k) AS k FROM c JOIN d USING (f) GROUP BY ALL),
+t AS (
+  SELECT bucket, coalesce(sum(k) FILTER (own), 0) AS s, coalesce(sum(k) FILTER (NOT own), 0) AS t FROM b GROUP BY bucket
+), z AS (SELECT CAST(sum(s) AS DOUBLE) AS big_s, CAST(sum(t) AS DOUBLE) AS big_t FROM t),
+a AS (
+  SELECT bucket, CAST(floor(1000 * ln((CAST(t AS DOUBLE) + 1) * (big_s + 10000) / ((CAST(s AS DOUBLE) + 1) * (big_t + 10000)))) AS BIGINT) AS gain FROM t, z
+), m AS (SELECT n, CAST(sum(k) AS BIGINT) AS n_features, sum(k * gain) AS total FROM b JOIN a USING (bucket) WHERE own GROUP BY n),
+s AS (
+  SELECT doc_id, len(w) AS n_words, coalesce(n_features, 0) AS n_features,
+    CAST(coalesce(floor(CAST(total AS DOUBLE) / n_features), 0) AS BIGINT) AS weight,
+    CAST('0x' || substr(sha256('7:' || coalesce(CAST(doc_id AS VARCHAR), '')), 1, 8) AS BIGINT) AS h
+  FROM w LEFT JOIN m USING (n) WHERE own
+), r AS (SELECT *, weight + CAST(floor(-1000 * ln(-ln((h + 0.5::DOUBLE) / 4294967296::DOUBLE))) AS BIGINT) AS score FROM s),
+q AS (
+  SELECT *, row_number() OVER (PARTITION BY n_words >= 20 ORDER BY score DESC, doc_id NULLS LAST, n_features, weight) AS place,
+    25 * count(*) FILTER (n_words >= 20) OVER () // 100 AS drawn
+  FROM r
+)
+SELECT doc_id, n_features, weight, score, CASE WHEN n_words >= 20 AND place <= drawn THEN place END AS rank FROM q
+""",
     "op2_secrets": rf"""
 WITH d AS (SELECT row_number() OVER () AS n, doc_id, coalesce(text, '') AS text FROM documents),
 k(rank, kind, pattern) AS (VALUES (1, 'assign', '{_ASSIGN}'), (2, 'access', 'AKIA[A-Z0-9]{{12,}}'), (3, 'hex', '[0-9a-f]{{32,}}'),
