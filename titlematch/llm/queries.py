@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from titlematch.llm.base import table
 from titlematch.llm.exact_dedup import exact_groups
+from titlematch.llm.jaccard_join import jaccard_classes
 from titlematch.llm.mixing import mix
 from titlematch.llm.near_dedup import near_classes
 from titlematch.llm.packing import packed
@@ -62,7 +63,11 @@ def op12_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return resampled(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
-QUERIES = {f.__name__: f for f in (op1_exact_dedup, op2_secrets, op3_source_mix, op4_token_counts, op5_best_fit_packing, op6_toxicity, op7_quality, op8_near_dedup, op9_training_order, op10_top_k, op12_resampling)}
+def op13_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_classes(table(spark, sf_dir, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (op1_exact_dedup, op2_secrets, op3_source_mix, op4_token_counts, op5_best_fit_packing, op6_toxicity, op7_quality, op8_near_dedup, op9_training_order, op10_top_k, op12_resampling, op13_jaccard_join)}
 
 _WORDS = "|".join("".join(f"[{c}{c.upper()}]" for c in w) for w in ("password", "passwd", "secret", "token"))
 _ASSIGN = rf"""(?:{_WORDS}|[aA][pP][iI]_?[kK][eE][yY])["'']?\x20*[:=]\x20*["'']?([A-Za-z0-9+/_.=-]+)"""
@@ -191,6 +196,29 @@ c AS (
   SELECT r.a, e.b FROM r JOIN e ON r.b = e.a
 ), m AS (SELECT a, min(b) AS component_id FROM r GROUP BY a)
 SELECT doc_id, n_shingles, component_id, doc_id = component_id AS kept FROM n JOIN m ON m.a = doc_id
+""",
+    "op13_jaccard_join": r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w
+  FROM documents
+), s AS (
+  SELECT doc_id, CASE WHEN len(w) BETWEEN 1 AND 2 THEN [array_to_string(w, ' ')] ELSE list_distinct(
+    list_transform(generate_series(1, len(w) - 2), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2])) END AS s
+  FROM w
+), n AS (SELECT doc_id, len(s) AS n_shingles FROM s),
+x AS (SELECT doc_id, unnest(s) AS x FROM s),
+c AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS hits FROM x AS a JOIN x AS b ON a.x = b.x AND a.doc_id <> b.doc_id GROUP BY ALL
+), e AS (
+  SELECT a, b FROM c JOIN n AS p ON p.doc_id = a JOIN n AS q ON q.doc_id = b
+  WHERE 100 * hits >= 90 * (p.n_shingles + q.n_shingles - hits)
+), r AS (
+  SELECT doc_id AS a, doc_id AS b FROM documents
+  UNION
+  SELECT r.a, e.b FROM r JOIN e ON r.b = e.a
+), m AS (SELECT a, min(b) AS component_id FROM r GROUP BY a)
+SELECT doc_id, n_shingles, component_id FROM n JOIN m ON m.a = doc_id
 """,
     "op3_source_mix": r"""
 WITH d AS (
