@@ -19,13 +19,13 @@ pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="driver tables not
 def test_all_are_registered():
     names = E.queries()
     assert set(QUERIES) | {"pipeline"} <= set(names)
-    assert sorted(int(q[2:].split("_")[0]) for q in QUERIES) == list(range(1, 11))
+    assert sorted(int(q[2:].split("_")[0]) for q in QUERIES) == list(range(1, 14))
 
 
 @pytest.mark.parametrize("name", sorted(ORACLE_SQL))
 def test_query_matches_oracle(spark, name):
     con = duckdb.connect()
-    for t in ("documents", "embeddings", "labels"):
+    for t in ("documents", "embeddings", "labels", "benchmark", "conversations"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF}/{t}.parquet')")
     res = con.execute(ORACLE_SQL[name])
     columns = sorted(d[0] for d in res.description)

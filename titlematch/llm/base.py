@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -34,10 +36,11 @@ HOT_ROWS = 1000
 
 def looked_up(rows: DataFrame, on: list[str], known: DataFrame, count: str, value: str, spread: Column) -> DataFrame:
     """``rows`` with ``value`` of the row of ``known`` that has their key, null
-    where none has.  ``known`` has a row a key, ``count`` says how many rows may
+    where none has or a part of the key is null.  ``known`` has a row a key, ``count`` says how many rows may
     ask for it, and ``value`` is not null there.  Keys of many rows are broadcast
     (at most a ``HOT_ROWS``-th of the rows, and only if a count shows them few);
-    their rows go through the second join under ``spread``, over all tasks."""
+    their rows, and those without a key, go through the second join under
+    ``spread``, over all tasks."""
 
     def side(part: DataFrame, name: str) -> DataFrame:
         return part.select(*[F.col(k).alias(f"__{name}_{k}") for k in on], F.col(value).alias(f"__{name}"))
@@ -45,7 +48,7 @@ def looked_up(rows: DataFrame, on: list[str], known: DataFrame, count: str, valu
     hot = few(side(known.filter(F.col(count) > HOT_ROWS), "hot"))
     cold = side(known.filter(F.col(count) <= HOT_ROWS), "cold").withColumn("__at", F.lit(0).cast("long"))
     first = rows.join(hot, [F.col(k) == F.col(f"__hot_{k}") for k in on], "left")
-    found = F.col("__hot").isNotNull()
+    found = reduce(lambda a, b: a | b, [F.col("__hot").isNotNull(), *[F.col(k).isNull() for k in on]])
     asked = first.withColumn("__spread", F.when(found, spread.cast("long")).otherwise(0))
     for k in on:
         asked = asked.withColumn(f"__ask_{k}", F.when(~found, F.col(k)))

@@ -54,7 +54,8 @@ def least_overlap(n: Column, percent: int) -> Column:
 
 def signatures(docs: DataFrame, words: int, percent: int) -> DataFrame:
     """``doc_id, n_shingles, k1, k2, head``: size and digests of a document's set,
-    and its smallest hashes, twice as many as linked sets may miss and one."""
+    and its smallest hashes: twice as many as linked sets may miss, one, and one
+    for what the rounding of both sizes may cost."""
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -63,7 +64,7 @@ def signatures(docs: DataFrame, words: int, percent: int) -> DataFrame:
                 sets = shingle_sets(part.column("text"), words)
                 n = np.array([len(s) for s in sets], dtype=np.int64)
                 k1, k2 = _digests(sets)
-                heads = [s[: 2 * (len(s) - -(-percent * len(s) // 100)) + 1] for s in sets]
+                heads = [s[: 2 * (len(s) - -(-percent * len(s) // 100)) + 2] for s in sets]
                 ends = np.cumsum([0, *map(len, heads)]).astype(np.int32)
                 flat = np.concatenate(heads).view(np.int64) if len(heads) else np.zeros(0, np.int64)
                 head = pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))
@@ -84,7 +85,7 @@ def screened(nodes: DataFrame, percent: int) -> DataFrame:
     counts = nodes.select("node", F.explode("head").alias("shingle")).groupBy("shingle").agg(F.count(F.lit(1)).alias("_n"), F.min("node").alias("node"))
     alone = counts.filter("_n = 1").groupBy("node").agg(F.count(F.lit(1)).alias("_alone"))
     least = least_overlap(F.col("n_shingles"), percent)
-    # of 2 * missed + 1 in the head, missed + 1 are shared with any linked set; a
+    # of 2 * missed + 2 in the head, missed + 1 are shared with any linked set; a
     # head that is the whole set shares the least overlap
     needed = F.least(F.col("n_shingles") - least + 1, least)
     rows = nodes.withColumn("_head", F.size("head")).drop("head").join(alone, "node", "left")
@@ -357,6 +358,8 @@ def jaccard_classes(docs: DataFrame, words: int = WORDS, percent: int = PERCENT)
     classes = staged(classes.select("k1", "k2", "n_shingles", "least", "_label", "_rows", "node"), "jaccard-classes")
     ids = classes.groupBy("_label").agg(F.min("least").alias("_class"), F.count(F.lit(1)).alias("_sets"))
     classes = looked_up(classes, ["_label"], ids, "_sets", "_class", F.col("node"))
+    # rows without shingles ask for nothing
+    signed = signed.withColumn("k1", F.when(F.col("n_shingles") > 0, F.col("k1")))
     out = looked_up(signed, ["k1", "k2", "n_shingles"], classes, "_rows", "_class", F.col("_at"))
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("_class", "doc_id"))
     return out.select("doc_id", "n_shingles", component.alias("component_id"))

@@ -10,6 +10,7 @@ from titlematch.llm.jaccard_join import jaccard_classes
 from titlematch.llm.mixing import mix
 from titlematch.llm.near_dedup import near_classes
 from titlematch.llm.packing import packed
+from titlematch.llm.prefix_trie import prefix_trie
 from titlematch.llm.quality import quality_scores
 from titlematch.llm.resampling import resampled
 from titlematch.llm.secrets import secrets
@@ -59,6 +60,10 @@ def op10_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return top_scores(table(spark, sf_dir, "embeddings"))
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie(table(spark, sf_dir, "conversations"))
+
+
 def op12_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return resampled(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -67,7 +72,7 @@ def op13_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_classes(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_exact_dedup, op2_secrets, op3_source_mix, op4_token_counts, op5_best_fit_packing, op6_toxicity, op7_quality, op8_near_dedup, op9_training_order, op10_top_k, op12_resampling, op13_jaccard_join)}
+QUERIES = {f.__name__: f for f in (op1_exact_dedup, op2_secrets, op3_source_mix, op4_token_counts, op5_best_fit_packing, op6_toxicity, op7_quality, op8_near_dedup, op9_training_order, op10_top_k, op11_prefix_trie, op12_resampling, op13_jaccard_join)}
 
 _WORDS = "|".join("".join(f"[{c}{c.upper()}]" for c in w) for w in ("password", "passwd", "secret", "token"))
 _ASSIGN = rf"""(?:{_WORDS}|[aA][pP][iI]_?[kK][eE][yY])["'']?\x20*[:=]\x20*["'']?([A-Za-z0-9+/_.=-]+)"""
@@ -86,6 +91,35 @@ def _crc(text: str) -> str:
 
 
 ORACLE_SQL = {
+    "op11_prefix_trie": f"""
+WITH RECURSIVE {_CRC_TABLE},
+t AS (
+  SELECT conv_id AS c, turn, coalesce(text, '') AS text,
+    sha256(CAST(length(coalesce(role, '')) AS VARCHAR) || ':' || coalesce(role, '') || coalesce(text, '')) AS token
+  FROM conversations WHERE conv_id IS NOT NULL
+), o AS (SELECT c, row_number() OVER (PARTITION BY c ORDER BY turn NULLS FIRST, token) AS pos, token, length(text) AS n FROM t),
+i AS (SELECT c, c - c % 100 AS family, {_crc("CAST(c AS VARCHAR)")} % 6 AS h FROM (SELECT DISTINCT c FROM o), crc_table),
+r AS (
+  SELECT i.c, 0 AS own, o.pos, o.token, o.n FROM i JOIN o ON o.c = i.family AND o.pos <= i.h
+  UNION ALL
+  SELECT i.c, 1, o.pos, o.token, o.n FROM i JOIN o ON o.c = i.c AND o.pos > i.h
+), d AS (SELECT c, row_number() OVER (PARTITION BY c ORDER BY own, pos) AS depth, token, n FROM r),
+p AS (
+  SELECT c, depth, n, string_agg(token, '') OVER (PARTITION BY c ORDER BY depth) AS path FROM d
+  UNION ALL
+  SELECT c, 0, 0, '' FROM i
+), e AS (SELECT c, max(depth) AS last FROM p GROUP BY c),
+m AS (
+  SELECT path, depth, min(c) AS conv_id, count(*) AS n_convs, any_value(n) AS n,
+    string_agg(CAST(c AS VARCHAR), ',' ORDER BY c) FILTER (depth = last) AS ends
+  FROM p JOIN e USING (c) GROUP BY path, depth
+), k AS (SELECT substr(path, 1, 64 * (depth - 1)) AS path, count(*) AS n_children FROM m WHERE depth > 0 GROUP BY 1),
+x AS (SELECT m.*, coalesce(n_children, 0) AS n_children FROM m LEFT JOIN k USING (path)),
+u AS (SELECT substr(path, 1, 64 * a) AS path, n_children, (n_convs - 1) * n AS saved FROM (SELECT *, unnest(range(0, depth + 1)) AS a FROM x)),
+s AS (SELECT path, count(*) FILTER (n_children = 0) AS n_leaves, CAST(sum(saved) AS BIGINT) AS saved_tokens FROM u GROUP BY path)
+SELECT x.conv_id, x.depth, y.conv_id AS parent_conv_id, x.n_convs, x.n_children, n_leaves, saved_tokens, sha256(coalesce(x.ends, '')) AS ends_sha256
+FROM x JOIN s USING (path) LEFT JOIN x AS y ON x.depth > 0 AND y.path = substr(x.path, 1, 64 * (x.depth - 1))
+""",
     "op12_resampling": rf"""
 WITH RECURSIVE {_CRC_TABLE},
 w AS (
