@@ -8,13 +8,15 @@ from pyspark.sql import functions as F
 from titlematch.llm.base import staged
 
 
-def smallest_reachable(edges: DataFrame) -> DataFrame:
+def smallest_reachable(edges: DataFrame, repeated: bool = True) -> DataFrame:
     """``edges`` (``a, b``: long) -> ``node, label``: the smallest node each node
     reaches.  Labels go along the edges and then jump to their label's label, so
     the rounds grow with the logarithm of the longest chain.  Neighbours are
-    only ever reduced to a minimum (with map-side combine), never gathered."""
+    only ever reduced to a minimum (with map-side combine), never gathered.
+    Staged edges of which few are repeated (``repeated`` false) are used as they are."""
     both = edges.filter("a <> b").select("a", "b").union(edges.filter("a <> b").select("b", "a")).toDF("node", "other")
-    both = staged(both.distinct(), "links")
+    if repeated:
+        both = staged(both.distinct(), "links")
     labels = staged(
         both.groupBy("node").agg(F.min("other").alias("_m")).select("node", F.least("node", "_m").alias("label")), "labels"
     )

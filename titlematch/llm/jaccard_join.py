@@ -25,7 +25,7 @@ with one and the same set are one node.  Two sets of n and m shingles link at
    several components, those outside its largest one are probed against the trees
    of all of them, block by block.
 
-No pair list is made: only links leave a task, at most one a node and block.
+No pair list is made: a task gives at most one connection a node and block.
 """
 
 from __future__ import annotations
@@ -38,13 +38,13 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from titlematch.llm.base import few, looked_up, staged, text_of
+from titlematch.llm.base import FEW_KEYS, few, looked_up, staged, text_of
 from titlematch.llm.components import smallest_reachable
 from titlematch.llm.shingles import mixed, shingle_sets
 
 WORDS, PERCENT = 3, 90
 #: Nodes, and shingles, that a block of nodes holds on average.
-BLOCK, BLOCK_SHINGLES = 512, 1 << 20
+BLOCK, BLOCK_SHINGLES = 128, 1 << 19
 
 
 def least_overlap(n: Column, percent: int) -> Column:
@@ -106,12 +106,14 @@ def full_sets(docs: DataFrame, nodes: DataFrame, words: int) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([part.column("doc_id"), *_digests(sets), shingles], names=["_doc", "k1", "k2", "shingles"])
 
     rows = docs.select(F.col("doc_id").cast("long"), text_of().alias("text"))
-    rows = rows.join(few(nodes.select(F.col("least").alias("doc_id")).distinct()), "doc_id", "left_semi")
+    own = nodes.select("node", "least", "k1", "k2")
+    if nodes.count() <= FEW_KEYS:
+        own = F.broadcast(own)
+    rows = rows.join(own.select(F.col("least").alias("doc_id")), "doc_id", "left_semi")
     sets = rows.mapInArrow(read, "_doc long, k1 long, k2 long, shingles array<long>")
     # a document's id alone may be that of several rows
-    own = nodes.select("node", "least", "k1", "k2")
     same = (sets["k1"] == own["k1"]) & (sets["k2"] == own["k2"]) & (F.col("_doc") == F.col("least"))
-    return sets.join(few(own), same).select("node", "shingles").dropDuplicates(["node"])
+    return sets.join(own, same).select("node", "shingles").dropDuplicates(["node"])
 
 
 def ordered(sets: DataFrame, percent: int) -> DataFrame:
@@ -250,45 +252,52 @@ def _arrays(df: pd.DataFrame) -> list[np.ndarray]:
     return ranked(sets, [np.asarray(c, dtype=np.int64) for c in df["counts"]])
 
 
-def _pairs(nodes: np.ndarray, links: list[tuple[int, int]]) -> pd.DataFrame:
-    return pd.DataFrame([(int(nodes[i]), int(nodes[j])) for i, j in links], columns=["a", "b"], dtype=np.int64)
+def _pairs(labels: list[int], links: list[tuple[int, int]]) -> pd.DataFrame:
+    """What the links connect, as stars: each label with the smallest one of its
+    component, so that no chain of links has to be followed later."""
+    joined, least, seen = _Labels(), {}, set()
+    for i, j in links:
+        joined.join(labels[i], labels[j])
+        seen |= {labels[i], labels[j]}
+    for x in seen:
+        least[joined.root(x)] = min(x, least.get(joined.root(x), x))
+    stars = [(least[joined.root(x)], x) for x in seen if least[joined.root(x)] != x]
+    return pd.DataFrame(stars, columns=["a", "b"], dtype=np.int64)
 
 
 def _blocks(rows: Column, shingles: Column) -> Column:
     return F.ceil(F.greatest(rows / BLOCK, shingles / BLOCK_SHINGLES)).cast("long")
 
 
-def _stars(members: DataFrame, sets: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """``_pivot, node`` and, per pivot, the number ``_of`` of its blocks."""
-    stars = members.select("_pivot", "node").distinct().join(sets.select("node", "n"), "node")
-    stars = staged(stars, "jaccard-stars")
+def _stars(members: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``_pivot, node, n`` and, per pivot, the number ``_of`` of its blocks."""
+    stars = staged(members.select("_pivot", "node", "n").distinct(), "jaccard-stars")
     sizes = stars.groupBy("_pivot").agg(_blocks(F.count(F.lit(1)), F.sum("n")).alias("_of"), F.count(F.lit(1)).alias("_rows"))
     return stars, staged(sizes, "jaccard-sizes")
 
 
 def _star_links(stars: DataFrame, sizes: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Links within each pivot's blocks."""
+    """What is connected within each pivot's blocks."""
     asked = looked_up(stars.filter("node <> _pivot"), ["_pivot"], sizes, "_rows", "_of", F.col("node"))
     own = asked.select("_pivot", "node", F.pmod(F.xxhash64("node"), "_of").alias("_block"))
     pivots = sizes.select("_pivot", F.col("_pivot").alias("node"), F.explode(F.sequence(F.lit(0).cast("long"), F.col("_of") - 1)).alias("_block"))
     rows = own.union(pivots).join(sets.select("node", "shingles", "counts"), "node")
 
     def link(block: pd.DataFrame) -> pd.DataFrame:
-        nodes, every = block["node"].to_numpy(), list(range(len(block)))
-        return _pairs(nodes, tree_links(_arrays(block), every, every, every, percent))
+        nodes, every = block["node"].tolist(), list(range(len(block)))
+        return _pairs(nodes, tree_links(_arrays(block), nodes, every, every, percent))
 
     return rows.groupBy("_pivot", "_block").applyInPandas(link, "a long, b long")
 
 
 def _cross_links(members: DataFrame, labels: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Links between components whose nodes still share a prefix shingle."""
-    members = members.join(labels, "node", "left").select("shingle", "node", F.coalesce("label", "node").alias("label"))
+    """Connections between components whose nodes still share a prefix shingle."""
+    members = members.join(labels, "node", "left").select("shingle", "node", "n", F.coalesce("label", "node").alias("label"))
     members = staged(members, "jaccard-labelled")
     parts = members.groupBy("shingle", "label").agg(F.count(F.lit(1)).alias("_n"))
     main = parts.groupBy("shingle").agg(F.max(F.struct("_n", "label")).alias("_m"), F.count(F.lit(1)).alias("_parts"))
     main = staged(main.filter("_parts > 1").select("shingle", F.col("_m.label").alias("_main")), "jaccard-mixed")
-    gathered = members.join(main, "shingle").select("_main", "node", "label").distinct().join(sets.select("node", "n"), "node")
-    gathered = staged(gathered, "jaccard-gathered")
+    gathered = staged(members.join(main, "shingle").select("_main", "node", "n", "label").distinct(), "jaccard-gathered")
     outer = F.col("label") != F.col("_main")
     sizes = gathered.groupBy("_main").agg(
         _blocks(F.count(F.lit(1)), F.sum("n")).alias("_right"),
@@ -307,31 +316,31 @@ def _cross_links(members: DataFrame, labels: DataFrame, sets: DataFrame, percent
 
     def link(a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
         if not len(a) or not len(b):
-            return _pairs(np.zeros(0), [])
+            return _pairs([], [])
         both = pd.concat([a, b], ignore_index=True)
         probes, stored = list(range(len(a))), list(range(len(a), len(both)))
-        found = tree_links(_arrays(both), both["label"].tolist(), stored, probes, percent)
-        return _pairs(both["node"].to_numpy(), found)
+        labels = both["label"].tolist()
+        return _pairs(labels, tree_links(_arrays(both), labels, stored, probes, percent))
 
     return left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInPandas(link, "a long, b long")
 
 
 def links(sets: DataFrame, percent: int) -> DataFrame:
     """``node, label`` of the linked nodes; ``sets`` as ``ordered`` gives them."""
-    keys = sets.select("node", F.explode("prefix").alias("shingle"))
-    shared = keys.groupBy("shingle").agg(F.min("node").alias("_pivot"), F.count(F.lit(1)).alias("_n")).filter("_n > 1")
+    keys = sets.select("node", "n", F.explode("prefix").alias("shingle"))
+    shared = keys.groupBy("shingle").agg(F.min("node").alias("_pivot"), F.count(F.lit(1)).alias("_rows")).filter("_rows > 1")
     shared = staged(shared, "jaccard-keys")
-    members = staged(looked_up(keys, ["shingle"], shared, "_n", "_pivot", F.col("node")).filter("_pivot IS NOT NULL"), "jaccard-members")
-    stars, sizes = _stars(members, sets)
+    members = staged(looked_up(keys, ["shingle"], shared, "_rows", "_pivot", F.col("node")).filter("_pivot IS NOT NULL"), "jaccard-members")
+    stars, sizes = _stars(members)
     found = staged(_star_links(stars, sizes, sets, percent), "jaccard-links")
-    labels = smallest_reachable(found)
+    labels = smallest_reachable(found, repeated=False)
     # the nodes of a pivot with one block have met there already
     split = sizes.filter("_of > 1")
     if split.isEmpty():
         return labels
-    apart = members.join(few(split.select("_pivot")), "_pivot", "left_semi").select("shingle", "node")
+    apart = members.join(few(split.select("_pivot")), "_pivot", "left_semi").select("shingle", "node", "n")
     more = staged(_cross_links(apart, labels, sets, percent), "jaccard-links")
-    return labels if more.isEmpty() else smallest_reachable(found.union(more))
+    return labels if more.isEmpty() else smallest_reachable(found.union(more), repeated=False)
 
 
 def jaccard_classes(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
