@@ -1,13 +1,14 @@
 """Skew.  A hot title (a third of all movie rows, most articles) under forced AQE
 skew splitting gives the same multiset as the specification form."""
 
+import uuid
 from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
 from test_match import ARTICLE_SCHEMA, MOVIE_SCHEMA, article, movie
 
-from titlematch.operators.match import tiered_match, tiered_match_except
+from titlematch.operators.match import heavy_keys, tiered_match, tiered_match_except
 
 SKEW_CONF = {
     "spark.sql.autoBroadcastJoinThreshold": "-1",
@@ -80,3 +81,81 @@ def test_unmatched_movies_spread(spark):
         for k, v in old.items():
             spark.conf.set(k, v)
     assert sum(sizes) == 4000 and max(sizes) < 3 * 4000 / 16
+
+
+def hot_articles(spark, workdir, hot=3000):
+    """One title holds most articles, in every tier; some movies of it match
+    nothing of their year, and some repeat."""
+    a = [article("hot", str(1990 + i % 30), "film", f"hot-f-{i}") for i in range(hot // 2)]
+    a += [article("hot", "", "film" if i % 2 else "", f"hot-p-{i}") for i in range(hot // 2)]
+    a += [article(f"other {i}", "", "film", f"o-{i}") for i in range(600)] + [article(None, "", "film", "none")]
+    m = [movie("Hot", str(1985 + i % 40), 1.0 + i % 3) for i in range(60)] + [movie("Hot", None, 2.0)] * 2
+    m += [movie(f"Other {i}", "2000", 1.0) for i in range(0, 900, 3)]
+    spark.createDataFrame(m, MOVIE_SCHEMA).repartition(4).write.parquet(f"{workdir}/m")
+    spark.createDataFrame(a, ARTICLE_SCHEMA).repartition(4).write.parquet(f"{workdir}/a")
+    return spark.read.parquet(f"{workdir}/m"), spark.read.parquet(f"{workdir}/a")
+
+
+@pytest.fixture()
+def plain_conf(spark):
+    conf = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false", "spark.sql.shuffle.partitions": "16",
+        "spark.sql.requireAllClusterKeysForCoPartition": "false",
+    }
+    old = {k: spark.conf.get(k) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    yield
+    for k, v in old.items():
+        spark.conf.set(k, v)
+
+
+def flat_rows(df):
+    return Counter(tuple(tuple(x) if isinstance(x, list) else x for x in r) for r in df.collect())
+
+
+def test_hot_title_by_its_articles(spark, plain_conf, workdir):
+    """Without AQE, and with most articles under one title, no task of the final
+    join has three times the mean."""
+    m, a = hot_articles(spark, workdir)
+    heavy = heavy_keys(a)
+    assert [(r.cleaned_title, r.rows) for r in heavy.collect()] == [("hot", 3000)]
+    out = tiered_match(m, a, heavy=heavy)
+    assert flat_rows(out) == flat_rows(tiered_match_except(m, a))
+    sizes = [r["count"] for r in out.filter("url LIKE '%hot-%'").groupBy(F.spark_partition_id()).count().collect()]
+    assert max(sizes) < 3 * sum(sizes) / 16, sizes
+    one = [r["count"] for r in tiered_match(m, a).filter("url LIKE '%hot-%'").groupBy(F.spark_partition_id()).count().collect()]
+    assert max(one) > max(sizes)
+
+
+def test_no_heavy_title(spark, workdir):
+    m, a = hot_articles(spark, workdir, hot=20)
+    assert heavy_keys(a.filter("cleaned_title <> 'hot'"), partitions=4).count() == 0
+    assert heavy_keys(a.limit(0)).count() == 0
+    assert flat_rows(tiered_match(m, a, heavy=heavy_keys(a.limit(0)))) == flat_rows(tiered_match_except(m, a))
+
+
+@pytest.mark.parametrize("hot", [20, 3000])
+def test_partitioned_match_moves_no_article(spark, plain_conf, workdir, hot):
+    from titlematch.plans.job import partitioned_match, unbucketed
+
+    m, a = hot_articles(spark, workdir, hot)
+    root = f"{workdir}/job-{uuid.uuid4().hex}"
+    out = partitioned_match(m, a, root)
+    try:
+        assert flat_rows(out) == flat_rows(tiered_match_except(m, a))
+        plan = out._jdf.queryExecution().executedPlan().toString()
+    finally:
+        unbucketed(spark, root)
+    # an article's content (its abstract) is in the output of no exchange
+    nodes = plan.split("\n")
+    assert "Bucketed: true" in plan or "SelectedBucketsCount" in plan
+    for i, line in enumerate(nodes):
+        if "Exchange" in line and "Broadcast" not in line:
+            depth = len(line) - len(line.lstrip(" :+-"))
+            below = []
+            for other in nodes[i + 1 :]:
+                if len(other) - len(other.lstrip(" :+-")) <= depth:
+                    break
+                below.append(other)
+            assert not any("abstract" in x for x in below), line

@@ -1,6 +1,6 @@
 """DataFrame operators."""
 
-from titlematch.operators.match import FILM_TIERS, Tier, tiered_match, tiered_match_except
+from titlematch.operators.match import FILM_TIERS, Tier, heavy_keys, tiered_match, tiered_match_colocated, tiered_match_except
 from titlematch.operators.rank import distinct_values, explode_column, numbered, sort_by, top_exploded, top_k, top_k_wide
 from titlematch.operators.transforms import (
     add_cleaned_title,
@@ -25,6 +25,7 @@ __all__ = [
     "distinct_values",
     "explode_column",
     "filter_all",
+    "heavy_keys",
     "numbered",
     "parse_article_url",
     "pluck",
@@ -33,6 +34,7 @@ __all__ = [
     "sort_by",
     "subset",
     "tiered_match",
+    "tiered_match_colocated",
     "tiered_match_except",
     "top_exploded",
     "top_k",

@@ -96,7 +96,10 @@ def _tiers_using(key: str, tiers: Sequence[Tier]) -> list[int]:
 
 
 def _tier_key(tier: Column, value: Column, key: str, tiers: Sequence[Tier]) -> Column:
-    """The key value when the tier uses the key, else NULL (matched null-safely)."""
+    """The key value when the tier uses the key, else NULL (matched null-safely).
+    A key that all tiers use stays as it is, so a layout by it is kept."""
+    if len(_tiers_using(key, tiers)) == len(tiers):
+        return value
     return F.when(tier.isin(_tiers_using(key, tiers)), value)
 
 
@@ -210,9 +213,14 @@ def tiered_match(
     unmatched: str = "keep",
     broadcast_keys: bool = False,
     prefilter_right: bool = False,
+    heavy: DataFrame | None = None,
 ) -> DataFrame:
     """Link every left row to the right rows of its best tier (see module doc).
 
+    ``heavy`` (of ``heavy_keys``) names key values with very many right rows.
+    Their right rows are dealt to salts, their left rows meet every salt, and
+    neither goes through the other joins; left rows without a tier stay out of it.
+
     ``broadcast_keys`` broadcasts the per-key best-tier table (one row per
     distinct left key).  Pass it only after checking that table's size - the
     job bounds it by the measured size of the left side.  Otherwise AQE
@@ -245,6 +253,14 @@ def tiered_match(
     with_id = left.withColumn(_ROW, F.monotonically_increasing_id())
     with_best = with_id.join(best, _null_safe_on(with_id, best, [(k, f"__b_{k}") for k in keys]), "left")
 
+    salted = None
+    if heavy is not None:
+        common = _common_key(tiers)
+        marks = F.broadcast(heavy.select(F.col(common).alias("__heavy"), F.col("salts").alias("__salts")))
+        dealt = tagged.join(marks, F.col(_kname(keys.index(common))) == F.col("__heavy"), "left")
+        salted = dealt.filter(F.col("__heavy").isNotNull()).withColumn("__salt", F.pmod(F.monotonically_increasing_id(), "__salts"))
+        tagged = dealt.filter(F.col("__heavy").isNull()).drop("__heavy", "__salts")
+
     # 1b. keep only right rows some left key needs (its best tier and keys).
     #     A left semi join: AQE can split a hot right key here (the right
     #     rows are its streamed side), and a right key no left row needs -
@@ -273,25 +289,132 @@ def tiered_match(
     #    without a tier (NULL __best) never satisfy the join and come out once
     #    with NULL right-side columns.  They carry all their own key values
     #    there, so they spread over the partitions instead of sharing one NULL key.
-    rows = with_best.select(
-        *left.columns,
-        F.col(_BEST).alias(_TIER),
-        *[
-            F.when(F.col(_BEST).isNull() | F.col(_BEST).isin(_tiers_using(k, tiers)), F.col(k)).alias(f"__m{j}")
-            for j, k in enumerate(keys)
-        ],
-        F.when(F.col(_BEST) == 1, F.col(_ROW)).alias(_ROW),
-    ).distinct()
+    rows = _left_rows(with_best, left.columns, tiers, keys).distinct()
+    how = "left" if unmatched == "keep" else "inner"
+    if salted is None:
+        out = _matched(rows, tagged, tiers, keys, payload, how)
+    else:
+        marked = rows.join(marks, F.col(common) == F.col("__heavy"), "left")
+        several = F.col("__heavy").isNotNull() & F.col(_TIER).isNotNull()
+        plain = marked.filter(~several).drop("__heavy", "__salts")
+        repeated = marked.filter(several).withColumn("__salt", F.explode(F.sequence(F.lit(0).cast("long"), F.col("__salts") - 1)))
+        out = _matched(plain, tagged, tiers, keys, payload, how).select(*left.columns, *payload).union(
+            _matched(repeated, salted, tiers, keys, payload, "inner", salt=True).select(*left.columns, *payload)
+        )
+    out = out.select(*left.columns, *payload)
+    return out.select(*output_columns) if output_columns else out
+
+
+def _left_rows(with_best: DataFrame, columns: Sequence[str], tiers: Sequence[Tier], keys: Sequence[str]) -> DataFrame:
+    """Left rows with their best tier, its keys, and a row id in the first tier."""
+    values = []
+    for j, k in enumerate(keys):
+        used = _tiers_using(k, tiers)
+        value = F.col(k) if len(used) == len(tiers) else F.when(F.col(_BEST).isNull() | F.col(_BEST).isin(used), F.col(k))
+        values.append(value.alias(f"__m{j}"))
+    return with_best.select(*columns, F.col(_BEST).alias(_TIER), *values, F.when(F.col(_BEST) == 1, F.col(_ROW)).alias(_ROW))
+
+
+def _matched(rows: DataFrame, tagged: DataFrame, tiers: Sequence[Tier], keys: Sequence[str], payload: Sequence[str], how: str, salt: bool = False) -> DataFrame:
+    """The one join on tier and keys (and salt)."""
+    salts = [F.col("__salt").alias("__r_salt")] if salt else []
     right_rows = tagged.select(
-        F.col(_TIER).alias("__r_tier"), *[F.col(_kname(j)).alias(f"__r{j}") for j in range(len(keys))], *payload
+        F.col(_TIER).alias("__r_tier"), *salts, *[F.col(_kname(j)).alias(f"__r{j}") for j in range(len(keys))], *payload
     )
-    cond = reduce(
-        lambda a, b: a & b,
-        [F.col(_TIER) == F.col("__r_tier")]
-        + [F.col(f"__m{j}").eqNullSafe(F.col(f"__r{j}")) for j in range(len(keys))],
-    )
-    how = "left" if unmatched == "keep" else "inner"
-    out = rows.join(right_rows, cond, how).select(*left.columns, *payload)
+    conds = [F.col(_TIER) == F.col("__r_tier")] + ([F.col("__salt") == F.col("__r_salt")] if salt else [])
+    # a key that all tiers use is not null on the right; plain equality keeps a layout by it
+    for j, k in enumerate(keys):
+        mine, other = F.col(f"__m{j}"), F.col(f"__r{j}")
+        conds.append(mine == other if len(_tiers_using(k, tiers)) == len(tiers) else mine.eqNullSafe(other))
+    return rows.join(right_rows, reduce(lambda a, b: a & b, conds), how)
+
+
+def _common_key(tiers: Sequence[Tier]) -> str:
+    """The first key that all tiers use."""
+    common = [k for k in _all_keys(tiers) if all(k in t.keys for t in tiers)]
+    if not common:
+        raise ValueError("no key is used by all tiers")
+    return common[0]
+
+
+def heavy_keys(right: DataFrame, tiers: Sequence[Tier] = FILM_TIERS, partitions: int | None = None) -> DataFrame:
+    """``<key>, rows, salts``: values of the key that all tiers use which have more
+    rows than a mean partition, and over how many salts to deal their rows.
+
+    A sketch of frequent values names candidates, whose rows are then counted
+    exactly.  At most one value a partition can pass, so the result is small by
+    its rule; it is collected and returned as a local table.  ``right`` is read
+    twice, by that column and those of the tiers.  NULL never matches and is left out.
+    """
+    spark, key = right.sparkSession, _common_key(tiers)
+    parts = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    able = right.filter(reduce(lambda a, b: a | b, [F.expr(f"({t.right_filter})") for t in tiers])).select(key).filter(F.col(key).isNotNull())
+    # the sketch errs by less than a fourth of a mean partition's rows
+    tracked = min(16 * parts, 1_000_000)
+    found = able.agg(F.expr(f"approx_top_k({key}, {min(4 * parts, tracked)}, {tracked})").alias("top"), F.count(F.lit(1)).alias("n"))
+    names, n = found.select(F.col("top.item"), "n").first()
+    counted = spark.createDataFrame([(x,) for x in names or []], f"{key} string")
+    rows = able.join(F.broadcast(counted), key, "left_semi").groupBy(key).agg(F.count(F.lit(1)).alias("rows"))
+    heavy = rows.filter(F.col("rows") * parts > n).collect()
+    # a salt holds half a mean partition
+    local = [(r[key], r["rows"], -(-2 * r["rows"] * parts // n)) for r in heavy]
+    return spark.createDataFrame(local, f"{key} string, rows long, salts long")
+
+
+def tiered_match_colocated(
+    left: DataFrame,
+    right: DataFrame,
+    tiers: Sequence[Tier] = FILM_TIERS,
+    output_columns: Sequence[str] | None = C.OUTPUT_COLUMNS,
+    unmatched: str = "keep",
+    salted_buckets: int | None = None,
+) -> DataFrame:
+    """``tiered_match`` of tables that are laid out by the key all tiers use
+    (bucketed by it, with as many buckets on both sides).
+
+    Nothing here is grouped or joined without that key, so no exchange is needed
+    where the session lets a layout by some of the join keys serve
+    (``spark.sql.requireAllClusterKeysForCoPartition`` false).  What tiers a key
+    value has is one right row a value: flags, and the distinct other keys of
+    tiers that use more.  With ``salted_buckets`` the right table has a ``__salt``
+    and is laid out by key and salt in that many buckets, the right rows of a value
+    dealt to its ``salts``; the left rows (with a column ``salts``) are repeated for
+    each of them and brought to that layout here.
+    """
+    _check(left, right, tiers, unmatched)
+    keys, common = _all_keys(tiers), _common_key(tiers)
+    own = ["__salt", "salts"] if salted_buckets else []
+    columns = [c for c in left.columns if c not in own]
+    payload = [c for c in _payload_columns(left, right) if c not in own]
+    tagged = tag_right(right, tiers, keys, [*payload, *own])
+    place = _kname(keys.index(common))
+    marks = []
+    for i, t in enumerate(tiers, 1):
+        extra = [F.col(_kname(keys.index(k))) for k in t.keys if k != common]
+        hit = F.col(_TIER) == i
+        marks.append((F.collect_set(F.when(hit, F.struct(*extra))) if extra else F.max(hit)).alias(f"__s{i}"))
+    flags = tagged.groupBy(place).agg(*marks).withColumnRenamed(place, "__key")
+    best = []
+    for i, t in enumerate(tiers, 1):
+        extra = [F.col(k) for k in t.keys if k != common]
+        if extra:
+            none_null = reduce(lambda a, b: a & b, [c.isNotNull() for c in extra])
+            same = [c.alias(_kname(keys.index(k))) for c, k in zip(extra, [k for k in t.keys if k != common], strict=True)]
+            has = none_null & F.coalesce(F.array_contains(F.col(f"__s{i}"), F.struct(*same)), F.lit(False))
+        else:
+            has = F.coalesce(F.col(f"__s{i}"), F.lit(False))
+        best.append(F.when(has, F.lit(i)))
+    with_id = left.withColumn(_ROW, F.monotonically_increasing_id())
+    with_best = with_id.join(flags, F.col(common) == F.col("__key"), "left").withColumn(_BEST, F.coalesce(*best))
+    rows = _left_rows(with_best, [*columns, *(["salts"] if salted_buckets else [])], tiers, keys).distinct()
+    if salted_buckets:
+        none = rows.filter(F.col(_TIER).isNull()).select(*columns, *[F.lit(None).cast(right.schema[p].dataType).alias(p) for p in payload])
+        rows = rows.filter(F.col(_TIER).isNotNull()).withColumn("__salt", F.explode(F.sequence(F.lit(0).cast("long"), F.col("salts") - 1)))
+        rows = rows.repartition(salted_buckets, f"__m{keys.index(common)}", "__salt")
+        out = _matched(rows, tagged, tiers, keys, payload, "inner", salt=True).select(*columns, *payload)
+        out = out.union(none) if unmatched == "keep" else out
+    else:
+        out = _matched(rows, tagged, tiers, keys, payload, "left" if unmatched == "keep" else "inner").select(*columns, *payload)
     return out.select(*output_columns) if output_columns else out
 
 

@@ -17,7 +17,7 @@ from pyspark.sql import types as T
 from titlematch import columns as C
 from titlematch.functions.json import parse_json
 from titlematch.functions.text import ARTICLE_URL_PATTERN, clean_title
-from titlematch.operators.match import FILM_TIERS, tiered_match, tiered_match_except
+from titlematch.operators.match import FILM_TIERS, heavy_keys, tiered_match, tiered_match_except
 from titlematch.operators.rank import distinct_values, explode_column, numbered, top_exploded, top_k, top_k_wide
 from titlematch.operators.transforms import add_year, cast_columns, filter_all, pluck, rename, subset
 from titlematch.operators.urls import parse_article_url
@@ -214,6 +214,16 @@ def q_tiered_match_dups(spark, sf):
     return flat(tiered_match(prepare_movies(movie_view_with_copies(spark, sf, part)), articles(spark, sf, part)))
 
 
+def q_tiered_match_hot(spark, sf):
+    """Half of all articles under one title, some movies' own."""
+    m, a = both_prepared(spark, sf)
+    m, a = staged(m, "hot-movies"), staged(a, "hot-articles")
+    title = F.broadcast(m.agg(F.min(C.CLEANED_TITLE).alias("_title")))
+    more = a.crossJoin(title).withColumn(C.CLEANED_TITLE, F.col("_title")).select(*a.columns)  # with one row
+    every = staged(a.union(more), "hot-articles")
+    return flat(tiered_match(m, every, heavy=heavy_keys(every)))
+
+
 def q_match_top_k(spark, sf):
     return top_k(flat(matched(spark, sf)), C.REVENUE_TO_BUDGET, TOP_K_ROWS, tie_breakers=OUTPUT_TIE_BREAKERS)
 
@@ -384,6 +394,7 @@ QUERIES: dict[str, Query] = {
     "union_tiers": q_union_tiers,
     "tiered_match": q_tiered_match,
     "tiered_match_dups": q_tiered_match_dups,
+    "tiered_match_hot": q_tiered_match_hot,
     "match_top_k": q_match_top_k,
     "explode_genres": q_explode_genres,
     "top_exploded": q_top_exploded,
@@ -472,6 +483,10 @@ matched_flat AS (
 
 
 _BASE = _base(for_duckdb(MOVIE_VIEW))
+_HOT = _BASE.replace("\na AS (", "\na0 AS (").replace(
+    "\nt1 AS (",
+    "\na AS (SELECT * FROM a0 UNION ALL SELECT abstract, url, (SELECT min(cleaned_title) FROM m) AS cleaned_title, year, type FROM a0),\nt1 AS (",
+)
 _MOVIES_WITH_COPIES = (
     f"SELECT * FROM ({for_duckdb(MOVIE_VIEW)}) v0 UNION ALL "
     f"SELECT id, title, CASE WHEN vote_average IN ('0', '1', '2') THEN 'unknown' ELSE release_date END AS release_date, "
@@ -525,6 +540,7 @@ ORACLE_SQL: dict[str, str] = {
     "union_tiers": _BASE + "SELECT * FROM matched_flat",
     "tiered_match": _BASE + "SELECT * FROM matched_flat",
     "tiered_match_dups": _base(_MOVIES_WITH_COPIES) + "SELECT * FROM matched_flat",
+    "tiered_match_hot": _HOT + "SELECT * FROM matched_flat",
     "match_top_k": _BASE + "SELECT * FROM matched_flat ORDER BY revenue_to_budget DESC NULLS LAST, "
     f"{_TIES}, production_companies ASC NULLS FIRST LIMIT {TOP_K_ROWS}",
     "explode_genres": _BASE + "SELECT title, year, production_companies, rating, revenue, budget, revenue_to_budget, "
