@@ -201,3 +201,31 @@ def test_counts_hold_when_tasks_run_again(spark, workdir):
         pytest.skip("tasks are not run again on this master")
     _, _, movies, articles = staged_sources(m, a.mapInArrow(once, a.schema), os.path.join(workdir, "stage"))
     assert (movies, articles) == (6, 8) and os.listdir(marks)
+
+
+def test_failed_overwrite_keeps_the_old_result(spark, workdir):
+    from pyspark.sql import functions as F
+
+    from titlematch.sinks import TableTarget
+
+    good = spark.range(10).select(F.col("id").cast("int").alias("id"))
+    bad = spark.range(10).select(F.when(F.col("id") > 8, F.raise_error(F.lit("lost"))).otherwise(F.col("id")).cast("int").alias("id"))
+    path = os.path.join(workdir, "kept")
+    for target, read in ((ParquetTarget(path), lambda: spark.read.parquet(path)), (TableTarget("tm_kept"), lambda: spark.table("tm_kept"))):
+        write_table(good, target)
+        with pytest.raises(Exception, match="lost"):
+            write_table(bad, target)
+        assert sorted(r.id for r in read().collect()) == list(range(10))
+        write_table(read().filter("id < 3"), target)  # what is read may be overwritten
+        assert sorted(r.id for r in read().collect()) == [0, 1, 2]
+    assert os.listdir(workdir) == ["kept"]
+    spark.sql("DROP TABLE tm_kept")
+
+
+@pytest.mark.parametrize("options", [{"partitioned": True}, {"lexed_xml": True}])
+def test_job_options_give_the_same(spark, workdir, options):
+    out = os.path.join(workdir, "result")
+    res = run(spark, write_movies(workdir), write_articles(workdir), ParquetTarget(out), **options)
+    got = sorted(((r.title, r.year, r.revenue_to_budget, r.url.rsplit("/", 1)[-1] if r.url else None) for r in spark.read.parquet(out).collect()), key=lambda t: -t[2])
+    assert got == GOLDEN and not os.path.exists(res.stage_dir.replace("file:", ""))
+    assert not [t.name for t in spark.catalog.listTables() if t.name.startswith("titlematch_")]

@@ -5,7 +5,7 @@ import os
 import pytest
 from conftest import rows
 
-from titlematch.sources import read_xml_records, read_xml_rows
+from titlematch.sources import read_xml_lexed, read_xml_records, read_xml_rows
 from titlematch.sources.xml import infer_xml_schema
 
 SCHEMA = "title string, url string, abstract string, _id string"
@@ -78,3 +78,41 @@ def test_uncuttable_records_fail(spark, workdir, record):
 def test_inference_reads_the_same_records(spark, workdir):
     path = write(workdir, "<feed>" + "\n".join(HARD) + "</feed>")
     assert {"title", "url"} <= set(infer_xml_schema(spark, path, "doc", 3).names)
+
+
+NESTED = [
+    "<doc><title>a</title><!-- the <doc> tag --></doc>",
+    "<doc><title><![CDATA[<doc>]]></title></doc>",
+    "<doc><title><![CDATA[</doc><doc/>]]></title><url><![CDATA[<!-- ]]></url></doc>",
+    "<doc><title>a</title><docs>b</docs></doc>",
+    "<!-- <doc/> -->",
+    "<!-- <doc><title>a</title></doc> -->",
+    "<!-- <![CDATA[ --><doc><title>after an odd comment</title></doc><!-- ]]> -->",
+    "<?note <doc> ?><doc><title>after an instruction</title></doc>",
+    "<doc><title>outer</title><links><doc><title>inner</title></doc><doc/></links><url>u</url></doc>",
+    "<doc><title>long " + "x" * 3000 + "</title><abstract><![CDATA[" + "<doc> ]] > " * 400 + "]]></abstract></doc>",
+    "<doc id='1'\n lang=\"a>b\"><title>attributes</title></doc>",
+]
+
+
+@pytest.mark.parametrize("size", ["100", "1k", "64k", "16m"])
+def test_lexed_equals_native(spark, workdir, size):
+    """Records that cannot be cut alone, in splits of any size."""
+    for k in range(3):
+        write(workdir, "<feed>" + "\n".join((NESTED + HARD[k:]) * (k * 3 + 1)) + "</feed>", f"part-{k}.xml")
+    write(workdir, "<feed></feed>", "part-4.xml")
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    want = rows(read_xml_rows(spark, workdir, "doc", SCHEMA))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+    try:
+        got = rows(read_xml_lexed(spark, workdir, "doc", SCHEMA))
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    assert got == want and len(got) > 100
+
+
+@pytest.mark.parametrize("text", ["<feed><doc><title>a</title>", "<feed><!-- <doc/>", "<feed><doc><![CDATA[x</doc></feed>", "<feed></doc></feed>"])
+def test_lexed_unfinished_files_fail(spark, workdir, text):
+    path = write(workdir, text)
+    with pytest.raises(Exception, match="ends inside|without a row"):
+        read_xml_lexed(spark, path, "doc", SCHEMA).collect()

@@ -33,6 +33,8 @@ def parse_args(argv: list[str]) -> argparse.Namespace:
     p.add_argument("--rows", type=int, default=RESULT_ROWS, help="rows to keep (default 1000; -1 for all)")
     p.add_argument("--mode", default="overwrite", choices=["overwrite", "append"])
     p.add_argument("--native-xml", action="store_true", help="use the built-in (non-splitting) XML reader")
+    p.add_argument("--lexed-xml", action="store_true", help="lex the dump across its splits (row tag in comments, CDATA or nested)")
+    p.add_argument("--partitioned", action="store_true", help="lay the staged tables out by title before the match")
     p.add_argument("--keep-stage", action="store_true", help="keep the staged Parquet tables")
     return p.parse_args(argv)
 
@@ -58,6 +60,8 @@ def main(argv: list[str] | None = None) -> int:
         mode=args.mode,
         splittable_xml=not args.native_xml,
         keep_stage=args.keep_stage,
+        partitioned=args.partitioned,
+        lexed_xml=args.lexed_xml,
     )
     print(json.dumps(res.__dict__))
     return 0

@@ -9,6 +9,7 @@ library's operators on them.  Array columns are flattened with
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -32,8 +33,8 @@ from titlematch.plans.prepare import (
 )
 from titlematch.plans.sql import run_sql
 from titlematch.plans.views import ARTICLE_VIEW, MOVIE_VIEW, for_duckdb, for_spark
-from titlematch.sources.delimited import APOSTROPHE_ESCAPE
-from titlematch.sources.xml import ARTICLE_SCHEMA_PRUNED, xml_records
+from titlematch.sources.delimited import APOSTROPHE_ESCAPE, read_delimited
+from titlematch.sources.xml import ARTICLE_SCHEMA_PRUNED, read_articles, xml_records
 from titlematch.staging import new_folder, scope, staged
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -374,6 +375,36 @@ def q_xml_parse(spark, sf):
     return prepare_articles(raw)
 
 
+def _text_files(lines: DataFrame, name: str) -> str:
+    path = new_folder(lines.sparkSession, name)
+    lines.write.text(path)
+    return path
+
+
+def q_csv_scan(spark, sf):
+    """The same lines as files of the movie catalogue, read by its reader."""
+    path = _text_files(csv_lines(movie_view(spark, sf)), "movies-csv")
+    rows = read_delimited(spark, path, replace(APOSTROPHE_ESCAPE, header=False), CSV_SCHEMA)
+    rows = cast_columns(rows, {"id": "long", C.GENRES: MOVIE_TYPES[C.GENRES]})
+    return flat(pluck(rows, [C.GENRES], "name")).select("id", C.TITLE, C.GENRES, C.BUDGET, C.REVENUE)
+
+
+def q_xml_scan(spark, sf):
+    """The article chunks as XML files, read in splits."""
+    path = _text_files(xml_chunks(article_view(spark, sf)).select(F.concat(F.lit("<doc"), "value")), "articles-xml")
+    return prepare_articles(read_articles(spark, path))
+
+
+def q_xml_scan_lexed(spark, sf):
+    """XML files whose records name the row tag in comments, CDATA sections and
+    nested elements, which only lexing across splits can cut."""
+    chunks = xml_chunks(article_view(spark, sf)).select(F.concat(F.lit("<doc"), "value").alias("value"))
+    odd = F.concat(F.lit("<!-- <doc/> --><doc><links><doc>inner <![CDATA[<doc> </doc>]]></doc>\n<doc/></links>"), F.substring("value", 6, 1 << 30))
+    plain = F.col("value").startswith("<doc><") & F.col("value").contains("</doc")
+    path = _text_files(chunks.select(F.when(plain, odd).otherwise(F.col("value"))), "articles-odd-xml")
+    return prepare_articles(read_articles(spark, path, lexed=True))
+
+
 QUERIES: dict[str, Query] = {
     "url_parse": q_url_parse,
     "url_parse_pages": q_url_parse_pages,
@@ -401,6 +432,9 @@ QUERIES: dict[str, Query] = {
     "distinct_companies": q_distinct_companies,
     "first_seen_companies": q_first_seen_companies,
     "top_k_wide": q_top_k_wide,
+    "csv_scan": q_csv_scan,
+    "xml_scan": q_xml_scan,
+    "xml_scan_lexed": q_xml_scan_lexed,
     "row_counts": q_row_counts,
     "job_match": q_job_match,
     "sort_ascending": q_sort_ascending,
@@ -581,3 +615,5 @@ FROM p
     "budget, revenue FROM mv",
     "xml_parse": _BASE + "SELECT abstract, url, cleaned_title, year, type FROM a",
 }
+ORACLE_SQL["csv_scan"] = ORACLE_SQL["csv_parse"]
+ORACLE_SQL["xml_scan"] = ORACLE_SQL["xml_scan_lexed"] = ORACLE_SQL["xml_parse"]

@@ -149,6 +149,7 @@ def run(
     splittable_xml: bool = True,
     keep_stage: bool = False,
     partitioned: bool = False,
+    lexed_xml: bool = False,
 ) -> JobResult:
     """Read, prepare, match and write the top ``rows`` by revenue/budget.
 
@@ -166,7 +167,7 @@ def run(
                 owned.clear()
             log.info("preparing movies and articles under %s", root)
             prepared = prepare_movies(read_movies(spark, movies_path))
-            raw = read_articles(spark, articles_path, splittable=splittable_xml)
+            raw = read_articles(spark, articles_path, splittable=splittable_xml, lexed=lexed_xml)
             movies, articles, n_movies, n_articles = staged_sources(prepared, prepare_articles(raw), root)
             log.info("%d rows in movie table, %d rows in article table", n_movies, n_articles)
             if partitioned:

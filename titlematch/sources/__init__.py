@@ -11,6 +11,7 @@ from titlematch.sources.xml import (
     read_xml_rows,
     xml_records,
 )
+from titlematch.sources.xml_lex import lexed_records, read_xml_lexed
 
 __all__ = [
     "APOSTROPHE_ESCAPE",
@@ -20,10 +21,12 @@ __all__ = [
     "JdbcTarget",
     "RFC4180",
     "infer_xml_schema",
+    "lexed_records",
     "read_articles",
     "read_delimited",
     "read_movies",
     "read_table",
+    "read_xml_lexed",
     "read_xml_records",
     "read_xml_rows",
     "xml_records",

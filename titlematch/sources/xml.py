@@ -12,7 +12,7 @@ Two readers:
     file at the opening row tag (``lineSep``), so every split of every file
     is read in parallel, and ``from_xml`` parses each record.  Needs
     uncompressed input.  An input it cannot cut (the opening tag inside a
-    record's comment, CDATA or nested element) fails; use the native reader.
+    record's comment, CDATA or nested element) fails; ``read_xml_lexed`` takes it.
 
 Column pruning: pass a schema without unused children (``links``) and the
 parser skips them instead of building nested rows that are dropped later.
@@ -26,6 +26,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from titlematch.sources.xml_lex import read_xml_lexed
+
 _LINK = T.StructType(
     [
         T.StructField("_linktype", T.StringType()),
@@ -94,7 +96,7 @@ def xml_records(chunks: DataFrame, row_tag: str, column: str = "value") -> DataF
         return (F.instr(text, mark) > 0) & ((F.instr(text, begin) == 0) | (F.instr(text, mark) < F.instr(text, begin)))
 
     def fail(problem: str) -> Column:
-        return F.raise_error(F.concat(F.lit(f"<{row_tag}> {problem}, use the native reader: "), F.substring(c, 1, 200)))
+        return F.raise_error(F.concat(F.lit(f"<{row_tag}> {problem}, use the lexed reader: "), F.substring(c, 1, 200)))
 
     # what stands between the row and the next opening tag
     after = F.when(F.col("__alone"), F.regexp_extract(c, f"(?s)^{attributes}/>(.*)$", 1)).otherwise(
@@ -171,9 +173,13 @@ def read_articles(
     splittable: bool = True,
     row_tag: str = "doc",
     sample_rows: int | None = None,
+    lexed: bool = False,
 ) -> DataFrame:
     """Raw article dump, one row per ``<doc>``.
 
+    ``lexed`` cuts the splits by lexing them all (see ``xml_lex``), for dumps with
+    the row tag in comments, CDATA sections or nested elements.
+
     ``sample_rows`` infers the schema from that many leading records instead
     of using ``schema``; fields that only later records have are then left out.
     """
@@ -182,5 +188,7 @@ def read_articles(
     if splittable:
         if schema is None:
             raise ValueError("the splittable reader needs a schema")
+        if lexed:
+            return read_xml_lexed(spark, path, row_tag, schema)
         return read_xml_records(spark, path, row_tag, schema)
     return read_xml_rows(spark, path, row_tag, schema)
