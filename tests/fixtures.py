@@ -1,7 +1,8 @@
-"""Small sample sources written by the tests themselves (shapes of the
-movie CSV and the article XML dump)."""
+"""Small sources written by the tests, a row or two for each rule of the job."""
 
 import os
+from collections import Counter
+from xml.sax.saxutils import escape
 
 # Fixed value: the columns of the movie file.
 MOVIE_HEADER = (
@@ -11,116 +12,103 @@ MOVIE_HEADER = (
 )
 
 
-def movie_line(budget, genres, mid, overview, companies, release, revenue, title, vote, collection=""):
-    return ",".join(
-        [
-            "False",
-            collection,
-            budget,
-            genres,
-            "",
-            str(mid),
-            f"tt{mid:07d}",
-            "en",
-            title,
-            overview,
-            "1.5",
-            "/p.jpg",
-            companies,
-            "\"[{'iso_3166_1': 'US', 'name': 'United States of America'}]\"",
-            release,
-            revenue,
-            "100.0",
-            "\"[{'iso_639_1': 'en', 'name': 'English'}]\"",
-            "Released",
-            "",
-            title,
-            "False",
-            vote,
-            "10",
-        ]
-    )
-
-
-# Invented rows for these cases: both list quoting styles (plain single quotes,
-# and doubled apostrophes inside the quoted field), a zero budget, a zero
-# revenue, empty lists, one title in three years, titles without an article,
-# apostrophes in text.
-MOVIE_LINES = [
-    movie_line("16000000", "\"[{''id'': 3, ''name'': ''Mystery''}]\"", 501, "\"A grafter returns.\"",
-               "\"[{''name'': ''Lantern Row'', ''id'': 72}, {''name'': ''Fennel Bros'', ''id'': 73}]\"",
-               "1987-03-02", "40000000", "Glass Orchard", "6.2"),
-    movie_line("5000000", "\"[{'id': 9, 'name': 'Romance'}]\"", 502, "\"The potter''s kiln.\"", "[]",
-               "2006-05-18", "50000", "Salt and Cedar", "7.0"),
-    movie_line("0", "[]", 503, "\"The grower''s diary.\"", "[]", "2009-10-01", "0", "That's My Orchard!", "0.0"),
-    movie_line("4000000", "\"[{'id': 5, 'name': 'Thriller'}]\"", 504, "\"A keeper, a storm.\"",
-               "\"[{'name': 'Tern Film', 'id': 71}]\"", "1998-09-09", "5000000", "Harbour Lights", "6.4"),
-    movie_line("0", "\"[{''id'': 4, ''name'': ''Music''}]\"", 505, "\"Two bands.\"",
-               "\"[{''name'': ''Umi'', ''id'': 74}]\"", "1971-01-20", "3100000", "Niji no Kanata", "5.9",
-               collection="\"{''id'': 88, ''name'': ''Set'', ''backdrop_path'': None}\""),
-    movie_line("30000000", "\"[{'id': 3, 'name': 'Mystery'}, {'id': 5, 'name': 'Thriller'}]\"", 506,
-               "\"In 1954, an orchard closes.\"",
-               "\"[{'name': 'Northgate', 'id': 75}, {'name': 'Lantern Row', 'id': 72}]\"",
-               "2011-11-11", "45000000", "Glass Orchard", "6.8"),
-    movie_line("900000", "\"[{'id': 4, 'name': 'Music'}]\"", 507, "Up the river.",
-               "\"[{'name': 'Umi', 'id': 74}]\"", "1948-04-04", "0", "The Long Ferry", "5.1"),
-    movie_line("8000000", "\"[{''id'': 5, ''name'': ''Thriller''}]\"", 508, "The orchard burns.",
-               "\"[{''name'': ''Ashby'', ''id'': 76}]\"", "1990-08-30", "2000000", "Glass Orchard Returns", "4.3"),
-    movie_line("800000", "\"[{''id'': 3, ''name'': ''Mystery''}, {''id'': 6, ''name'': ''Noir''}]\"", 509,
-               "\"A gardener finds a key.\"", "\"[{''name'': ''Pilgrim Street'', ''id'': 77}]\"",
-               "1954-02-14", "9000000", "Glass Orchard", "7.7"),
-    movie_line("0", "\"[{''id'': 6, ''name'': ''Noir''}]\"", 510, "\"A well runs dry.\"",
-               "\"[{''name'': ''Umi'', ''id'': 74}]\"", "1963-12-12", "0", "Niji no Owari", "5.5"),
+
+
+def named(names, doubled=False):
+    """A list column: Python's notation in a quoted field, its apostrophes plain or doubled."""
+    text = "[" + ", ".join(f"{{'id': {len(n)}, 'name': '{n}'}}" for n in names) + "]"
+    return '"' + (text.replace("'", "''") if doubled else text) + '"'
+
+
+def movie_line(name, release, budget, revenue, companies=(), kinds=("Drama",), vote="5.5", doubled=False, **raw):
+    """A line of the movie file; ``raw`` gives columns as they are."""
+    own = {
+        "title": f'"{name}"', "original_title": f'"{name}"', "release_date": release, "budget": budget, "revenue": revenue, "vote_average": vote,
+        "production_companies": named(companies, doubled), "genres": named(kinds, doubled), "overview": "\"Text, with a comma and an apostrophe''s pair.\"",
+    } | raw
+    return ",".join(own.get(c, "") for c in MOVIE_HEADER.split(","))
+
+
+# (line, what becomes of it): the url ends it is linked with, None alone for
+# unmatched, nothing for dropped
+CASES = [
+    # the first tier keeps duplicates, and takes every article of title and year
+    (movie_line("Copper Tide", "1994-07-01", "2000000", "7000000", ["Kelp"]), ["Copper_Tide_(1994_film)", "copper_tide_(1994_film)"]),
+    (movie_line("Copper Tide", "1994-07-01", "2000000", "7000000", ["Kelp"]), ["Copper_Tide_(1994_film)", "copper_tide_(1994_film)"]),
+    # no year, no first tier
+    (movie_line("Copper Tide", "unknown", "1000000", "1250000", doubled=True), ["Copper_Tide_(film)"]),
+    # one title in two years: the year decides the tier
+    (movie_line("Basalt", "1979-01-31", "8000000", "6000000", ["Ninefold"]), ["Basalt_(film)"]),
+    (movie_line("Basalt", "1980-12-31", "1000000", "9000000", ["Ninefold", "Arbor & Sons"], doubled=True), ["Basalt_(1980_film)"]),
+    # only a plain article; no company
+    (movie_line("Vesper & Co", "2003-03-03", "1100000", "3300000", kinds=()), ["Vesper_&_Co"]),
+    # the only article has a type that no tier takes; the budget's fraction goes
+    (movie_line("Quarry Road", "1967-05-05", "12.9", "100", ["Kelp"]), [None]),
+    # spaces and capitals do not count
+    (movie_line(" LAMP Post ", "1999-09-09", "4", "2"), ["Lamp_Post_(1999_film)"]),
+    # duplicates outside the first tier are one row, matched or not
+    (movie_line("Twelve Kites", "2010-10-10", "4000", "10000", ["Umber", "Kelp"]), ["Twelve_Kites"]),
+    (movie_line("Twelve Kites", "2010-10-10", "4000", "10000", ["Umber", "Kelp"]), []),
+    (movie_line("Solo Ridge", "1988-08-08", "3", "1", ["Umber"]), [None]),
+    (movie_line("Solo Ridge", "1988-08-08", "3", "1", ["Umber"]), []),
+]
+# one row for each way to be dropped
+DROPPED_LINES = [
+    movie_line("Basalt", "1980-01-01", "n/a", "100"),
+    movie_line("Basalt", "1980-01-01", "100", ""),
+    movie_line("Basalt", "1980-01-01", "0", "100"),
+    movie_line("Basalt", "1980-01-01", "100", "-100"),
+    movie_line("", "1980-01-01", "100", "100"),
 ]
+MOVIE_LINES = [line for line, _ in CASES] + DROPPED_LINES
+MOVIES = len(CASES)
 
+# the last one's title no movie has
 ARTICLE_URLS = [
-    "Harbour_Lights_(film)",
-    "Glass_Orchard_(1987_film)",
-    "Tillman_Mill",
-    "Glass_Orchard_(comics)",
-    "Harbour_Lights",
-    "Glass_Orchard_(1954_film)",
-    "Glass_Orchard_Press",
-    "Glass_Orchard_(1960_musical)",
-]
+    "Basalt", "Basalt_(film)", "Basalt_(1980_film)", "Copper_Tide_(film)", "Copper_Tide_(1994_film)", "copper_tide_(1994_film)", "Lamp_Post_(1999_film)",
+    "Lamp_Post_(film)", "Quarry_Road_(TV_series)", "Twelve_Kites", "Twelve_Kites_(album)", "Vesper_&_Co", "Nowhere_Else_(1994_film)",
+]
+WANTED_URLS = ARTICLE_URLS[:-1]
 
 
 def article_doc(last):
-    title = last.replace("_", " ")
-    return f"""  <doc>
-    <title>Wiki: {title}</title>
-    <url>https://en.example.org/wiki/{last}</url>
-    <abstract>About {title}
-      on two lines.</abstract>
-    <links>
-      <sublink linktype="nav"><anchor>History</anchor><link>https://en.example.org/wiki/{last}#History</link></sublink>
-      <sublink linktype="nav"><anchor>See also</anchor><link>https://en.example.org/wiki/{last}#See_also</link></sublink>
-    </links>
-  </doc>
-"""
-
-
-def write_movies(d):
-    p = os.path.join(d, "movies.csv")
-    with open(p, "w") as f:
-        f.write(MOVIE_HEADER + "\n" + "\n".join(MOVIE_LINES) + "\n")
-    return p
-
-
-def write_articles(d, urls=ARTICLE_URLS, name="articles.xml"):
-    p = os.path.join(d, name)
-    with open(p, "w") as f:
-        f.write("<feed>\n" + "".join(article_doc(u) for u in urls) + "</feed>\n")
-    return p
-
-
-# Hand-derived result of the whole job on the two files above:
-# (title, year, revenue_to_budget, url last segment or None)
-GOLDEN = [
-    ("Glass Orchard", "1954", 11.25, "Glass_Orchard_(1954_film)"),
-    ("Glass Orchard", "1987", 2.5, "Glass_Orchard_(1987_film)"),
-    ("Glass Orchard", "2011", 1.5, None),
-    ("Harbour Lights", "1998", 1.25, "Harbour_Lights_(film)"),
-    ("Glass Orchard Returns", "1990", 0.25, None),
-    ("Salt and Cedar", "2006", 0.01, None),
-]
+    url, name = escape(f"https://en.example.org/wiki/{last}"), escape(last.replace("_", " "))
+    sublinks = "".join(f'<sublink linktype="nav"><anchor>{a}</anchor><link>{url}#{a}</link></sublink>' for a in ("Plot", "Cast", "Notes"))
+    return f"<doc>\n<title>Article: {name}</title><url>{url}</url>\n<abstract>{name}\n in short</abstract><links>{sublinks}</links>\n</doc>\n"
+
+
+def _written(folder, name, text):
+    path = os.path.join(folder, name)
+    with open(path, "w") as f:
+        f.write(text)
+    return path
+
+
+def write_movies(folder, lines=None):
+    return _written(folder, "movies.csv", "\n".join([MOVIE_HEADER, *(MOVIE_LINES if lines is None else lines)]) + "\n")
+
+
+def write_articles(folder, urls=None, name="articles.xml"):
+    return _written(folder, name, "<feed>\n" + "".join(map(article_doc, ARTICLE_URLS if urls is None else urls)) + "</feed>\n")
+
+
+# Derived by hand: (title, year, revenue_to_budget, url end) of every result row.
+GOLDEN = Counter(
+    {
+        ("Basalt", "1980", 9.0, "Basalt_(1980_film)"): 1,
+        ("Quarry Road", "1967", 8.33, None): 1,
+        ("Copper Tide", "1994", 3.5, "Copper_Tide_(1994_film)"): 2,
+        ("Copper Tide", "1994", 3.5, "copper_tide_(1994_film)"): 2,
+        ("Vesper & Co", "2003", 3.0, "Vesper_&_Co"): 1,
+        ("Twelve Kites", "2010", 2.5, "Twelve_Kites"): 1,
+        ("Copper Tide", None, 1.25, "Copper_Tide_(film)"): 1,
+        ("Basalt", "1979", 0.75, "Basalt_(film)"): 1,
+        (" LAMP Post ", "1999", 0.5, "Lamp_Post_(1999_film)"): 1,
+        ("Solo Ridge", "1988", 0.33, None): 1,
+    }
+)
+
+
+def results(df):
+    """The rows of a result in the form of ``GOLDEN``."""
+    return Counter((r.title, r.year, r.revenue_to_budget, r.url.rsplit("/", 1)[-1] if r.url else None) for r in df.collect())

@@ -3,7 +3,7 @@
 import os
 import tempfile
 
-from fixtures import write_articles
+from fixtures import ARTICLE_URLS, write_articles
 
 from titlematch.plans.prepare import prepare_articles
 from titlematch.sources import read_articles
@@ -28,4 +28,4 @@ def test_article_stream_matches_batch(spark, workdir):
     finally:
         q.stop()
     batch = sorted(map(tuple, prepare_articles(read_articles(spark, src)).collect()))
-    assert got == batch and len(got) == 8
+    assert got == batch and len(got) == len(ARTICLE_URLS)
