@@ -32,7 +32,7 @@ def test_documents_from_a_slot_on(spark, tmp_path):
     path = str(tmp_path / "order")
     docs = spark.createDataFrame([(i, f"text {i}") for i in range(500)], "doc_id long, text string").repartition(2)
     n = training_order.materialise(docs, path, sequence=16, shard=20)
-    every = {r.slot: r.documents for r in training_order.read_documents(spark, path, 0, 20).collect()}
+    every = {r.slot: r.documents for r in training_order.read_documents(spark, path).collect()}
     assert sorted(every) == list(range(n)) and {d.doc_id for own in every.values() for d in own} == set(range(500))
-    rest = {r.slot: r.documents for r in training_order.read_documents(spark, path, 33, 20).collect()}
+    rest = {r.slot: r.documents for r in training_order.read_documents(spark, path, 33).collect()}
     assert rest == {s: d for s, d in every.items() if s >= 33}

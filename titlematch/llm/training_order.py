@@ -15,15 +15,16 @@ that arithmetic, and reads on sequentially.
 
 A record is a header (ids used; the document of the first id and where in it
 that id stands), the ids as unsigned 16-bit little-endian numbers, zeros up to
-the stride, and a line end.  A record has no room for all its documents, so they
-are listed in Parquet files beside the shards, by shard and slot: which document,
-the place in it of its first id in the sequence, and where in the sequence that
-id stands.
+the stride, and a line end.  A record has no room for all its documents, so the
+documents that begin inside a sequence are listed in Parquet files beside the shards,
+by slot: which document, and where in the sequence it begins.  The lists are narrow
+and stay where the sequences were made; only records are moved.
 """
 
 from __future__ import annotations
 
 import struct
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -33,7 +34,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from titlematch.llm.base import new_folder, staged, text_of
-from titlematch.llm.tokens import bare, default_path, encoder, id_bytes
+from titlematch.llm.tokens import bare, default_path, encoder
 
 SEQUENCE, SHARD = 512, 1 << 14
 VOCABULARY = "word_bpe_49k.json"
@@ -42,6 +43,7 @@ HEADER = "<Hqq"
 HEADER_SIZE = struct.calcsize(HEADER)
 NO_ID = -(1 << 63)
 DOCUMENTS = "array<struct<doc_id:long,start:long,offset:int>>"
+BEGUN = "array<struct<doc_id:long,offset:int>>"
 
 
 def stride(sequence: int = SEQUENCE) -> int:
@@ -73,33 +75,38 @@ def permuted(numbers: np.ndarray, n: int, key: int = KEY) -> np.ndarray:
     return out.astype(np.int64)
 
 
+def short_ids(ids: list[int]) -> bytes:
+    if ids and max(ids) >= 1 << 16:
+        raise ValueError("the vocabulary has ids over 65535")
+    return np.asarray(ids, dtype="<u2").tobytes()
+
+
 def sequences(docs: DataFrame, sequence: int = SEQUENCE, vocabulary: str | None = None) -> DataFrame:
-    """``documents, length, ids``: the documents' ids and end ids, cut into
-    sequences; ``documents`` lists every document in a sequence, in order."""
-    path, end = vocabulary or default_path(VOCABULARY), id_bytes([END])
+    """``doc_id, start, length, ids, begun``: the documents' ids and end ids, cut
+    into sequences; whose the first id is and where in it it stands, and the
+    documents that begin after it, in order."""
+    path, end = vocabulary or default_path(VOCABULARY), short_ids([END])
     size = 2 * sequence
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = encoder(path, bare, id_bytes, lower=True)
+        encode = encoder(path, bare, short_ids, lower=True)
         held, inside = b"", []  # the open sequence, and the documents in it
 
         def out(rows: list) -> pa.RecordBatch:
             listed, lengths, ids = zip(*rows, strict=True) if rows else [()] * 3
-            flat = [d for own in listed for d in own]
-            types = (pa.int64(), pa.int64(), pa.int32())
-            fields = [pa.array(c, t) for c, t in zip(zip(*flat, strict=True) if flat else [()] * 3, types, strict=True)]
-            ends = np.cumsum([0, *map(len, listed)]).astype(np.int32)
-            documents = pa.ListArray.from_arrays(pa.array(ends), pa.StructArray.from_arrays(fields, names=["doc_id", "start", "offset"]))
-            return pa.RecordBatch.from_arrays([documents, pa.array(lengths, pa.int32()), pa.array(ids, pa.binary())], names=["documents", "length", "ids"])
+            first = [(own[0][0], own[0][1]) for own in listed]
+            flat = [(doc_id, offset) for own in listed for doc_id, _, offset in own[1:]]
+            ends = np.cumsum([0, *(len(own) - 1 for own in listed)]).astype(np.int32)
+            fields = [pa.array([d[i] for d in flat], t) for i, t in enumerate((pa.int64(), pa.int32()))]
+            begun = pa.ListArray.from_arrays(pa.array(ends), pa.StructArray.from_arrays(fields, names=["doc_id", "offset"]))
+            arrays = [pa.array([f[0] for f in first], pa.int64()), pa.array([f[1] for f in first], pa.int64()), pa.array(lengths, pa.int32()), pa.array(ids, pa.binary())]
+            return pa.RecordBatch.from_arrays([*arrays, begun], names=["doc_id", "start", "length", "ids", "begun"])
 
         for batch in batches:
             for at in range(0, batch.num_rows, 1000):
                 part, rows = batch.slice(at, 1000), []
                 for doc_id, data in zip(part.column("doc_id").to_pylist(), encode.each(part.column("text").to_pylist(), b"".join), strict=True):
-                    ids = np.frombuffer(data + end, "<u4")
-                    if ids.max() >= 1 << 16:
-                        raise ValueError("the vocabulary has ids over 65535")
-                    short, a = ids.astype("<u2").tobytes(), 0
+                    short, a = data + end, 0
                     while a < len(short):
                         inside.append((doc_id, a // 2, len(held) // 2))
                         taken = short[a : a + size - len(held)]
@@ -112,7 +119,7 @@ def sequences(docs: DataFrame, sequence: int = SEQUENCE, vocabulary: str | None
             yield out([(inside, len(held) // 2, held)])
 
     rows = docs.select(F.col("doc_id").cast("long"), text_of().alias("text"))
-    return rows.mapInArrow(cut, f"documents {DOCUMENTS}, length int, ids binary")
+    return rows.mapInArrow(cut, f"doc_id long, start long, length int, ids binary, begun {BEGUN}")
 
 
 def documents_path(path: str) -> str:
@@ -152,60 +159,64 @@ def materialise(
     header = F.concat(
         _little_endian(F.col("length"), 2), _little_endian(F.coalesce("doc_id", F.lit(NO_ID)), 8), _little_endian(F.col("start"), 8)
     )
-    record = F.rpad(F.concat(header, F.col("ids")), stride(sequence) - 1, F.lit(b"\0"))
-    first = F.col("documents")[0]
-    dealt = rows.select(slot(part, place).alias("_slot"), first["doc_id"].alias("doc_id"), first["start"].alias("start"), "length", "ids").withColumn(
-        "shard", F.floor(F.col("_slot") / shard)
-    )
+    record = F.rpad(F.col("record"), stride(sequence) - 1, F.lit(b"\0"))
+    dealt = rows.select(slot(part, place).alias("_slot"), F.concat(header, F.col("ids")).alias("record"))
     (
-        dealt.repartitionByRange(-(-n // shard), "shard")
+        dealt.repartitionByRange(-(-n // shard), F.floor(F.col("_slot") / shard))
+        .withColumn("shard", F.floor(F.col("_slot") / shard))
         .sortWithinPartitions("shard", "_slot")
         .select(record.cast("string").alias("value"), "shard")
         .write.partitionBy("shard")
         .option("lineSep", "\n")
         .text(path)
     )
-    listed = rows.select(slot(part, place).alias("slot"), "documents").withColumn("shard", F.floor(F.col("slot") / shard))
-    (
-        listed.repartitionByRange(-(-n // shard), "shard")
-        .sortWithinPartitions("shard", "slot")
-        .write.partitionBy("shard")
-        .option("compression", "zstd")
-        .parquet(documents_path(path))
-    )
+    listed = rows.select(slot(part, place).alias("slot"), "doc_id", "start", "begun")
+    listed.write.option("compression", "zstd").parquet(documents_path(path))
     return n
 
 
-def read_order(spark: SparkSession, path: str, first: int = 0, sequence: int = SEQUENCE, shard: int = SHARD) -> DataFrame:
+def read_order(
+    spark: SparkSession, path: str, first: int = 0, sequence: int = SEQUENCE, shard: int = SHARD, digests: bool = False
+) -> DataFrame:
     """Sequences from slot ``first`` on: ``slot, shard, byte_offset, doc_id,
-    start, length, ids``.  Shards before it are not opened."""
+    start, length, ids`` (or ``ids_crc32``, with ``digests``).  Shards before it are
+    not opened."""
     size = stride(sequence)
+    kind = np.dtype([("length", "<u2"), ("doc_id", "<i8"), ("start", "<i8"), ("rest", "V", size - HEADER_SIZE)])
 
     def parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for own, content in zip(batch.column("shard").to_pylist(), batch.column("content"), strict=True):
                 data = memoryview(content.as_buffer())
-                for a in range(max(0, first - own * shard), len(data) // size, 4096):
-                    out = []
-                    for k in range(a, min(a + 4096, len(data) // size)):
-                        length, doc_id, start = struct.unpack_from(HEADER, data, k * size)
-                        ids = bytes(data[k * size + HEADER_SIZE : k * size + HEADER_SIZE + 2 * length])
-                        out.append((own * shard + k, own, k * size, None if doc_id == NO_ID else doc_id, start, length, ids))
-                    types = (*[pa.int64()] * 5, pa.int32(), pa.binary())
-                    names = ["slot", "shard", "byte_offset", "doc_id", "start", "length", "ids"]
-                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), types, strict=True)], names=names)
-
+                records = np.frombuffer(data, kind, len(data) // size)
+                for a in range(max(0, first - own * shard), len(records), 4096):
+                    some = records[a : a + 4096]
+                    places = np.arange(a, a + len(some), dtype=np.int64)
+                    begin = places * size + HEADER_SIZE
+                    views = [data[x : x + 2 * k] for x, k in zip(begin.tolist(), some["length"].tolist(), strict=True)]
+                    ids = pa.array(map(zlib.crc32, views), pa.int64()) if digests else pa.array(map(bytes, views), pa.binary())
+                    docs = some["doc_id"].copy()
+                    columns = [
+                        pa.array(own * shard + places), pa.array(np.full(len(some), own, np.int64)), pa.array(places * size), pa.array(docs, mask=docs == NO_ID),
+                        pa.array(some["start"].copy()), pa.array(some["length"].astype(np.int32)), ids,
+                    ]
+                    yield pa.RecordBatch.from_arrays(columns, names=["slot", "shard", "byte_offset", "doc_id", "start", "length", last])
+
+    last = "ids_crc32" if digests else "ids"
     files = spark.read.format("binaryFile").load(path).filter(F.col("shard") >= first // shard)
-    schema = "slot long, shard long, byte_offset long, doc_id long, start long, length int, ids binary"
+    schema = f"slot long, shard long, byte_offset long, doc_id long, start long, length int, {last} {'long' if digests else 'binary'}"
     return files.select(F.col("shard").cast("long"), "content").mapInArrow(parse, schema)
 
 
-def read_documents(spark: SparkSession, path: str, first: int = 0, shard: int = SHARD) -> DataFrame:
+def read_documents(spark: SparkSession, path: str, first: int = 0) -> DataFrame:
     """``slot, documents`` from slot ``first`` on: every document of a sequence, as
     ``doc_id``, ``start`` (place in the document) and ``offset`` (place in the
-    sequence) of its first id there.  Shards before it are not opened."""
-    rows = spark.read.schema(f"slot long, documents {DOCUMENTS}, shard long").parquet(documents_path(path))
-    return rows.filter((F.col("shard") >= first // shard) & (F.col("slot") >= first)).select("slot", "documents")
+    sequence) of its first id there."""
+    rows = spark.read.schema(f"slot long, doc_id long, start long, begun {BEGUN}").parquet(documents_path(path))
+    zero = F.lit(0).cast("long")
+    head = F.array(F.struct("doc_id", "start", F.lit(0).alias("offset")))
+    others = F.transform("begun", lambda d: F.struct(d["doc_id"].alias("doc_id"), zero.alias("start"), d["offset"].alias("offset")))
+    return rows.filter(F.col("slot") >= first).select("slot", F.concat(head, others).cast(DOCUMENTS).alias("documents"))
 
 
 def training_order(docs: DataFrame) -> DataFrame:
@@ -214,8 +225,6 @@ def training_order(docs: DataFrame) -> DataFrame:
     ``documents``, the list of all documents in the sequence."""
     spark = docs.sparkSession
     path = new_folder(spark, "training-order")
-    columns = ["slot", "shard", "byte_offset", "doc_id", "start", "length"]
     if not materialise(docs, path):
         return spark.createDataFrame([], f"slot long, shard long, byte_offset long, doc_id long, start long, length int, ids_crc32 long, documents {DOCUMENTS}")
-    # ids are summed up before the join, so that none are shuffled
-    return read_order(spark, path).select(*columns, F.crc32("ids").alias("ids_crc32")).join(read_documents(spark, path), "slot")
+    return read_order(spark, path, digests=True).join(read_documents(spark, path), "slot")
