@@ -18,6 +18,8 @@ and cell, so only parts close to one another ever meet.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -40,6 +42,38 @@ KINDS = ["assign", "access", "hex", "secret", "endpoint"]
 SCOPE = 256
 
 _SPANS = "array<struct<start:long,end:long>>"
+#: Matches that one fold goes over.
+RUN = 128
+
+
+def _bound(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use`` of a value that is worked out once."""
+    return F.transform(F.array(value), use)[0]
+
+
+def _running(sizes: Column, start: Column) -> Column:
+    """The matches of one run with their offsets, from ``start`` on."""
+    none = F.array().cast("array<struct<start:long,end:long,text:string>>")
+
+    def add(a: Column, s: Column) -> Column:
+        begin, end = a["at"] + s["gap"], a["at"] + s["gap"] + s["own"]
+        return F.struct(end.alias("at"), F.concat(a["spans"], F.array(F.struct(begin.alias("start"), end.alias("end"), s["text"].alias("text")))).alias("spans"))
+
+    return F.aggregate(sizes, F.struct(start.alias("at"), none.alias("spans")), add, lambda a: a["spans"])
+
+
+def _offsets(sizes: Column) -> Column:
+    """The matches with their offsets.  A fold that appends copies what it has, so
+    matches are folded in runs of ``RUN``; where each run starts is a fold over runs."""
+    zero = F.lit(0).cast("long")
+    runs = F.transform(F.sequence(F.lit(0), F.floor((F.size(sizes) - 1) / RUN).cast("int")), lambda i: F.slice(sizes, i * RUN + 1, F.lit(RUN)))
+
+    def begins(runs: Column) -> Column:
+        totals = F.transform(runs, lambda r: F.aggregate(r, zero, lambda a, s: a + s["gap"] + s["own"]))
+        return F.aggregate(totals, F.array(zero), lambda a, t: F.concat(a, F.array(F.element_at(a, -1) + t)))
+
+    spans = _bound(runs, lambda r: F.flatten(F.zip_with(r, F.slice(begins(r), 1, F.size(r)), _running)))
+    return F.when(F.size(sizes) > 0, spans).otherwise(F.array().cast("array<struct<start:long,end:long,text:string>>"))
 
 
 def _spans(text: Column, pattern: str, keep=None) -> Column:
@@ -48,18 +82,7 @@ def _spans(text: Column, pattern: str, keep=None) -> Column:
     between = F.split(text, pattern, -1)
     size = F.zip_with(matches, between, lambda m, b: F.struct(F.length(b).cast("long").alias("gap"), F.length(m).cast("long").alias("own"), m.alias("text")))
     size = F.filter(size, lambda s: s["text"].isNotNull())
-    start = F.aggregate(
-        size,
-        F.struct(F.lit(0).cast("long").alias("at"), F.array().cast("array<struct<start:long,end:long,text:string>>").alias("spans")),
-        lambda a, s: F.struct(
-            (a["at"] + s["gap"] + s["own"]).alias("at"),
-            F.concat(
-                a["spans"],
-                F.array(F.struct((a["at"] + s["gap"]).alias("start"), (a["at"] + s["gap"] + s["own"]).alias("end"), s["text"].alias("text"))),
-            ).alias("spans"),
-        ),
-        lambda a: a["spans"],
-    )
+    start = _bound(size, _offsets)
     kept = F.filter(start, lambda s: keep(s["text"])) if keep else start
     return F.transform(kept, lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end")))
 
@@ -87,7 +110,7 @@ def scanned(docs: DataFrame) -> DataFrame:
     access = text.contains("AKIA")
     return docs.select(
         "doc_id",
-        F.xxhash64("doc_id", text).alias("text_key"),
+        F.monotonically_increasing_id().alias("text_key"),  # staged, so it holds
         _where(text.rlike(ASSIGN), _spans(text, ASSIGN, long_value)).alias("assign"),
         _where(access, _spans(text, ACCESS)).alias("access"),
         _where(text.rlike(HEX), _spans(text, HEX)).alias("hex"),
@@ -99,7 +122,7 @@ def scanned(docs: DataFrame) -> DataFrame:
 
 def linked(found: DataFrame, scope: int = SCOPE) -> DataFrame:
     """``text_key, links``: the weak spans that are reported, per text."""
-    rows = found.filter((F.size("access") > 0) & (F.size("secret") + F.size("endpoint") > 0)).dropDuplicates(["text_key"])
+    rows = found.filter((F.size("access") > 0) & (F.size("secret") + F.size("endpoint") > 0))
 
     def parts(*kinds: str) -> DataFrame:
         return rows.select("text_key", F.explode(F.concat(*map(_named, kinds))).alias("p")).select("text_key", "p.kind", "p.start", "p.end")
@@ -136,8 +159,8 @@ def secrets(docs: DataFrame, scope: int = SCOPE) -> DataFrame:
     """One row per document: ``doc_id, n_assign, n_access, n_hex, base_sha256,
     spans``.
 
-    A null text counts as empty and has no spans.  Rows that repeat an id and
-    its text have the same spans; null ids do no harm.  An empty table gives an
+    A null text counts as empty and has no spans.  Rows are scanned one by one, so
+    repeated rows and null ids do no harm.  An empty table gives an
     empty result.  Only ``doc_id`` and ``text`` are read.
     """
     found = staged(scanned(docs), "secret-parts")

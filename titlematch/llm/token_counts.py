@@ -7,9 +7,11 @@ before them.  Only stable boundaries are reported, those at which the
 tokenizer's own splitting cuts whatever stands around (the starts of units, see
 ``tokens``); the cut ends of a chunk are none.  Two neighbours are spliced at a
 boundary both report, and a document's count is the sum of what lies between its
-splices.  Where neighbours share no boundary (a run without white space longer
-than the overlap), the document is encoded again with wider overlaps, until one
-chunk holds it all.
+splices.  An overlap in which no run of white space begins can hold no boundary and
+is widened before anything is encoded: the chunk reads on to the next such place,
+and the next chunk begins shortly before it, so a text without white space is
+encoded once.  Where neighbours still share no boundary, the document is encoded
+again with wider overlaps, until one chunk holds it all.
 """
 
 from __future__ import annotations
@@ -29,6 +31,7 @@ VOCABULARY = "byte_bpe_50k.json"
 CHUNK, OVERLAP, WIDEN = 1 << 14, 256, 16
 LIMIT = 512
 _WHITE = re.compile(f"[{SPACE}]")
+_RUN = re.compile(f"(?<=[^{SPACE}])[{SPACE}]")
 
 
 def _direct(path: str):
@@ -45,20 +48,33 @@ def _direct(path: str):
     return count
 
 
+def chunks(text: str, chunk: int, overlap: int) -> Iterator[tuple[int, int]]:
+    """Where the chunks of a text begin and end.  Neighbours share ``overlap``
+    characters, or twice that around the next place where white space begins."""
+    at = 0
+    while True:
+        following, end = at + chunk, at + chunk + overlap
+        if end < len(text):
+            run = _RUN.search(text, following + 1)
+            if run is None:
+                end = len(text)
+            elif run.start() > end:
+                following, end = run.start() - overlap, run.start() + overlap
+        if end >= len(text):
+            yield at, len(text)
+            return
+        yield at, end
+        at = following
+
+
 def _cut(chunk: int, overlap: int):
     """``mapInArrow`` function: a text -> its overlapping chunks."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row, text in zip(batch.column("row").to_pylist(), batch.column("text").to_pylist(), strict=True):
-                at, k = 0, 0
-                while True:
-                    end = min(len(text), at + chunk + overlap)
-                    last = end == len(text)
-                    yield pa.RecordBatch.from_pylist([{"row": row, "k": k, "at": at, "last": last, "text": text[at:end]}])
-                    if last:
-                        break
-                    at, k = at + chunk, k + 1
+                for k, (at, end) in enumerate(chunks(text, chunk, overlap)):
+                    yield pa.RecordBatch.from_pylist([{"row": row, "k": k, "at": at, "last": end == len(text), "text": text[at:end]}])
 
     return cut
 
@@ -97,9 +113,9 @@ def _marks(path: str, overlap: int):
 
 def _spliced(long: DataFrame, path: str, chunk: int, overlap: int) -> DataFrame:
     """``row, n_tokens`` of long texts; null where two chunks did not align."""
-    chunks = long.mapInArrow(_cut(chunk, overlap), "row long, k long, at long, last boolean, text string")
+    pieces = long.mapInArrow(_cut(chunk, overlap), "row long, k long, at long, last boolean, text string")
     marks = staged(
-        chunks.repartition("row", "k").mapInArrow(
+        pieces.repartition("row", "k").mapInArrow(
             _marks(path, overlap),
             "row long, k long, last boolean, n long, left_at array<long>, left_n array<long>, right_at array<long>, right_n array<long>",
         ),
