@@ -155,7 +155,7 @@ SELECT doc_id, n_features, weight, score, CASE WHEN n_words >= 20 AND place <= d
     "op2_secrets": rf"""
 WITH d AS (SELECT row_number() OVER () AS n, doc_id, coalesce(text, '') AS text FROM documents),
 k(rank, kind, pattern) AS (VALUES (1, 'assign', '{_ASSIGN}'), (2, 'access', 'AKIA[A-Z0-9]{{12,}}'), (3, 'hex', '[0-9a-f]{{32,}}'),
-  (4, 'secret', '[A-Za-z0-9+/=]{{40,}}'), (5, 'endpoint', 'https?://[^\x20\x09-\x0D"''<>]+')),
+  (4, 'secret', '[A-Za-z0-9+/]{{40,}}'), (5, 'endpoint', 'https?://[^\x20\x09-\x0D"''<>]+')),
 m AS (SELECT n, rank, kind, regexp_extract_all(text, pattern) AS own, string_split_regex(text, pattern) AS gap FROM d, k),
 p AS (SELECT *, unnest(generate_series(1, len(own))) AS i FROM m),
 s AS (
@@ -257,7 +257,8 @@ SELECT doc_id, n_shingles, component_id FROM n JOIN m ON m.a = doc_id
     "op3_source_mix": r"""
 WITH d AS (
   SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS size,
-    CAST('0x' || substr(md5(coalesce(CAST(doc_id AS VARCHAR), '')), 1, 15) AS BIGINT) AS h
+    CAST('0x' || substr(md5(coalesce(CAST(doc_id AS VARCHAR), '')), 1, 15) AS BIGINT) AS h,
+    CAST('0x' || substr(md5(coalesce(text, '')), 1, 15) AS BIGINT) AS g
   FROM documents
 ), s AS (
   SELECT source, CAST(sum(size) AS BIGINT) AS source_size,
@@ -274,13 +275,13 @@ WITH d AS (
   SELECT *, CASE WHEN source_size > 0 THEN CAST(floor(target / source_size) AS BIGINT) ELSE 0 END AS n FROM t
 ), b AS (
   SELECT d.doc_id, d.size, d.source, f.source_size, f.target, f.n, f.target - f.n * f.source_size AS budget,
-    sum(d.size) OVER (PARTITION BY d.source ORDER BY d.h) AS upto, sum(d.size) OVER (PARTITION BY d.source, d.h) AS tied
+    sum(d.size) OVER (PARTITION BY d.source ORDER BY d.h, d.g ROWS UNBOUNDED PRECEDING) AS upto
   FROM d JOIN f ON d.source IS NOT DISTINCT FROM f.source
 )
 SELECT doc_id, CAST(size AS BIGINT) AS size, source, source_size, target, copies, copies * size AS taken
 FROM (
   SELECT *, CASE WHEN size = 0 THEN 0
-    ELSE n + CASE WHEN upto <= budget OR 2 * (budget - (upto - tied)) > tied AND upto - tied <= budget THEN 1 ELSE 0 END END AS copies
+    ELSE n + CASE WHEN upto <= budget OR 2 * (budget - (upto - size)) > size AND upto - size <= budget THEN 1 ELSE 0 END END AS copies
   FROM b
 )
 """,
