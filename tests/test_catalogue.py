@@ -10,7 +10,7 @@ import __spark_entry__ as E
 from titlematch.plans.catalogue import ORACLE_SQL, QUERIES
 
 SF = "/root/testdata/sf0.001"
-TABLES = ["part", "pages", "events", "orders"]
+TABLES = ["part", "pages", "events", "orders", "lineitem"]
 
 
 def canon(rows, cols):
