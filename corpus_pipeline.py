@@ -50,8 +50,8 @@ STAGES = [
     ("packing", packing),
 ]
 
-#: The classifier's trained weights have no SQL form; the tests compare the
-#: stages with brute-force versions.
+#: The classifier's trained weights have no SQL form.  The tests compare the stages
+#: after it with brute-force versions, and its decisions with its own scores.
 ORACLE_SQL = None
 
 
