@@ -14,9 +14,11 @@ minimum only ``BITS`` low bits are kept and packed into ``SIG_LONGS`` longs.
    into components.
 4. Where a bucket still holds several components, what stands outside its
    largest one is compared with all its members, block by block inside tasks:
-   screened, confirmed, and only confirmed links leave a task.  So no pair of a
-   bucket is left untested unless its ends are already connected, and no list of
-   a bucket's pairs is ever made.
+   screened on signatures and band keys alone, then confirmed.  Only documents
+   that the screen lets meet another one in a block bring their texts there, and
+   only confirmed links leave a task.  So no pair of a bucket is left untested
+   unless its ends are already connected, and no list of a bucket's pairs is ever
+   made.
 
 A pair at exactly the threshold 0.8 shares none of 36 bands of 5 rows with
 probability (1 - 0.8^5)^36, below 1e-6.
@@ -175,10 +177,31 @@ def _confirmed(pairs: DataFrame, texts: DataFrame, words: int, percent: int) ->
     return both.mapInArrow(confirm, "a long, b long")
 
 
+def _candidates(left: pd.DataFrame, right: pd.DataFrame, percent: int) -> Iterator[tuple[int, np.ndarray]]:
+    """Places in ``left`` and, for each, those in ``right`` that have another label
+    and a band key in common and whose sizes and signatures allow the similarity."""
+    bands, sigs = np.stack(right["bands"]), right[_SIG].to_numpy().view(np.uint64)
+    lanes, per = np.uint64(int(("0" * (BITS - 1) + "1") * (64 // BITS), 2)), right["n_shingles"].to_numpy()
+    nodes, labels = right["node"].to_numpy(), right["label"].to_numpy()
+    outside = labels != right["_main"].to_numpy()
+    for i, u in enumerate(left.itertuples(index=False)):
+        x = sigs ^ np.array([getattr(u, s) for s in _SIG], dtype=np.int64).view(np.uint64)
+        spread = x.copy()
+        for k in range(1, BITS):
+            spread |= x >> np.uint64(k)
+        differ = np.bitwise_count(spread & lanes).sum(axis=1)
+        near = (1 - differ / HASHES - 2.0**-BITS) / (1 - 2.0**-BITS) >= percent / 100 - SLACK
+        near &= 100 * np.minimum(per, u.n_shingles) >= percent * np.maximum(per, u.n_shingles)
+        near &= (labels != u.label) & (~outside | (nodes > u.node))
+        found = np.flatnonzero(near)
+        found = found[(bands[found] == np.asarray(u.bands)).any(axis=1)]
+        if len(found):
+            yield i, found
+
+
 def _pairings(left: pd.DataFrame, right: pd.DataFrame, words: int, percent: int) -> list[tuple[int, int]]:
-    """Confirmed links between rows of ``left`` and of ``right`` with different
-    labels that share a band key.  A link joins its labels, and pairs of joined
-    labels are not looked at again."""
+    """Confirmed links between candidates of ``left`` and of ``right``.  A link
+    joins its labels, and pairs of joined labels are not looked at again."""
     parent: dict[int, int] = {}
 
     def root(x: int) -> int:
@@ -193,25 +216,15 @@ def _pairings(left: pd.DataFrame, right: pd.DataFrame, words: int, percent: int)
             sets[node] = shingle_sets(pa.array([text]), words)[0]
         return sets[node]
 
-    bands, sigs = np.stack(right["bands"]), right[_SIG].to_numpy().view(np.uint64)
-    lanes, per = np.uint64(int(("0" * (BITS - 1) + "1") * (64 // BITS), 2)), right["n_shingles"].to_numpy()
-    nodes, labels, texts = right["node"].to_numpy(), right["label"].to_numpy(), right["text"].tolist()
-    outside = labels != right["_main"].to_numpy()
+    own, nodes = left["node"].tolist(), right["node"].tolist()
+    own_label, labels = left["label"].tolist(), right["label"].tolist()
+    own_text, texts = left["text"].tolist(), right["text"].tolist()
     links = []
-    for u in left.itertuples(index=False):
-        x = sigs ^ np.array([getattr(u, s) for s in _SIG], dtype=np.int64).view(np.uint64)
-        spread = x.copy()
-        for k in range(1, BITS):
-            spread |= x >> np.uint64(k)
-        differ = np.bitwise_count(spread & lanes).sum(axis=1)
-        near = (1 - differ / HASHES - 2.0**-BITS) / (1 - 2.0**-BITS) >= percent / 100 - SLACK
-        near &= 100 * np.minimum(per, u.n_shingles) >= percent * np.maximum(per, u.n_shingles)
-        near &= (labels != u.label) & (~outside | (nodes > u.node))
-        for j in np.flatnonzero(near):
-            if root(u.label) != root(int(labels[j])) and (bands[j] == u.bands).any():
-                if alike(set_of(u.node, u.text), set_of(int(nodes[j]), texts[j]), percent):
-                    links.append((u.node, int(nodes[j])))
-                    parent[root(u.label)] = root(int(labels[j]))
+    for i, found in _candidates(left, right, percent):
+        for j in found.tolist():
+            if root(own_label[i]) != root(labels[j]) and alike(set_of(own[i], own_text[i]), set_of(nodes[j], texts[j]), percent):
+                links.append((own[i], nodes[j]))
+                parent[root(own_label[i])] = root(labels[j])
     return links
 
 
@@ -221,7 +234,9 @@ def _between(members: DataFrame, nodes: DataFrame, texts: DataFrame, words: int,
     ``members``: ``key, node, label``.  The buckets that hold several components
     are gathered by their main (largest) component.  What stands outside of it is
     compared with all members, in blocks of ``BLOCK`` by ``BLOCK`` documents, each
-    a group of its own; only confirmed links leave a block."""
+    a group of its own.  A block first screens signatures and tells which of its
+    documents have a candidate in it (no pairs); those come again with their texts,
+    and only confirmed links leave the block."""
     parts = members.groupBy("key", "label").agg(F.count(F.lit(1)).alias("_n"))
     main = parts.groupBy("key").agg(F.max(F.struct("_n", "label")).alias("_m"), F.count(F.lit(1)).alias("_parts"))
     main = staged(main.filter("_parts > 1").select("key", F.col("_m.label").alias("_main")), "near-mixed")
@@ -229,7 +244,7 @@ def _between(members: DataFrame, nodes: DataFrame, texts: DataFrame, words: int,
     sizes = gathered.groupBy("_main").agg(
         F.ceil(F.count(F.lit(1)) / BLOCK).alias("_right"), F.ceil(F.count(F.when(F.col("label") != F.col("_main"), 1)) / BLOCK).alias("_left")
     )
-    rows = gathered.join(staged(sizes, "near-sizes"), "_main").join(nodes.select("node", "n_shingles", "bands", *_SIG), "node").join(texts.withColumnRenamed("_text", "text"), "node")
+    rows = gathered.join(staged(sizes, "near-sizes"), "_main").join(nodes.select("node", "n_shingles", "bands", *_SIG), "node")
     rows = staged(rows, "near-block-rows")
     place = F.xxhash64("node")
     left = rows.filter("label <> _main").select(
@@ -238,10 +253,20 @@ def _between(members: DataFrame, nodes: DataFrame, texts: DataFrame, words: int,
     right = rows.select("*", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_left") - 1)).alias("_i"), F.pmod(place, "_right").alias("_j"))
     keys = ["_main", "_i", "_j"]
 
-    def compare(a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
-        return pd.DataFrame(_pairings(a, b, words, percent) if len(a) and len(b) else [], columns=["a", "b"], dtype=np.int64)
+    def screen(key: tuple, a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
+        found = list(_candidates(a, b, percent)) if len(a) and len(b) else []
+        asking = a["node"].to_numpy()[[i for i, _ in found]] if found else []
+        asked = b["node"].to_numpy()[np.unique(np.concatenate([j for _, j in found]))] if found else []
+        out = pd.DataFrame({"node": np.concatenate([asking, asked]).astype(np.int64), "_asks": np.arange(len(asking) + len(asked)) < len(asking)})
+        return out.assign(**dict(zip(keys, key, strict=True)))[[*keys, "node", "_asks"]]
+
+    def compare(both: pd.DataFrame) -> pd.DataFrame:
+        links = _pairings(both[both["_asks"]], both[~both["_asks"]], words, percent)
+        return pd.DataFrame(links, columns=["a", "b"], dtype=np.int64)
 
-    return left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInPandas(compare, "a long, b long")
+    wanted = left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInPandas(screen, "_main long, _i long, _j long, node long, _asks boolean")
+    wanted = staged(wanted, "near-wanted").join(rows.drop("_left", "_right"), ["_main", "node"])
+    return wanted.join(texts.withColumnRenamed("_text", "text"), "node").groupBy(*keys).applyInPandas(compare, "a long, b long")
 
 
 def near_links(docs: DataFrame, nodes: DataFrame, words: int, percent: int) -> DataFrame:
