@@ -34,16 +34,9 @@ def test_classes_in_small_blocks(spark, monkeypatch, block):
 
 
 def test_candidates_need_a_band_another_label_and_a_signature():
-    sig = dict.fromkeys(near_dedup._SIG, 0)
-    far = dict.fromkeys(near_dedup._SIG, -1)
-    left = pd.DataFrame([{"node": 1, "label": 1, "_main": 9, "n_shingles": 50, "bands": [1, 2], **sig}])
-    right = pd.DataFrame(
-        [
-            {"node": 2, "label": 9, "_main": 9, "n_shingles": 50, "bands": [1, 7], **sig},
-            {"node": 3, "label": 9, "_main": 9, "n_shingles": 50, "bands": [2, 1], **sig},
-            {"node": 4, "label": 1, "_main": 9, "n_shingles": 50, "bands": [1, 2], **sig},
-            {"node": 5, "label": 9, "_main": 9, "n_shingles": 50, "bands": [1, 2], **far},
-            {"node": 6, "label": 9, "_main": 9, "n_shingles": 20, "bands": [1, 2], **sig},
-        ]
-    )
+    def row(node, label, size, lanes, *bands):
+        return {"node": node, "label": label, "_main": 9, "n_shingles": size, "marks": [lanes] * near_dedup.SIG_LONGS + list(bands)}
+
+    left = pd.DataFrame([row(1, 1, 50, 0, 1, 2)])
+    right = pd.DataFrame([row(2, 9, 50, 0, 1, 7), row(3, 9, 50, 0, 2, 1), row(4, 1, 50, 0, 1, 2), row(5, 9, 50, -1, 1, 2), row(6, 9, 20, 0, 1, 2)])
     assert [(i, j.tolist()) for i, j in near_dedup._candidates(left, right, 80)] == [(0, [0])]

@@ -179,22 +179,26 @@ def _confirmed(pairs: DataFrame, texts: DataFrame, words: int, percent: int) ->
 
 def _candidates(left: pd.DataFrame, right: pd.DataFrame, percent: int) -> Iterator[tuple[int, np.ndarray]]:
     """Places in ``left`` and, for each, those in ``right`` that have another label
-    and a band key in common and whose sizes and signatures allow the similarity."""
-    bands, sigs = np.stack(right["bands"]), right[_SIG].to_numpy().view(np.uint64)
+    and a band key in common and whose sizes and signatures allow the similarity.
+    ``marks`` holds a document's signature, then its band keys."""
+    own, marks = (np.stack(side["marks"].to_numpy()).astype(np.int64) for side in (left, right))
+    bands, sigs = marks[:, SIG_LONGS:], marks[:, :SIG_LONGS].view(np.uint64)
+    own_bands, own_sigs = own[:, SIG_LONGS:], own[:, :SIG_LONGS].view(np.uint64)
     lanes, per = np.uint64(int(("0" * (BITS - 1) + "1") * (64 // BITS), 2)), right["n_shingles"].to_numpy()
     nodes, labels = right["node"].to_numpy(), right["label"].to_numpy()
     outside = labels != right["_main"].to_numpy()
-    for i, u in enumerate(left.itertuples(index=False)):
-        x = sigs ^ np.array([getattr(u, s) for s in _SIG], dtype=np.int64).view(np.uint64)
+    asking = zip(left["node"].tolist(), left["label"].tolist(), left["n_shingles"].tolist(), strict=True)
+    for i, (node, label, size) in enumerate(asking):
+        x = sigs ^ own_sigs[i]
         spread = x.copy()
         for k in range(1, BITS):
             spread |= x >> np.uint64(k)
         differ = np.bitwise_count(spread & lanes).sum(axis=1)
         near = (1 - differ / HASHES - 2.0**-BITS) / (1 - 2.0**-BITS) >= percent / 100 - SLACK
-        near &= 100 * np.minimum(per, u.n_shingles) >= percent * np.maximum(per, u.n_shingles)
-        near &= (labels != u.label) & (~outside | (nodes > u.node))
+        near &= 100 * np.minimum(per, size) >= percent * np.maximum(per, size)
+        near &= (labels != label) & (~outside | (nodes > node))
         found = np.flatnonzero(near)
-        found = found[(bands[found] == np.asarray(u.bands)).any(axis=1)]
+        found = found[(bands[found] == own_bands[i]).any(axis=1)]
         if len(found):
             yield i, found
 
@@ -244,7 +248,8 @@ def _between(members: DataFrame, nodes: DataFrame, texts: DataFrame, words: int,
     sizes = gathered.groupBy("_main").agg(
         F.ceil(F.count(F.lit(1)) / BLOCK).alias("_right"), F.ceil(F.count(F.when(F.col("label") != F.col("_main"), 1)) / BLOCK).alias("_left")
     )
-    rows = gathered.join(staged(sizes, "near-sizes"), "_main").join(nodes.select("node", "n_shingles", "bands", *_SIG), "node")
+    marks = F.concat(F.array(*_SIG), "bands")  # one column: blocks are many, and their cost is by column
+    rows = gathered.join(staged(sizes, "near-sizes"), "_main").join(nodes.select("node", "n_shingles", marks.alias("marks")), "node")
     rows = staged(rows, "near-block-rows")
     place = F.xxhash64("node")
     left = rows.filter("label <> _main").select(
