@@ -5,7 +5,8 @@ every path from a root to a node is a conjunction of comparisons, a rule.  A
 lasso logistic regression over the rules keeps a few of them, and those are
 compiled back into one Column expression, so scoring is a plain projection over
 the documents.  Both fits are distributed; only trees and weights, whose size
-the parameters below fix, come to the driver.
+the parameters below fix, come to the driver.  They use at most about ``SAMPLE``
+labelled documents, picked by a hash of the id.
 """
 
 from __future__ import annotations
@@ -21,9 +22,11 @@ from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from titlematch.llm.base import staged, text_of, word_count
+from titlematch.llm.base import few, staged, text_of, word_count
 
 TREES, DEPTH, SEED = 24, 3, 11
+#: Labelled documents that are learnt from.
+SAMPLE = 200_000
 LASSO, STEPS = 0.0005, 60
 STATISTICS = [
     "words",
@@ -161,11 +164,20 @@ def described(docs: DataFrame) -> DataFrame:
     return counted.select("doc_id", *[made[name].alias(name) for name in STATISTICS])
 
 
-def train(stats: DataFrame, labels: DataFrame, folds: int = FOLDS, held_out: int = HELD_OUT) -> RuleModel:
-    """Learns from labels whose fold is not the held-out one; null labels are
-    skipped."""
+def learnt(labels: DataFrame, folds: int = FOLDS, held_out: int = HELD_OUT) -> DataFrame:
+    """``_id, label`` of what is learnt from: labels whose fold is not the held-out
+    one, about ``SAMPLE`` of them if there are more.  Null labels are skipped."""
     known = labels.filter(F.col("quality").isin(0, 1) & (fold_of(F.col("doc_id"), folds) != held_out))
-    known = known.select(F.col("doc_id").alias("_id"), F.col("quality").cast("double").alias("label"))
+    share = min(1.0, SAMPLE / max(known.count(), 1))
+    place = F.xxhash64("doc_id").bitwiseAND(F.lit((1 << 30) - 1))
+    return known.filter(place < int(share * (1 << 30))).select(
+        F.col("doc_id").alias("_id"), F.col("quality").cast("double").alias("label")
+    )
+
+
+def train(stats: DataFrame, labels: DataFrame, folds: int = FOLDS, held_out: int = HELD_OUT) -> RuleModel:
+    """Learns from the ``learnt`` labels."""
+    known = few(learnt(labels, folds, held_out))
     rows = stats.join(known, F.col("doc_id") == F.col("_id")).select("label", *STATISTICS)
     return fit(staged(rows, "quality-rows"))
 
@@ -186,8 +198,10 @@ def quality_scores(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def accepted(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """The documents with a score of 0.5 or more, all their columns."""
-    model = train(staged(described(docs), "quality-statistics"), labels)
+    """The documents with a score of 0.5 or more, all their columns.  Texts are
+    counted once for the scores, and those that are learnt from once before."""
+    own = docs.select("doc_id", "text").join(few(learnt(labels).select("_id")), F.col("doc_id") == F.col("_id"), "left_semi")
+    model = train(staged(described(own), "quality-statistics"), labels)
     # as a lambda's argument the counts are taken once a row; as columns under a
     # filter they would be pulled into every rule
 

@@ -4,9 +4,8 @@ Training uses a bounded sample of labelled documents (``SAMPLE`` of them, picked
 by a hash of the id) from the folds that are not held out, in two parts:
 
 * The larger part counts, per word and per word prefix, the toxic and the clean
-  documents it stands in.  Those that lean to toxic documents make the lexicon
-  (at most ``LEXICON`` entries); how strongly and how often is their evidence
-  class.  A token enters the CRF as the class of its word, or else the best
+  documents it stands in.  All that lean to toxic documents make the lexicon; how
+  strongly and how often is their evidence class.  A token enters the CRF as the class of its word, or else the best
   class of its prefixes, or else class 0.
 * The other part labels tokens: tokens with evidence in toxic documents are
   offending, all tokens of clean documents are not.  The CRF is fitted to
@@ -33,22 +32,22 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from titlematch.llm.base import text_of
+from titlematch.llm.base import staged, text_of
 from titlematch.llm.crf import Crf, fit_logistic
 from titlematch.llm.quality import fold_of
 from titlematch.llm.tokens import slices
 
 FOLDS, HELD_OUT = 5, 0
-#: Bounds of what is trained on and of the model.
-SAMPLE, LEXICON, WINDOWS, LEAST = 60_000, 60_000, 8_000, 3
+#: Bounds of what is trained on; toxic documents a feature of the lexicon needs.
+SAMPLE, WINDOWS, LEAST = 60_000, 8_000, 3
 #: One document in this many trains the CRF, the others the lexicon.
 SPLIT = 4
 PREFIXES = (5, 7)
 WINDOW = 64
 LEVELS = 9
 CLASSES = 1 + 2 * LEVELS
-#: Words a worker remembers the class of, and features a task counts at once.
-KNOWN, COUNTED = 1_000_000, 400_000
+#: Words a worker remembers the class of, their longest, and features a task counts at once.
+KNOWN, LONGEST, COUNTED = 1_000_000, 64, 400_000
 _EDGES = "".join(chr(c) for c in range(33, 127) if not chr(c).isalnum()) + "«»“”‘’…¡¿"
 _TOKEN = re.compile(r"\S+")
 
@@ -86,14 +85,18 @@ class ToxicModel:
     def classes(self, text: str) -> tuple[np.ndarray, list[int]]:
         """The class of every token; the indices of tokens with evidence that
         only repeat the token before."""
-        if len(self._known) > KNOWN:
-            self._known.clear()
         known, parts, again, at = self._known, [], [], 0
         for part in slices(text):
+            if len(known) > KNOWN:
+                known.clear()
             tokens = part.split()
-            for t in set(tokens).difference(known):
+            new = set(tokens).difference(known)
+            for t in new:
                 known[t] = self.class_of(t)
             parts.append(np.fromiter(map(known.__getitem__, tokens), np.uint8, len(tokens)))
+            for t in new:
+                if len(t) > LONGEST:
+                    del known[t]
             again += [at + i for i in np.flatnonzero(parts[-1]).tolist() if i and tokens[i] == tokens[i - 1]]
             at += len(tokens)
         return np.concatenate(parts), again
@@ -190,12 +193,12 @@ def train(docs: DataFrame, labels: DataFrame) -> ToxicModel:
     sample = _sample(docs, labels)
     counted = sample.filter("part <> 0").select("text", "toxic").mapInArrow(_count, "feature string, clean long, toxic long")
     counted = counted.groupBy("feature").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))
-    leaning = F.log((F.col("toxic") + 0.5) / (F.col("clean") + 0.5))
-    top = counted.filter((F.col("toxic") >= LEAST) | (F.col("feature") == "")).orderBy(
-        (F.col("feature") == "").desc(), (leaning * F.sqrt("toxic")).desc(), "feature"
-    ).limit(LEXICON + 1).collect()
-    totals = next(((r.toxic, r.clean) for r in top if r.feature == ""), (0, 0))
-    lexicon = {r.feature: c for r in top if r.feature and (c := evidence(r.toxic, r.clean, *totals))}
+    counted = staged(counted.filter((F.col("toxic") >= LEAST) | (F.col("feature") == "")), "toxic-features")
+    totals = next(((r.toxic, r.clean) for r in counted.filter("feature = ''").collect()), (0, 0))
+    # a little below where ``evidence`` begins; as many as the sample's words allow
+    odds = F.log((F.col("toxic") + 0.5) / (totals[0] + 1)) - F.log((F.col("clean") + 0.5) / (totals[1] + 1))
+    leaning = counted.filter((F.col("feature") != "") & (odds >= 0.999)).collect()
+    lexicon = {r.feature: c for r in leaning if (c := evidence(r.toxic, r.clean, *totals))}
     model = ToxicModel(lexicon, Crf.fit(np.zeros((0, WINDOW), np.uint8), np.zeros((0, WINDOW), np.int64), CLASSES), np.zeros(5))
 
     def windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
