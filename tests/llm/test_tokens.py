@@ -13,7 +13,7 @@ from titlematch.llm.tokens import Encoder, bare, default_path, id_bytes, slices,
 
 CASES = {"byte_bpe_50k.json": (spaced, False), "word_bpe_49k.json": (bare, True)}
 ODD = list(" \n\t\r\x0b\x0c\x1c\x1f\x85\xa0\u1680\u2003\u2028\u3000\u200b\u0301'!") + [
-    "a", "B", "é", "É", "ß", "İ", "7", "٣", "!", "###", ",", "'s", "don't", "<|endoftext|>", "<|startoftext|>", "word", "Tokens", "日本", "😀", "api_key",
+    "a", "B", "é", "É", "ß", "İ", "7", "٣", "!", "###", ",", "'s", "don't", "DON'T", "<|endoftext|>", "<|startoftext|>", "<|STARTOFTEXT|>", "<|EndOfText|>", "word", "Tokens", "日本", "😀", "api_key",
 ]
 
 

@@ -16,10 +16,9 @@ from __future__ import annotations
 
 import os
 import re
+import struct
 from collections.abc import Callable, Iterator
 
-import numpy as np
-
 # Unicode's White_Space, which the tokenizers' patterns call \s
 SPACE = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 _SPACED = re.compile(f"[{SPACE}]*[^{SPACE}]+|[{SPACE}]+")
@@ -74,16 +73,18 @@ class _Known(dict):
     """Values of units, asked for when first met.  Two generations bound it: a
     full dictionary becomes the old one, and what is met again moves over."""
 
-    def __init__(self, ask: Callable[[str], object], lower: bool):
+    def __init__(self, ask: Callable[[str], object], lowered: Callable[[str], str]):
         super().__init__()
-        self.ask, self.lower, self.old = ask, lower, {}
+        self.ask, self.lowered, self.old = ask, lowered, {}
 
     def __missing__(self, unit: str):
         value = self.old.get(unit)
         if value is None:
-            if m := _LETTERS_MARKS.match(unit):
+            if unit.isalpha():
+                value = self.ask(unit)
+            elif m := _LETTERS_MARKS.match(unit):
                 value = self[m[1]] + self[m[2]]
-            elif self.lower and unit.isascii() and (small := unit.lower()) != unit:
+            elif (small := self.lowered(unit)) != unit:
                 value = self[small]
             else:
                 value = self.ask(unit)
@@ -106,8 +107,18 @@ class Encoder:
 
         self.library = Tokenizer.from_file(path)
         self.model = self.library.model
+        self.special = [t.content.lower() for t in self.library.get_added_tokens_decoder().values()]
         self.units, self.value, self.lower = units, value, lower
-        self.known = _Known(self._ask, lower)
+        self.known = _Known(self._ask, self.lowered)
+
+    def lowered(self, text: str) -> str:
+        """ASCII text in lower case if the tokenizer lower-cases, so that fewer units
+        differ.  The library looks for special strings before it lower-cases, so text
+        that has or would get one stays as it is."""
+        if not self.lower or not text.isascii():
+            return text
+        small = text.lower()
+        return text if any(s in small for s in self.special) else small
 
     def _ask(self, unit: str):
         """The value of a unit by the library.  A word of Latin letters (maybe
@@ -115,15 +126,17 @@ class Encoder:
         splitting, and its normaliser does no more than lower-case it; such a word
         is asked of the library's model directly, written in byte-level signs."""
         word = unit[1:] if not self.lower and unit[:1] == " " else unit
-        if word.isalpha() and max(word) < _LATIN_END and _DOTTED not in word:
-            piece = (unit.lower() if self.lower else unit).encode().decode("latin-1").translate(_BYTE_SIGNS)
+        if word.isalpha() and (word.isascii() or (max(word) < _LATIN_END and _DOTTED not in word)):
+            piece = unit.lower() if self.lower else unit
+            if word is not unit or not word.isascii():
+                piece = piece.encode().decode("latin-1").translate(_BYTE_SIGNS)
             return self.value([t.id for t in self.model.tokenize(piece)])
         return self.value(self.library.encode(unit, add_special_tokens=False).ids)
 
     def values(self, text: str) -> list:
         """The values of the text's units."""
         self.known.turn()
-        return list(map(self.known.__getitem__, self.units(text)))
+        return list(map(self.known.__getitem__, self.units(self.lowered(text))))
 
     def each(self, texts: list[str], join: Callable) -> Iterator:
         """``join`` of the values of each text; a very long text goes in parts."""
@@ -135,7 +148,7 @@ class Encoder:
 
 
 def id_bytes(ids: list[int]) -> bytes:
-    return np.asarray(ids, dtype="<u4").tobytes()
+    return struct.pack(f"<{len(ids)}I", *ids)
 
 
 _ENCODERS: dict[tuple, Encoder] = {}
