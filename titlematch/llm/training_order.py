@@ -35,6 +35,7 @@ from pyspark.sql import functions as F
 
 from titlematch.llm.base import new_folder, staged, text_of
 from titlematch.llm.tokens import bare, default_path, encoder
+from titlematch.staging import scope
 
 SEQUENCE, SHARD = 512, 1 << 14
 VOCABULARY = "word_bpe_49k.json"
@@ -76,9 +77,8 @@ def permuted(numbers: np.ndarray, n: int, key: int = KEY) -> np.ndarray:
 
 
 def short_ids(ids: list[int]) -> bytes:
-    if ids and max(ids) >= 1 << 16:
-        raise ValueError("the vocabulary has ids over 65535")
-    return np.asarray(ids, dtype="<u2").tobytes()
+    """Raises ``struct.error`` for ids over 65535."""
+    return struct.pack(f"<{len(ids)}H", *ids)
 
 
 def sequences(docs: DataFrame, sequence: int = SEQUENCE, vocabulary: str | None = None) -> DataFrame:
@@ -143,6 +143,11 @@ def materialise(
     as they occur; a null id is written as the smallest long (beside the shards,
     as null).  An empty table writes no shard.  Only ``doc_id`` and ``text`` are read.
     """
+    with scope(docs.sparkSession):  # the staged ids go once the shards are written
+        return _written(docs, path, key, sequence, shard, vocabulary)
+
+
+def _written(docs: DataFrame, path: str, key: int, sequence: int, shard: int, vocabulary: str | None) -> int:
     # written once, so that the numbers hold however often a task is run again
     rows = staged(sequences(docs, sequence, vocabulary).withColumn("_at", F.monotonically_increasing_id()), "order-tokens")
     part, place = F.shiftrightunsigned("_at", 33), F.col("_at").bitwiseAND(F.lit((1 << 33) - 1))
