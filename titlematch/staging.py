@@ -53,10 +53,10 @@ def new_folder(spark: SparkSession, name: str) -> str:
     return path
 
 
-def staged(df: DataFrame, name: str, partition_by: tuple[str, ...] = ()) -> DataFrame:
-    """``df`` written as Parquet in a new folder and read back."""
+def staged(df: DataFrame, name: str, partition_by: tuple[str, ...] = (), options: dict[str, str] | None = None) -> DataFrame:
+    """``df`` written as Parquet (with the writer's ``options``) in a new folder and read back."""
     path = new_folder(df.sparkSession, name)
-    df.write.option("compression", "zstd").partitionBy(*partition_by).parquet(path)
+    df.write.options(compression="zstd", **(options or {})).partitionBy(*partition_by).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
