@@ -45,6 +45,8 @@ HEADER_SIZE = struct.calcsize(HEADER)
 NO_ID = -(1 << 63)
 DOCUMENTS = "array<struct<doc_id:long,start:long,offset:int>>"
 BEGUN = "array<struct<doc_id:long,offset:int>>"
+#: The staged ids lie beside the shards until those are written: pages of 8 MB, a higher level.
+STAGING = {"parquet.page.size": str(8 << 20), "parquet.page.row.count.limit": "1000000", "parquet.compression.codec.zstd.level": "6"}
 
 
 def stride(sequence: int = SEQUENCE) -> int:
@@ -149,7 +151,7 @@ def materialise(
 
 def _written(docs: DataFrame, path: str, key: int, sequence: int, shard: int, vocabulary: str | None) -> int:
     # written once, so that the numbers hold however often a task is run again
-    rows = staged(sequences(docs, sequence, vocabulary).withColumn("_at", F.monotonically_increasing_id()), "order-tokens")
+    rows = staged(sequences(docs, sequence, vocabulary).withColumn("_at", F.monotonically_increasing_id()), "order-tokens", options=STAGING)
     part, place = F.shiftrightunsigned("_at", 33), F.col("_at").bitwiseAND(F.lit((1 << 33) - 1))
     sizes = sorted(tuple(r) for r in rows.groupBy(part.alias("part")).count().collect())  # a row a partition
     n = sum(size for _, size in sizes)
