@@ -32,7 +32,7 @@ _LATIN_END, _DOTTED = "\u0250", "\u0130"
 _VISIBLE = {*range(33, 127), *range(161, 173), *range(174, 256)}
 _BYTE_SIGNS = dict(zip([b for b in range(256) if b not in _VISIBLE], range(256, 512), strict=False))
 #: Units a generation remembers, and the longest remembered unit.
-KNOWN, LONGEST = 500_000, 64
+KNOWN, LONGEST = 300_000, 64
 #: Texts are cut into units this many characters at a time.
 SLICE = 1 << 20
 
