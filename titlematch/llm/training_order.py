@@ -8,7 +8,7 @@ that holds N; values of N or more walk the cycle until they fall below it, so th
 numbers are permuted among themselves and each sequence has one global slot.  No
 slot is looked up or sorted for: it is computed from the number and the key.
 
-Slots are dealt to shards of ``SHARD`` records by range, sorted, and written by
+Slots are dealt to shards of ``SHARD`` records by range (a partition a shard), sorted, and written by
 Spark as files of fixed-stride records: slot s is record ``s % SHARD`` of shard
 ``s // SHARD``, at byte ``(s % SHARD) * STRIDE``.  A reader resumes at any slot by
 that arithmetic, and reads on sequentially.
@@ -40,6 +40,8 @@ from titlematch.staging import scope
 SEQUENCE, SHARD = 512, 1 << 14
 VOCABULARY = "word_bpe_49k.json"
 END, KEY, ROUNDS = 0, 20240817, 6
+#: Sequences of one batch of a task's output, at most.
+BLOCK = 1 << 16
 HEADER = "<Hqq"
 HEADER_SIZE = struct.calcsize(HEADER)
 NO_ID = -(1 << 63)
@@ -83,6 +85,22 @@ def short_ids(ids: list[int]) -> bytes:
     return struct.pack(f"<{len(ids)}H", *ids)
 
 
+def _cut(data: memoryview, names: pa.Array, begins: np.ndarray, sequence: int) -> pa.RecordBatch:
+    """The sequences of ``data``, ids of documents one after the other; document i
+    is ``names[i]`` and begins ``begins[i]`` ids from the first (which may be before it)."""
+    total = len(data) // 2
+    bounds = np.append(np.arange(0, total, sequence), total)
+    first = np.searchsorted(begins, bounds[:-1], "right") - 1
+    inside = np.flatnonzero((begins > 0) & (begins < total) & (begins % sequence != 0))
+    fields = [names.take(pa.array(inside)), pa.array((begins[inside] % sequence).astype(np.int32))]
+    ends = pa.array(np.searchsorted(begins[inside], bounds).astype(np.int32))
+    begun = pa.ListArray.from_arrays(ends, pa.StructArray.from_arrays(fields, names=["doc_id", "offset"]))
+    offsets = pa.py_buffer((2 * bounds).astype(np.int32))
+    ids = pa.Array.from_buffers(pa.binary(), len(bounds) - 1, [None, offsets, pa.py_buffer(data)])
+    columns = [names.take(pa.array(first)), pa.array(bounds[:-1] - begins[first]), pa.array(np.diff(bounds).astype(np.int32)), ids, begun]
+    return pa.RecordBatch.from_arrays(columns, names=["doc_id", "start", "length", "ids", "begun"])
+
+
 def sequences(docs: DataFrame, sequence: int = SEQUENCE, vocabulary: str | None = None) -> DataFrame:
     """``doc_id, start, length, ids, begun``: the documents' ids and end ids, cut
     into sequences; whose the first id is and where in it it stands, and the
@@ -92,33 +110,22 @@ def sequences(docs: DataFrame, sequence: int = SEQUENCE, vocabulary: str | None
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = encoder(path, bare, short_ids, lower=True)
-        held, inside = b"", []  # the open sequence, and the documents in it
-
-        def out(rows: list) -> pa.RecordBatch:
-            listed, lengths, ids = zip(*rows, strict=True) if rows else [()] * 3
-            first = [(own[0][0], own[0][1]) for own in listed]
-            flat = [(doc_id, offset) for own in listed for doc_id, _, offset in own[1:]]
-            ends = np.cumsum([0, *(len(own) - 1 for own in listed)]).astype(np.int32)
-            fields = [pa.array([d[i] for d in flat], t) for i, t in enumerate((pa.int64(), pa.int32()))]
-            begun = pa.ListArray.from_arrays(pa.array(ends), pa.StructArray.from_arrays(fields, names=["doc_id", "offset"]))
-            arrays = [pa.array([f[0] for f in first], pa.int64()), pa.array([f[1] for f in first], pa.int64()), pa.array(lengths, pa.int32()), pa.array(ids, pa.binary())]
-            return pa.RecordBatch.from_arrays([*arrays, begun], names=["doc_id", "start", "length", "ids", "begun"])
-
+        # the open sequence, and the documents in it: their ids, and where from its beginning they begin
+        held, names, begins = b"", pa.array([], pa.int64()), np.zeros(0, np.int64)
         for batch in batches:
             for at in range(0, batch.num_rows, 1000):
-                part, rows = batch.slice(at, 1000), []
-                for doc_id, data in zip(part.column("doc_id").to_pylist(), encode.each(part.column("text").to_pylist(), b"".join), strict=True):
-                    short, a = data + end, 0
-                    while a < len(short):
-                        inside.append((doc_id, a // 2, len(held) // 2))
-                        taken = short[a : a + size - len(held)]
-                        held, a = held + taken, a + len(taken)
-                        if len(held) == size:
-                            rows.append((inside, sequence, held))
-                            held, inside = b"", []
-                yield out(rows)
+                part = batch.slice(at, 1000)
+                streams = [data + end for data in encode.each(part.column("text").to_pylist(), b"".join)]
+                own = np.cumsum([len(held), *map(len, streams)])[:-1] // 2
+                names, begins = pa.concat_arrays([names, part.column("doc_id")]), np.append(begins, own)
+                data = memoryview(b"".join([held, *streams]))
+                n = len(data) // size
+                for k in range(0, n, BLOCK):
+                    yield _cut(data[k * size : min(n, k + BLOCK) * size], names, begins - k * sequence, sequence)
+                first = np.searchsorted(begins, n * sequence, "right") - 1
+                held, names, begins = bytes(data[n * size :]), names.slice(first), begins[first:] - n * sequence
         if held:
-            yield out([(inside, len(held) // 2, held)])
+            yield _cut(memoryview(held), names, begins, sequence)
 
     rows = docs.select(F.col("doc_id").cast("long"), text_of().alias("text"))
     return rows.mapInArrow(cut, f"doc_id long, start long, length int, ids binary, begun {BEGUN}")
@@ -169,8 +176,8 @@ def _written(docs: DataFrame, path: str, key: int, sequence: int, shard: int, vo
     record = F.rpad(F.col("record"), stride(sequence) - 1, F.lit(b"\0"))
     dealt = rows.select(slot(part, place).alias("_slot"), F.concat(header, F.col("ids")).alias("record"))
     (
-        dealt.repartitionByRange(-(-n // shard), F.floor(F.col("_slot") / shard))
-        .withColumn("shard", F.floor(F.col("_slot") / shard))
+        dealt.withColumn("shard", F.floor(F.col("_slot") / shard))
+        .repartitionById(-(-n // shard), F.col("shard").cast("int"))
         .sortWithinPartitions("shard", "_slot")
         .select(record.cast("string").alias("value"), "shard")
         .write.partitionBy("shard")
