@@ -31,8 +31,9 @@ _LATIN_END, _DOTTED = "\u0250", "\u0130"
 # is visible, and the others, in order, from 256 on.
 _VISIBLE = {*range(33, 127), *range(161, 173), *range(174, 256)}
 _BYTE_SIGNS = dict(zip([b for b in range(256) if b not in _VISIBLE], range(256, 512), strict=False))
-#: Units a generation remembers, and the longest remembered unit.
-KNOWN, LONGEST = 300_000, 64
+#: Units a generation remembers, and the longest remembered unit, without and with
+#: marks (long words with marks seldom recur, and their parts are remembered).
+KNOWN, LONGEST, LONGEST_MARKED = 400_000, 64, 8
 #: Texts are cut into units this many characters at a time.
 SLICE = 1 << 20
 
@@ -84,6 +85,8 @@ class _Known(dict):
                 value = self.ask(unit)
             elif m := _LETTERS_MARKS.match(unit):
                 value = self[m[1]] + self[m[2]]
+                if len(unit) > LONGEST_MARKED:
+                    return value
             elif (small := self.lowered(unit)) != unit:
                 value = self[small]
             else:
