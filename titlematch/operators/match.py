@@ -34,6 +34,7 @@ Two physical forms:
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import reduce
@@ -418,6 +419,101 @@ def tiered_match_colocated(
     return out.select(*output_columns) if output_columns else out
 
 
+# Pairs a task of a dealt join gives out, about; inputs with fewer pairs are joined plainly.
+PAIRS_PER_TASK = 4_000_000
+MOST_TASKS = 20_000  # with more pairs than that takes, tasks get larger
+
+
+@dataclass(frozen=True)
+class Dealing:
+    """How many tasks a join is dealt to, and the key values with more pairs than a
+    fourth of a task's: ``(key values.., left pieces, right pieces)``."""
+
+    tasks: int
+    heavy: tuple[tuple, ...] = ()
+
+
+def deal_pairs(left: DataFrame, right: DataFrame, keys: Sequence[str], pairs_per_task: int = PAIRS_PER_TASK) -> Dealing:
+    """Counts the pairs of an equi-join on ``keys`` from both sides' rows a key value.
+
+    Reads only the keys, twice if there is more than a task's work.  At most four
+    key values a task can be heavy, so what is collected is small by its rule.
+    ``left`` may have more rows than the join will see (an upper bound).
+    """
+    sides = [
+        left.select(*keys, F.lit(1).alias("__l"), F.lit(0).alias("__r")),
+        right.dropna(subset=list(keys)).select(*keys, F.lit(0).alias("__l"), F.lit(1).alias("__r")),
+    ]
+    counts = sides[0].union(sides[1]).groupBy(*keys).agg(F.sum("__l").alias("__l"), F.sum("__r").alias("__r"))
+    # as double: the pairs of one key value can pass a long
+    work = F.col("__l").cast("double") * F.col("__r") + F.col("__l") + F.col("__r")
+    total = counts.agg(F.sum(work)).first()[0] or 0.0
+    tasks = min(math.ceil(total / pairs_per_task), MOST_TASKS)
+    if tasks <= 1:
+        return Dealing(1)
+    cell = total / tasks / 4
+    heavy = counts.filter(work > cell).dropna(subset=list(keys)).select(*keys, "__l", "__r", work.alias("__work"))
+    return Dealing(tasks, tuple((*r[: len(keys)], *_pieces(r["__l"], r["__r"], math.ceil(r["__work"] / cell))) for r in heavy.collect()))
+
+
+def _pieces(n_left: int, n_right: int, cells: int) -> tuple[int, int]:
+    """Into how many pieces each side of a key value is cut: about ``cells`` cells as
+    square as they can be, which repeats the fewest rows; no more pieces than rows."""
+    if not n_left or not n_right:
+        return (cells, 1) if n_left else (1, cells)
+    a = min(n_left, max(1, round(math.sqrt(cells * n_left / n_right))))
+    b = min(n_right, math.ceil(cells / a))
+    return min(n_left, math.ceil(cells / b)), b
+
+
+def dealt_join(
+    left: DataFrame, right: DataFrame, keys: Sequence[str], how: str, dealing: Dealing, row: Column | None = None
+) -> DataFrame:
+    """``left.join(right, keys, how)`` (inner or left), dealt to tasks by pairs.
+
+    A plain equi-join has as many tasks as its input has files or megabytes; where
+    few rows make very many pairs, one task gives out most of them.  Here key values
+    with many pairs are cut into cells (a piece of the left rows with a piece of the
+    right rows, each pair in one cell) and both sides are laid out by key and cell in
+    ``dealing.tasks`` partitions, which AQE leaves as they are.
+
+    ``row`` deals the left rows; a row id taken at the scan unless given.  Give a hash
+    of the columns when the rows are distinct and come out of a shuffle, so that a
+    recomputed task deals them alike.
+    """
+    if dealing.tasks <= 1:
+        return left.join(right, list(keys), how)
+    columns = [*keys, *[c for c in left.columns if c not in keys], *[c for c in right.columns if c not in keys]]
+    types = ", ".join(f"`{k}` {left.schema[k].dataType.simpleString()}" for k in keys)
+    marks = F.broadcast(left.sparkSession.createDataFrame(list(dealing.heavy), f"{types}, __a int, __b int"))
+    scan_row = F.xxhash64(F.monotonically_increasing_id())
+    one = F.lit(1)
+
+    def side(df: DataFrame, number: Column) -> DataFrame:
+        df = df.withColumn("__row", number).join(marks, list(keys), "left")
+        return df.withColumns({"__a": F.coalesce("__a", one), "__b": F.coalesce("__b", one)})
+
+    def piece(pieces: Column) -> Column:
+        return F.pmod(F.col("__row"), pieces).cast("int")
+
+    def each(pieces: str) -> Column:
+        return F.explode(F.sequence(F.lit(0), F.col(pieces) - 1))
+
+    # left rows with a NULL key meet nothing and are spread over all tasks
+    null_key = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
+    mine = side(left, scan_row if row is None else row)
+    mine = mine.withColumn("__i", piece(F.when(null_key, F.lit(dealing.tasks)).otherwise(F.col("__a")))).withColumn("__j", each("__b"))
+    theirs = side(right.dropna(subset=list(keys)), scan_row)
+    theirs = theirs.withColumn("__j", piece(F.col("__b"))).withColumn("__i", each("__a"))
+    on = [*keys, "__i", "__j"]
+    theirs = theirs.drop("__row", "__a", "__b").withColumn("__hit", F.lit(True))
+    out = mine.drop("__row", "__a").repartition(dealing.tasks, *on).join(theirs.repartition(dealing.tasks, *on), on, how)
+    if how == "left":
+        # a key value with several right pieces has matches; a copy that met an empty piece is none
+        out = out.filter((F.col("__b") == 1) | F.col("__hit").isNotNull())
+    return out.select(*columns)
+
+
 def tiered_match_except(
     left: DataFrame,
     right: DataFrame,

@@ -18,7 +18,14 @@ from pyspark.sql import types as T
 from titlematch import columns as C
 from titlematch.functions.json import parse_json
 from titlematch.functions.text import ARTICLE_URL_PATTERN, clean_title
-from titlematch.operators.match import FILM_TIERS, heavy_keys, tiered_match, tiered_match_except
+from titlematch.operators.match import (
+    FILM_TIERS,
+    deal_pairs,
+    dealt_join,
+    heavy_keys,
+    tiered_match,
+    tiered_match_except,
+)
 from titlematch.operators.rank import distinct_values, explode_column, numbered, top_exploded, top_k, top_k_wide
 from titlematch.operators.transforms import add_year, cast_columns, filter_all, pluck, rename, subset
 from titlematch.operators.urls import parse_article_url
@@ -178,8 +185,10 @@ def _tier_join(spark, sf, tier_no: int, how: str):
     a = a.filter(F.expr(t.right_filter))
     if C.YEAR not in t.keys:
         a = a.drop(C.YEAR)
-    out = m.join(a, list(t.keys), how)
-    return flat(out.select(*C.OUTPUT_COLUMNS))
+    a = staged(a, "tier-articles")  # read by the counts of pairs, too; their URLs are parsed once
+    # lists become text once a movie, not once a pair
+    out = dealt_join(flat(m), a, t.keys, how, deal_pairs(m, a, t.keys))
+    return out.select(*C.OUTPUT_COLUMNS)
 
 
 def q_join_title_year(spark, sf):
