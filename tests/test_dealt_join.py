@@ -4,8 +4,10 @@ from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
+from test_match import ARTICLE_SCHEMA, MOVIE_SCHEMA, article, movie
 
-from titlematch.operators.match import deal_pairs, dealt_join
+from titlematch.operators import match
+from titlematch.operators.match import deal_pairs, dealt_join, except_matched, tiered_match_except
 from titlematch.plans import catalogue as cat
 
 
@@ -72,3 +74,30 @@ def test_one_title_of_many_movies_and_articles(spark, workdir, name):
     right = a.filter("year = '' AND type = 'film'" if name == "join_title" else "year = '' AND type = ''").count()
     assert sum(sizes) == m.count() * right
     assert max(sizes) < sum(sizes) / 3, sizes
+
+
+def films(spark):
+    m = [movie("Hot", str(1990 + i % 9), float(i % 11)) for i in range(200)] + [movie("Hot", "1990", 0.0)] * 5
+    m += [movie(f"T {i}", str(1990 + i % 3), 1.0) for i in range(30)] * 2 + [movie("None", None)] * 3 + [movie("Hot", None, 2.0)] * 2
+    a = [article("hot", "1990", "film", f"y{i}") for i in range(40)] + [article("hot", "", "film", f"f{i}") for i in range(90)]
+    a += [article(f"t {i}", "", "film" if i % 2 else "") for i in range(0, 30, 3)] + [article(None, "", "", "none"), article("t 3", None, "film")]
+    return spark.createDataFrame(m, MOVIE_SCHEMA), spark.createDataFrame(a, ARTICLE_SCHEMA)
+
+
+def test_except_of_matched_rows(spark):
+    m, a = films(spark)
+    e = a.filter("year = '' AND type = 'film'")
+    hit = m.join(e.drop("year"), ["cleaned_title"], "inner").select(*m.columns)
+    assert flat_rows(except_matched(m, e, ["cleaned_title"])) == flat_rows(m.subtract(hit))
+
+
+def test_tiers_dealt_and_except_without_pairs(spark, monkeypatch):
+    m, a = films(spark)
+    plain = flat_rows(tiered_match_except(m, a))
+    monkeypatch.setattr(match.deal_pairs, "__defaults__", (100,))
+    out = tiered_match_except(m, a)
+    assert flat_rows(out) == plain
+    assert flat_rows(match.tiered_match(m, a)) == plain
+    # what EXCEPT takes away is named by keys: no movie columns on that side, and no join under it but such ones
+    anti = [line for line in out._jdf.queryExecution().optimizedPlan().toString().split("\n") if "LeftAnti" in line]
+    assert anti and not any("revenue" in line or "genres" in line for line in anti)

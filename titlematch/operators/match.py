@@ -29,7 +29,9 @@ Two physical forms:
 ``tiered_match_except``
     The literal join / EXCEPT / union form, kept as an executable
     specification for tests.  Each EXCEPT re-plans its whole lineage, so the
-    optimised plan scans each input several times.
+    optimised plan scans each input several times.  EXCEPT works on rows and
+    keys, never on pairs, and the joins are dealt by their number of pairs
+    (``deal_pairs``, ``dealt_join``).
 """
 
 from __future__ import annotations
@@ -514,6 +516,16 @@ def dealt_join(
     return out.select(*columns)
 
 
+def except_matched(pool: DataFrame, eligible: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """``pool`` EXCEPT DISTINCT its rows that some row of ``eligible`` matches on ``keys``.
+
+    Equal rows have equal keys, so a row is among the matched ones exactly if its
+    keys are; the pairs need not be built for that.
+    """
+    wanted = eligible.select(*keys).distinct()
+    return pool.join(wanted, list(keys), "left_anti").select(*pool.columns).distinct()
+
+
 def tiered_match_except(
     left: DataFrame,
     right: DataFrame,
@@ -528,15 +540,16 @@ def tiered_match_except(
     _check(left, right, tiers, unmatched)
     payload = _payload_columns(left, right)
     cols = list(output_columns) if output_columns else [*left.columns, *payload]
-    pool = left
+    pool, row = left, None
+    pool_keys = left.select(*_all_keys(tiers))  # of at least the pool's rows; what pairs are counted on
     parts = []
     for i, t in enumerate(tiers, 1):
         eligible = right.filter(F.expr(t.right_filter)).select(*t.keys, *payload)
         last = i == len(tiers)
         how = "left" if (last and unmatched == "keep") else "inner"
-        hit = pool.join(eligible, list(t.keys), how)
+        hit = dealt_join(pool, eligible, t.keys, how, deal_pairs(pool_keys, eligible, t.keys), row)
         parts.append(hit.select(*cols))
         if not last:
-            # EXCEPT DISTINCT (positional, so re-align to the left column order)
-            pool = pool.subtract(hit.select(*left.columns))
+            pool, row = except_matched(pool, eligible, t.keys), F.xxhash64(*left.columns)
+            pool_keys = pool_keys.join(eligible.select(*t.keys).distinct(), list(t.keys), "left_anti")
     return reduce(lambda a, b: a.unionByName(b), parts)

@@ -22,6 +22,7 @@ from titlematch.operators.match import (
     FILM_TIERS,
     deal_pairs,
     dealt_join,
+    except_matched,
     heavy_keys,
     tiered_match,
     tiered_match_except,
@@ -207,12 +208,12 @@ def q_except_matched(spark, sf):
     m, a = both_prepared(spark, sf)
     t = FILM_TIERS[0]
     a = a.filter(F.expr(t.right_filter))
-    hit = m.join(a, list(t.keys), "inner").select(*m.columns)
-    return flat(m.subtract(hit))
+    return flat(except_matched(m, a, t.keys))
 
 
 def q_union_tiers(spark, sf):
-    return flat(tiered_match_except(*both_prepared(spark, sf)))
+    m, a = both_prepared(spark, sf)
+    return flat(tiered_match_except(staged(m, "union-movies"), staged(a, "union-articles")))
 
 
 def q_tiered_match(spark, sf):
